@@ -148,3 +148,10 @@ def is_placeholder(col: Column | str) -> Column:
     c = _c(col)
     low = F.lower(c)
     return c.isNull() | (c == "") | (c == "0") | low.isin("null", "n/a", "na")
+
+
+def base64_text(col: Column | str) -> Column:
+    """Base64 of a binary (or UTF-8 text) column as one line, without the
+    MIME line breaks Spark's ``base64`` may insert."""
+    c = _c(col)
+    return F.regexp_replace(F.base64(c), r"[\r\n]", "")

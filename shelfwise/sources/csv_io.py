@@ -21,9 +21,13 @@ from shelfwise.schema import RAW_SCHEMA, SchemaError, missing_columns
 NEVER_NULL_TEXT = "\u0000"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA,
+             multiline: bool = False) -> DataFrame:
+    """Header CSV with an explicit schema; ``multiline`` for fields that
+    contain line breaks (one file is then read by one task)."""
     reader = (spark.read.option("header", True).option("escape", '"')
-              .option("nullValue", NEVER_NULL_TEXT).option("mode", "FAILFAST"))
+              .option("nullValue", NEVER_NULL_TEXT).option("mode", "FAILFAST")
+              .option("multiLine", multiline))
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     else:
