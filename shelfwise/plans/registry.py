@@ -881,3 +881,34 @@ def q_run_stats(spark, sf):
     raw = catalogue(spark, sf)
     proc = processed(spark, sf)
     return E.stats_frame(raw, proc, features(spark, sf), CFG)
+
+
+# =================================================================================
+# 2.M  scaling and split
+# =================================================================================
+
+@register("minmax_scale", """WITH m AS (SELECT min(p_retailprice) AS a, max(p_retailprice) AS b,
+                  CAST(min(p_size) AS DOUBLE) AS c, CAST(max(p_size) AS DOUBLE) AS d FROM part)
+SELECT p_partkey, p_retailprice, CAST(p_size AS BIGINT) AS p_size,
+  CASE WHEN b - a = 0 THEN 0.0 ELSE (p_retailprice - a) / (b - a) END AS p_retailprice_minmax,
+  CASE WHEN d - c = 0 THEN 0.0 ELSE (CAST(p_size AS DOUBLE) - c) / (d - c) END AS p_size_minmax
+FROM part, m""")
+def q_minmax_scale(spark, sf):
+    p = t(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size")
+    return FE.minmax_scale(p, ["p_retailprice", "p_size"])
+
+
+@register("train_test_split", f"""SELECT {KEY_SQL},
+  CASE WHEN CAST('0x' || substr({S.key_digest(KEY)}, 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS split
+FROM lineitem""")
+def q_train_test_split(spark, sf):
+    li = t(spark, sf, "lineitem").select(*KEY)
+    return FE.with_split_label(li, KEY, 80)
+
+
+@register("zero_examples", """SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount = 0
+ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 3""")
+def q_zero_examples(spark, sf):
+    li = t(spark, sf, "lineitem")
+    return Q.zero_examples(li, "l_discount", ["l_orderkey", "l_linenumber", "l_discount"],
+                           ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 3)
