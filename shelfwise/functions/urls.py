@@ -49,27 +49,33 @@ def drop_fragment(col: Column | str) -> Column:
 
 
 def resolve_url(base: Column | str, href: Column | str) -> Column:
-    """Resolve ``href`` against the page URL ``base`` (RFC 3986 style)."""
+    """Resolve ``href`` against the page URL ``base`` (RFC 3986 style).
+
+    The dot-segment removal is applied once, to the path chosen by the
+    reference's shape (root-relative or relative), so the expression stays
+    small enough for whole-stage code generation.
+    """
     b, h = _c(base), _c(href)
     origin = F.regexp_extract(b, ORIGIN_RE, 1)
-    b_scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
     b_noquery = F.regexp_replace(b, r"(?s)[?#].*$", "")
-    b_nofrag = F.regexp_replace(b, r"(?s)#.*$", "")
-    b_path = F.substring(b_noquery, F.char_length(origin) + 1, 1 << 30)
-    b_dir = F.regexp_extract(b_path, r"^(.*/)", 1)
     h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
     h_rest = F.regexp_extract(h, r"(?s)^[^?#]*(.*)$", 1)
-    rel_path = F.when(b_dir == "", F.lit("/")).otherwise(b_dir)
+    b_dir = F.regexp_extract(F.substring(b_noquery, F.char_length(origin) + 1, 1 << 30), r"^(.*/)", 1)
+    is_other = (h.isNull() | b.isNull() | (b == "") | (h == "") | h.rlike(SCHEME_RE)
+                | h.startswith("?") | h.startswith("#") | h.startswith("//"))
+    path_in = (F.when(is_other, F.lit(None).cast("string"))
+               .when(h.startswith("/"), h_path)
+               .otherwise(F.concat(F.when(b_dir == "", F.lit("/")).otherwise(b_dir), h_path)))
     return (
         F.when(h.isNull(), F.lit(None).cast("string"))
         .when(b.isNull() | (b == ""), h)
         .when(h == "", b)
         .when(h.rlike(SCHEME_RE), h)
-        .when(h.startswith("//"), F.concat(b_scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, remove_dot_segments(h_path), h_rest))
+        .when(h.startswith("//"),
+              F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1), F.lit(":"), h))
         .when(h.startswith("?"), F.concat(b_noquery, h))
-        .when(h.startswith("#"), F.concat(b_nofrag, h))
-        .otherwise(F.concat(origin, remove_dot_segments(F.concat(rel_path, h_path)), h_rest))
+        .when(h.startswith("#"), F.concat(F.regexp_replace(b, r"(?s)#.*$", ""), h))
+        .otherwise(F.concat(origin, remove_dot_segments(path_in), h_rest))
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import DEFAULT_CATEGORY, PROBLEMATIC_CATEGORIES
 from shelfwise.functions import text as TX
-from shelfwise.operators.common import bounded_broadcast
+from shelfwise.operators.common import DEFAULT_BROADCAST_ROWS
 
 KEY_SEP = "\u001f"   # unit separator between key parts
 NULL_MARK = "\u0000"  # stands for a null key part
@@ -27,7 +27,8 @@ def key_digest(cols: Sequence[str]) -> Column:
 
 def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book_",
                      id_col: str = "id", hex_len: int = 32,
-                     content_cols: Sequence[str] | None = None) -> DataFrame:
+                     content_cols: Sequence[str] | None = None,
+                     max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Deterministic id ``prefix + md5(key)[:hex_len]`` as first column.
 
     Rows that share a key get ``_<md5(content)[:16]>_<n>`` appended, where n
@@ -35,16 +36,21 @@ def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book
     recomputed task yields the same ids.  Shared keys are found with a
     map-side-combined count; exact copies are counted the same way and
     regenerated in chunks, so no single key, however hot, is gathered into
-    one task or window.
+    one task or window.  When no key is shared (checked by one bounded
+    aggregate job) the id is a plain projection: no join, no shuffle.
     """
     cols = list(df.columns)
     content_cols = list(content_cols or cols)
     keyed = df.withColumn("_k", key_digest(key_cols))
+    base_id = F.concat(F.lit(prefix), F.substring("_k", 1, hex_len))
     shared = (keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_kn"))
               .where(F.col("_kn") > 1).select("_k", F.lit(True).alias("_shared")))
-    marked = keyed.join(bounded_broadcast(shared), "_k", "left")
-
-    base_id = F.concat(F.lit(prefix), F.substring("_k", 1, hex_len))
+    # bounded check: how many keys are shared (at most max_rows + 1 are counted)
+    n_shared = shared.limit(max_broadcast_keys + 1).count()
+    if n_shared == 0:
+        return keyed.select(base_id.alias(id_col), *cols)
+    side = F.broadcast(shared) if n_shared <= max_broadcast_keys else shared
+    marked = keyed.join(side, "_k", "left")
     unique = (marked.where(F.col("_shared").isNull())
               .select(base_id.alias(id_col), *cols))
 

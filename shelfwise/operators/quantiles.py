@@ -1,13 +1,21 @@
 """Exact quantiles without funnelling a column through one task.
 
-Spark's exact ``percentile`` merges every distinct value of the column in a
-single task for a global aggregate.  Here the values are grouped
-(map-side combined), split into value ranges whose bounds come from a
-distributed sketch (``percentile_approx``; only the bounded list of bounds
-reaches the driver), numbered by a prefix sum inside each range, and the
-ranks needed for linear interpolation are looked up.  Every step is a
-partitioned DataFrame operation; a hot value collapses to one row at the
-first aggregation.
+Spark's exact ``percentile`` merges every distinct value of a column in a
+single task for a global aggregate.  Here the rank of each wanted order
+statistic is located by refinement:
+
+1. count the values of every column (one aggregate);
+2. while a value interval that holds a wanted rank has too many distinct
+   values, split it into ranges whose bounds come from a distributed sketch
+   (``percentile_approx`` on the interval) and count rows per range (map-side
+   combined); the range holding the rank becomes the new interval;
+3. in the final, small intervals group the values, number them with a
+   prefix sum inside the interval and pick the wanted ranks.
+
+Only bounded things reach the driver: one count per column and one count
+per (interval, range).  A hot value collapses to one row at the grouping.
+Result: linear interpolation between the two neighbouring order statistics,
+the same definition as DuckDB ``quantile_cont`` and Spark ``percentile``.
 """
 
 from __future__ import annotations
@@ -19,90 +27,131 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_RANGES = 64
+# distinct values one final interval may hold (one window partition each)
+MAX_INTERVAL_DISTINCT = 2_000_000
+MAX_ROUNDS = 8
 
 
-def _range_bounds(df: DataFrame, cols: Sequence[str], ranges: int) -> dict[str, list[float]]:
-    probs = [i / ranges for i in range(1, ranges)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10000).alias(c)
-                   for c in cols]).first()
-    out = {}
-    for c in cols:
-        vals = row[c] or []
-        out[c] = sorted(set(v for v in vals if v is not None and not math.isnan(v)))
-    return out
+def range_id(v, bounds: Sequence[float]):
+    """Number of bounds below ``v`` as a balanced CASE tree (about log2(n)
+    compiled comparisons per row; no interpreted higher-order function)."""
+    def tree(lo: int, hi: int):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2          # v > bounds[mid-1]  <=>  answer >= mid
+        return F.when(v > F.lit(bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
+    return tree(0, len(bounds))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """Linear-interpolated exact quantiles.
-
-    Returns ``(column string, prob double, value double)``; nulls (and NaN)
-    are ignored as in ``percentile``; a column without values gives null.
-    """
-    cols = list(cols)
-    probs = [float(p) for p in probs]
-    bounds = _range_bounds(df, cols, ranges)
-
-    # long form (column, v, range id); NaN dropped like nulls
-    parts = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        b = bounds[c]
-        rid = F.lit(0)
-        if b:
-            rid = F.aggregate(F.array(*[F.lit(x) for x in b]), F.lit(0),
-                              lambda acc, x: acc + (v > x).cast("int"))
-        parts.append(F.struct(F.lit(c).alias("column"), v.alias("v"), rid.alias("rid")))
-    long = (df.select(F.explode(F.array(*parts)).alias("_q")).select("_q.*")
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    parts = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]
+    return (df.select(F.explode(F.array(*parts)).alias("_q")).select("_q.*")
             .where(F.col("v").isNotNull() & ~F.isnan("v")))
 
-    counts = long.groupBy("column", "rid", "v").agg(F.count(F.lit(1)).alias("n"))
-    per_range = counts.groupBy("column", "rid").agg(F.sum("n").alias("range_n"))
-    # one row per (column, range): bounded by len(cols) * ranges
-    w_off = Window.partitionBy("column").orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        "column", "rid",
-        F.coalesce(F.sum("range_n").over(w_off), F.lit(0)).alias("offset"),
-        F.sum("range_n").over(Window.partitionBy("column")).alias("total"))
-
-    w_in = Window.partitionBy("column", "rid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (counts
-              .withColumn("before", F.coalesce(F.sum("n").over(w_in), F.lit(0)))
-              .join(F.broadcast(offsets), ["column", "rid"])
-              .select("column", "v", "total",
-                      (F.col("offset") + F.col("before")).alias("first_rank"),
-                      (F.col("offset") + F.col("before") + F.col("n")).alias("end_rank")))
-
-    # wanted 0-based ranks per (column, prob): lo = floor(h), hi = ceil(h)
-    prob_arr = F.array(*[F.lit(p) for p in probs])
-    wanted = (offsets.select("column", "total").distinct()
-              .select("column", "total", F.explode(prob_arr).alias("prob"))
-              .withColumn("h", (F.col("total") - 1) * F.col("prob"))
-              .withColumn("lo", F.floor("h").cast("bigint"))
-              .withColumn("hi", F.ceil("h").cast("bigint")))
-    picks = (ranked.alias("r")
-             .join(F.broadcast(wanted.select("column", F.explode(F.array("lo", "hi")).alias("rank"))
-                               .distinct()).alias("k"),
-                   (F.col("r.column") == F.col("k.column"))
-                   & (F.col("r.first_rank") <= F.col("k.rank"))
-                   & (F.col("k.rank") < F.col("r.end_rank")))
-             .select(F.col("k.column").alias("column"), "k.rank", F.col("r.v").alias("v")))
-    x_lo = picks.select("column", F.col("rank").alias("lo"), F.col("v").alias("v_lo"))
-    x_hi = picks.select("column", F.col("rank").alias("hi"), F.col("v").alias("v_hi"))
-    res = (wanted.join(x_lo, ["column", "lo"]).join(x_hi, ["column", "hi"])
-           .select("column", "prob",
-                   (F.col("v_lo") + (F.col("h") - F.col("lo")) * (F.col("v_hi") - F.col("v_lo")))
-                   .alias("value")))
-    # columns without any value still get a row (value null)
-    grid = df.sparkSession.createDataFrame(
-        [(c, p) for c in cols for p in probs], "column string, prob double")
-    return grid.join(res, ["column", "prob"], "left")
-
-
-def quantile_row(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q",
-                 ranges: int = DEFAULT_RANGES) -> DataFrame:
+
+def _restrict(long: DataFrame, intervals: list[tuple], key: str) -> DataFrame:
+    """Rows of ``long`` inside (lo, hi] of the intervals, tagged with ``key``."""
+    spark = long.sparkSession
+    idf = spark.createDataFrame(intervals, f"{key} int, i_column string, lo double, hi double")
+    cond = ((F.col("column") == F.col("i_column"))
+            & (F.col("lo").isNull() | (F.col("v") > F.col("lo")))
+            & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
+    # the interval list is bounded (columns x wanted ranks), so broadcasting it is safe
+    return long.join(F.broadcast(idf), cond).select(key, "v")
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    ranges: int = DEFAULT_RANGES,
+                    max_interval_distinct: int = MAX_INTERVAL_DISTINCT) -> DataFrame:
+    """``(column string, prob double, value double)``; nulls and NaN are
+    ignored; a column without values gives a null value."""
+    spark = df.sparkSession
+    cols, probs = list(cols), [float(p) for p in probs]
+    long = _long(df, cols)
+    n = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    wanted: dict[str, list[int]] = {}
+    for c in cols:
+        if n.get(c):
+            hs = [(n[c] - 1) * p for p in probs]
+            wanted[c] = sorted({math.floor(h) for h in hs} | {math.ceil(h) for h in hs})
+
+    # task: (column, lo, hi, base, ranks); base = number of values <= lo
+    tasks = [(c, None, None, 0, ranks) for c, ranks in wanted.items()]
+    final = [t for t in tasks if n[t[0]] <= max_interval_distinct]
+    tasks = [t for t in tasks if n[t[0]] > max_interval_distinct]
+    rounds = 0
+    while tasks:
+        rounds += 1
+        if rounds > MAX_ROUNDS:
+            final.extend(tasks)
+            break
+        sub = _restrict(long, [(i, c, lo, hi) for i, (c, lo, hi, _b, _r) in enumerate(tasks)], "task")
+        qs = [k / ranges for k in range(1, ranges)]
+        bnd_rows = sub.groupBy("task").agg(F.percentile_approx("v", qs, 10000).alias("b")).collect()
+        bounds = {r["task"]: sorted(set(x for x in (r["b"] or []) if x is not None)) for r in bnd_rows}
+        rid = None
+        for i in range(len(tasks)):
+            expr = range_id(F.col("v"), bounds.get(i, []))
+            rid = F.when(F.col("task") == i, expr) if rid is None else rid.when(F.col("task") == i, expr)
+        counts = (sub.withColumn("rid", rid).groupBy("task", "rid")
+                  .agg(F.count(F.lit(1)).alias("cnt"), F.approx_count_distinct("v").alias("nd"),
+                       F.min("v").alias("mn"), F.max("v").alias("mx"))
+                  .collect())  # bounded: tasks x ranges
+        per_task: dict[int, list] = {}
+        for r in counts:
+            per_task.setdefault(r["task"], []).append(r)
+        new_tasks = []
+        for i, (c, lo, hi, base, ranks) in enumerate(tasks):
+            rows = sorted(per_task.get(i, []), key=lambda r: r["rid"])
+            b = bounds.get(i, [])
+            before = base
+            for r in rows:
+                inside = [k for k in ranks if before <= k < before + r["cnt"]]
+                if inside:
+                    rlo = b[r["rid"] - 1] if r["rid"] > 0 else lo
+                    rhi = b[r["rid"]] if r["rid"] < len(b) else hi
+                    t = (c, rlo, rhi, before, inside)
+                    small = r["nd"] <= max_interval_distinct or r["mn"] == r["mx"]
+                    (final if small else new_tasks).append(t)
+                before += r["cnt"]
+        tasks = new_tasks
+
+    if not final:
+        return spark.createDataFrame([(c, p, None) for c in cols for p in probs],
+                                     "column string, prob double, value double")
+    sub = _restrict(long, [(i, c, lo, hi) for i, (c, lo, hi, _b, _r) in enumerate(final)], "fid")
+    g = sub.groupBy("fid", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    w = Window.partitionBy("fid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    base = spark.createDataFrame([(i, b) for i, (_c, _lo, _hi, b, _r) in enumerate(final)], "fid int, base long")
+    ranked = (g.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
+              .join(F.broadcast(base), "fid")
+              .select("fid", "v", (F.col("base") + F.col("before")).alias("first"),
+                      (F.col("base") + F.col("before") + F.col("cnt")).alias("end")))
+    rank_df = spark.createDataFrame(
+        [(i, c, k) for i, (c, _lo, _hi, _b, ranks) in enumerate(final) for k in ranks],
+        "fid int, column string, rank long")
+    picks = (ranked.join(F.broadcast(rank_df),
+                         (ranked["fid"] == rank_df["fid"]) & (ranked["first"] <= rank_df["rank"])
+                         & (rank_df["rank"] < ranked["end"]))
+             .select("column", "rank", "v"))
+    grid = spark.createDataFrame(
+        [(c, p, (n[c] - 1) * p if n.get(c) else None) for c in cols for p in probs],
+        "column string, prob double, h double")
+    lo_pick = picks.select("column", F.col("rank").alias("lo_rank"), F.col("v").alias("v_lo"))
+    hi_pick = picks.select("column", F.col("rank").alias("hi_rank"), F.col("v").alias("v_hi"))
+    g2 = (grid.withColumn("lo_rank", F.floor("h").cast("bigint"))
+          .withColumn("hi_rank", F.ceil("h").cast("bigint")))
+    return (g2.join(F.broadcast(lo_pick), ["column", "lo_rank"], "left")
+            .join(F.broadcast(hi_pick), ["column", "hi_rank"], "left")
+            .select("column", "prob",
+                    (F.col("v_lo") + (F.col("h") - F.col("lo_rank")) * (F.col("v_hi") - F.col("v_lo")))
+                    .alias("value")))
+
+
+def quantile_row(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
     """One row with a column per probability (``q25``, ``q75`` ...)."""
-    q = exact_quantiles(df, [col], probs, ranges)
+    q = exact_quantiles(df, [col], probs)
     return q.groupBy().agg(*[
         F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(f"{prefix}{round(p * 100):d}")
         for p in probs])

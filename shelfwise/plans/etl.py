@@ -67,15 +67,35 @@ def cleaning_plan(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str
     return df.select(*PROCESSED_COLUMNS)
 
 
+def stage(df: DataFrame, path: str | None, name: str) -> DataFrame:
+    """Write ``df`` as Parquet (to ``path`` or the shared staging folder)
+    and continue from the written table: lineage is cut, so later jobs and
+    retries read columns from the table instead of recomputing the plan."""
+    path = path or staging_path(df.sparkSession, f"{name}-{time.time_ns()}")
+    csv_io.write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def run_cleaning(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
-                 output: str | None = None) -> tuple[DataFrame, dict]:
+                 output: str | None = None, stage_input: bool = False) -> tuple[DataFrame, dict]:
     """L1.  ``key_cols`` is the natural key used for the id (extra raw
-    columns such as the key travel with the input and are dropped)."""
+    columns such as the key travel with the input and are dropped).
+
+    ``stage_input`` writes the raw input once first; use it when the input
+    is itself an expensive plan (a join) rather than a file scan, since the
+    intake aggregate, the key check and the cleaning pass all read it.
+    The processed table is always written before the gate runs, so the gate
+    reads a few columns of the written table; nothing is published to
+    ``output`` by the caller unless the gate passes (the table is staged).
+    """
     require_columns(raw, RAW_COLUMNS, "raw table")
+    if stage_input:
+        raw = stage(raw.select(*RAW_COLUMNS, *[k for k in key_cols if k not in RAW_COLUMNS]),
+                    None, "raw")
     intake = intake_row(raw, config).first().asDict()
     if intake["null_records_found"] and config.on_null == "fail":
         Q.check_nulls(raw.select(*RAW_COLUMNS), "fail")
-    processed = cleaning_plan(raw, config, key_cols)
+    processed = stage(cleaning_plan(raw, config, key_cols), None, "processed")
     Q.assert_passed(Q.gate_processed(processed), "processed-data gate")
     if output:
         csv_io.write_parquet(processed, output)
@@ -113,13 +133,12 @@ def run_features(processed: DataFrame, config: PipelineConfig,
 
 
 def run_full(spark: SparkSession, raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
-             processed_out: str | None = None, features_out: str | None = None
-             ) -> tuple[DataFrame, PipelineStats]:
+             processed_out: str | None = None, features_out: str | None = None,
+             stage_input: bool = False) -> tuple[DataFrame, PipelineStats]:
     """L3: cleaning, staged processed table, features.  Returns the feature
     table and the run statistics."""
     t0 = time.perf_counter()
-    processed_out = processed_out or staging_path(spark, f"processed-{time.time_ns()}")
-    processed, s1 = run_cleaning(raw, config, key_cols, processed_out)
+    processed, s1 = run_cleaning(raw, config, key_cols, processed_out, stage_input=stage_input)
     feats, s2 = run_features(processed, config, features_out)
     stats = PipelineStats(
         total_records=s1["total_records"], null_records_found=s1["null_records_found"],

@@ -854,7 +854,7 @@ def q_quality_summary(spark, sf):
 
 @register("clean_stage", f"{WITH_PROC}SELECT {PROC_OUT_SQL} FROM proc")
 def q_clean_stage(spark, sf):
-    df, _ = E.run_cleaning(catalogue(spark, sf), CFG, KEY)
+    df, _ = E.run_cleaning(catalogue(spark, sf), CFG, KEY, stage_input=True)
     return df
 
 
@@ -866,7 +866,7 @@ def q_feature_stage(spark, sf):
 
 @register("full_etl", f"{WITH_FEAT}SELECT {FEAT_OUT_SQL} FROM feat")
 def q_full_etl(spark, sf):
-    df, _ = E.run_full(spark, catalogue(spark, sf), CFG, KEY)
+    df, _ = E.run_full(spark, catalogue(spark, sf), CFG, KEY, stage_input=True)
     return df
 
 

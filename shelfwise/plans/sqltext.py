@@ -107,20 +107,21 @@ def resolve_url(b: str, h: str) -> str:
     b_scheme = f"regexp_extract({b}, {q(r'^([A-Za-z][A-Za-z0-9+.-]*):')}, 1)"
     b_noquery = rr(b, r"(?s)[?#].*$")
     b_nofrag = rr(b, r"(?s)#.*$")
-    b_path = f"substr({b_noquery}, length({origin}) + 1)"
-    b_dir = f"regexp_extract({b_path}, {q(r'^(.*/)')}, 1)"
+    b_dir = f"regexp_extract(substr({b_noquery}, length({origin}) + 1), {q(r'^(.*/)')}, 1)"
     h_path = f"regexp_extract({h}, {q(r'^([^?#]*)')}, 1)"
     h_rest = f"regexp_extract({h}, {q(r'(?s)^[^?#]*(.*)$')}, 1)"
-    rel_path = f"(CASE WHEN {b_dir} = '' THEN '/' ELSE {b_dir} END)"
+    is_other = (f"({h} IS NULL OR {b} IS NULL OR {b} = '' OR {h} = '' OR regexp_matches({h}, {q(U.SCHEME_RE)}) "
+                f"OR starts_with({h}, '?') OR starts_with({h}, '#') OR starts_with({h}, '//'))")
+    path_in = (f"(CASE WHEN {is_other} THEN NULL WHEN starts_with({h}, '/') THEN {h_path} "
+               f"ELSE (CASE WHEN {b_dir} = '' THEN '/' ELSE {b_dir} END) || {h_path} END)")
     return (f"(CASE WHEN {h} IS NULL THEN NULL "
             f"WHEN {b} IS NULL OR {b} = '' THEN {h} "
             f"WHEN {h} = '' THEN {b} "
             f"WHEN regexp_matches({h}, {q(U.SCHEME_RE)}) THEN {h} "
             f"WHEN starts_with({h}, '//') THEN {b_scheme} || ':' || {h} "
-            f"WHEN starts_with({h}, '/') THEN {origin} || {remove_dot_segments(h_path)} || {h_rest} "
             f"WHEN starts_with({h}, '?') THEN {b_noquery} || {h} "
             f"WHEN starts_with({h}, '#') THEN {b_nofrag} || {h} "
-            f"ELSE {origin} || {remove_dot_segments(f'({rel_path} || {h_path})')} || {h_rest} END)")
+            f"ELSE {origin} || {remove_dot_segments(path_in)} || {h_rest} END)")
 
 
 def canonical_url(b: str, h: str) -> str:

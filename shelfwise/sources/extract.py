@@ -43,16 +43,20 @@ def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "
     a = F.col("_a")
     title_attr = F.nullif(H.first_match(a, H3_LINK_TITLE_RE), F.lit(""))
     title_text = H.node_text(H.first_match(a, H3_LINK_TEXT_RE))
-    href = H.first_match(a, H3_LINK_HREF_RE)
-    img = H.first_match(a, IMG_SRC_RE)
-    return base.select(
+    # raw fields first (one projection), URL resolution in the next one, so
+    # every regex runs once per article
+    fields = base.select(
         F.col(key), (F.col("_pos") + 1).cast("int").alias("position"),
         H.decode_entities(F.coalesce(title_attr, title_text)).alias("title"),
         TX.parse_price(H.node_text(H.first_match(a, PRICE_RE))).alias("price"),
         TX.rating_from_word(H.first_match(a, RATING_RE)).alias("rating"),
-        F.col("category"),
-        F.when(F.nullif(img, F.lit("")).isNotNull(), U.resolve_url(F.col("_url"), img)).alias("image"),
-        F.when(F.nullif(href, F.lit("")).isNotNull(), U.canonical_url(F.col("_url"), href)).alias("product_page"),
+        F.col("category"), F.col("_url"),
+        F.nullif(H.first_match(a, IMG_SRC_RE), F.lit("")).alias("_img"),
+        F.nullif(H.first_match(a, H3_LINK_HREF_RE), F.lit("")).alias("_href"))
+    return fields.select(
+        key, "position", "title", "price", "rating", "category",
+        F.when(F.col("_img").isNotNull(), U.resolve_url(F.col("_url"), F.col("_img"))).alias("image"),
+        F.when(F.col("_href").isNotNull(), U.canonical_url(F.col("_url"), F.col("_href"))).alias("product_page"),
     )
 
 
