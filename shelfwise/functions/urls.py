@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 SCHEME_RE = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 ORIGIN_RE = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 # one path segment that is neither '.' nor '..'
-SEGMENT_RE = r"([^./][^/]*|\.[^./][^/]*|\.\.[^/]+)"
-# how many '..' levels one resolve handles (each pass removes at least one)
-DOT_PASSES = 8
 
 # --- fixed values: content type -> extension, and the default ---------------
 CONTENT_TYPE_EXTENSIONS = (
@@ -33,15 +30,25 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def remove_dot_segments(path: Column) -> Column:
-    """Collapse '//' , '/./' and 'seg/..' in an absolute path."""
-    p = F.regexp_replace(path, r"/{2,}", "/")
-    p = F.regexp_replace(p, r"(/\.)+/", "/")
-    p = F.regexp_replace(p, r"/\.$", "/")
-    for _ in range(DOT_PASSES):
-        p = F.regexp_replace(p, "/" + SEGMENT_RE + r"/\.\.(/|$)", "/")
-        p = F.regexp_replace(p, r"^/\.\.(/|$)", "/")
-    return p
+def remove_dot_segments(path: Column, keep_empty: Column) -> Column:
+    """Resolve '.' and '..' in an absolute path exactly, at any depth.
+
+    The path is split into segments and folded with a stack ('..' pops,
+    '.' is skipped); empty middle segments are dropped for relative
+    references (``keep_empty`` false) and kept for root-relative ones; a
+    final '.' or '..' leaves a trailing slash.
+    """
+    segs = F.split(path, "/", -1)
+    rest = F.slice(segs, 2, F.size(segs) - 1)
+    rest = F.when(keep_empty, rest).otherwise(
+        F.filter(rest, lambda s, i: (s != "") | (i == F.size(rest) - 1)))
+    stack = F.aggregate(
+        rest, F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc)
+        .otherwise(F.concat(acc, F.array(s))))
+    trail = F.when(F.element_at(segs, -1).isin(".", "..") & (F.size(stack) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.lit("/"), F.array_join(stack, "/"), trail)
 
 
 def drop_fragment(col: Column | str) -> Column:
@@ -66,6 +73,7 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
     path_in = (F.when(is_other, F.lit(None).cast("string"))
                .when(h.startswith("/"), h_path)
                .otherwise(F.concat(F.when(b_dir == "", F.lit("/")).otherwise(b_dir), h_path)))
+    keep_empty = F.coalesce(h.startswith("/"), F.lit(False))
     return (
         F.when(h.isNull(), F.lit(None).cast("string"))
         .when(b.isNull() | (b == ""), h)
@@ -75,7 +83,7 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
               F.concat(F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1), F.lit(":"), h))
         .when(h.startswith("?"), F.concat(b_noquery, h))
         .when(h.startswith("#"), F.concat(F.regexp_replace(b, r"(?s)#.*$", ""), h))
-        .otherwise(F.concat(origin, remove_dot_segments(path_in), h_rest))
+        .otherwise(F.concat(origin, remove_dot_segments(path_in, keep_empty), h_rest))
     )
 
 

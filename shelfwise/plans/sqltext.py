@@ -92,14 +92,16 @@ def drop_fragment(x: str) -> str:
     return rr(x, r"(?s)#.*$")
 
 
-def remove_dot_segments(p: str) -> str:
-    p = rr(p, r"/{2,}", "/")
-    p = rr(p, r"(/\.)+/", "/")
-    p = rr(p, r"/\.$", "/")
-    for _ in range(U.DOT_PASSES):
-        p = rr(p, "/" + U.SEGMENT_RE + r"/\.\.(/|$)", "/")
-        p = rr(p, r"^/\.\.(/|$)", "/")
-    return p
+def remove_dot_segments(p: str, keep_empty: str) -> str:
+    segs = f"string_split({p}, '/')"
+    rest = f"({segs})[2:]"
+    kept = (f"(CASE WHEN {keep_empty} THEN {rest} "
+            f"ELSE list_filter({rest}, lambda s, i: s <> '' OR i = len({rest})) END)")
+    stack = (f"list_reduce({kept}, lambda acc, s: CASE WHEN s = '..' THEN "
+             f"(CASE WHEN len(acc) = 0 THEN acc ELSE acc[1:len(acc) - 1] END) "
+             f"WHEN s = '.' THEN acc ELSE list_append(acc, s) END, []::VARCHAR[])")
+    trail = f"(CASE WHEN ({segs})[-1] IN ('.', '..') AND len({stack}) > 0 THEN '/' ELSE '' END)"
+    return f"('/' || array_to_string({stack}, '/') || {trail})"
 
 
 def resolve_url(b: str, h: str) -> str:
@@ -121,7 +123,7 @@ def resolve_url(b: str, h: str) -> str:
             f"WHEN starts_with({h}, '//') THEN {b_scheme} || ':' || {h} "
             f"WHEN starts_with({h}, '?') THEN {b_noquery} || {h} "
             f"WHEN starts_with({h}, '#') THEN {b_nofrag} || {h} "
-            f"ELSE {origin} || {remove_dot_segments(path_in)} || {h_rest} END)")
+            f"ELSE {origin} || {remove_dot_segments(path_in, f'coalesce(starts_with({h}, {q(chr(47))}), FALSE)')} || {h_rest} END)")
 
 
 def canonical_url(b: str, h: str) -> str:
