@@ -171,9 +171,15 @@ def with_split_label(df: DataFrame, key_cols: Sequence[str], train_percent: int
 
 
 def guarded_corr(a: str, b: str):
-    """Pearson correlation that gives null (not an error) for a constant column."""
+    """Pearson correlation that gives null (not an error) for a constant column.
+
+    Constancy is tested exactly with min = max: the merged partial variance
+    of a constant column can be a tiny non-zero number, not 0.
+    """
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    return F.when(constant, F.lit(None).cast("double")).otherwise(
+        F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def target_correlation_row(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:

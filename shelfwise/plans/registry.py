@@ -72,12 +72,26 @@ CAT_SQL = f"""cat AS (
          CAST(l.l_quantity AS INTEGER) AS stock, '' AS image_base64
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
-PROC_SQL = f"""proc AS (
-  SELECT 'book_' || {S.key_digest(KEY)} AS id, title, price, rating,
+_RAW_SQL = "title, price, rating, category, image, product_page, availability, stock, image_base64"
+_RAW_LIST = [c.strip() for c in _RAW_SQL.split(",")]
+# ids: md5 of the key; rows of a shared key get md5(content)[:16] and a copy number
+IDS_SQL = f"""k0 AS (SELECT *, {S.key_digest(KEY)} AS _k FROM cat),
+kc AS (SELECT _k, count(*) AS _n FROM k0 GROUP BY _k),
+ids AS (
+  SELECT 'book_' || k0._k AS id, {_RAW_SQL} FROM k0 JOIN kc USING (_k) WHERE kc._n = 1
+  UNION ALL
+  SELECT 'book_' || _k || '_' || substr({S.key_digest(_RAW_LIST)}, 1, 16) || '_' || CAST(i AS VARCHAR) AS id, {_RAW_SQL}
+  FROM (SELECT *, unnest(generate_series(1, _c)) AS i
+        FROM (SELECT k0._k, {KEY_SQL}, {_RAW_SQL}, count(*) AS _c FROM k0 JOIN kc USING (_k)
+              WHERE kc._n > 1 GROUP BY ALL) g) e)"""
+
+PROC_SQL = f"""{IDS_SQL},
+proc AS (
+  SELECT id, title, price, rating,
          CASE WHEN category IN ('PROMO', 'STANDARD') THEN 'Outros' ELSE category END AS category,
          image, product_page, CASE WHEN lower(availability) = 'yes' THEN 1 ELSE 0 END AS availability,
          stock, image_base64
-  FROM cat)"""
+  FROM ids)"""
 
 FEAT0_SQL = f"""feat0 AS (
   SELECT id, title, price, rating, category, image, product_page, availability, stock, image_base64,
@@ -513,7 +527,8 @@ CORR_COLS = ("price", "rating", "stock", "title_length", "title_word_count", "av
 
 def _corr_sql(a: str, b: str) -> str:
     x, y = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
-    return f"round(covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0), 6)"
+    return (f"CASE WHEN min({x}) = max({x}) OR min({y}) = max({y}) THEN NULL "
+            f"ELSE round(covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0), 6) END")
 
 
 def _feat_numeric(spark, sf):
