@@ -927,3 +927,28 @@ def q_zero_examples(spark, sf):
     li = t(spark, sf, "lineitem")
     return Q.zero_examples(li, "l_discount", ["l_orderkey", "l_linenumber", "l_discount"],
                            ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 3)
+
+
+# =================================================================================
+# streaming: the stateless operators on a file stream of the events table
+# =================================================================================
+
+STREAM_CFG = PipelineConfig(problematic_categories=("error",), default_category="Outros")
+
+
+@register("stream_row_features", f"""SELECT event_id, value,
+  CASE WHEN event_type IN ('error') THEN 'Outros' ELSE event_type END AS category,
+  {S.band('value', Bands.price())} AS price_range FROM events""")
+def q_stream_row_features(spark, sf):
+    """events.parquet read as a file stream (availableNow), price band and
+    category replacement applied per micro-batch, appended to a Parquet sink
+    in the shared staging folder, then read back."""
+    from shelfwise.streaming import rowwise as RW
+    path = f"{sf.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    out = RW.run_available_now(
+        RW.file_stream(spark, RW.single_file_glob(path), schema),
+        lambda df: RW.row_features(df.select("event_id", "value", F.col("event_type").alias("category")),
+                                   STREAM_CFG, price="value"),
+        name="events")
+    return spark.read.parquet(out).select("event_id", "value", "category", "price_range")
