@@ -1,11 +1,14 @@
 """Cleaning (L1), feature (L2) and full (L3 / L4) pipelines, the run report
 (D20) and the step runner (M14).
 
-Jobs per full run: the intake aggregate (row count, nulls, replaced
-categories, duplicate titles), the processed gate, the staged Parquet write
-of the processed table (lineage is cut there, so a lost executor in phase 2
-never recomputes phase 1), the one-hot vocabulary, the feature gate and the
-feature write.
+Jobs per full run: (optionally) the staged raw input, the intake aggregate
+(row count, nulls, replaced categories, duplicate titles), the shared-key
+check of the id, the staged processed table, the processed gate on it, max
+stock, the one-hot vocabulary, the staged feature table and the feature
+gate on it.  Every stage is written to the shared checkpoint folder, so
+lineage is cut between phases: a lost executor in phase 2 never recomputes
+phase 1, and each gate reads a few columns of a written table instead of
+re-running the plan.
 """
 
 from __future__ import annotations
@@ -120,9 +123,11 @@ def feature_plan(processed: DataFrame, config: PipelineConfig,
 
 def run_features(processed: DataFrame, config: PipelineConfig,
                  output: str | None = None) -> tuple[DataFrame, dict]:
-    """L2."""
+    """L2.  Jobs: max stock (popularity), one-hot vocabulary, the feature
+    write to the staging folder, the gate on the written table, and, when
+    ``output`` is given and the gate passed, the copy to ``output``."""
     require_columns(processed, PROCESSED_COLUMNS, "processed table")
-    feats = feature_plan(processed, config)
+    feats = stage(feature_plan(processed, config), None, "features")
     Q.assert_passed(Q.gate_features(feats), "feature gate")
     if output:
         csv_io.write_parquet(feats, output)

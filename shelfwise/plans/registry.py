@@ -875,7 +875,10 @@ def q_clean_stage(spark, sf):
 
 @register("feature_stage", f"{WITH_FEAT}SELECT {FEAT_OUT_SQL} FROM feat")
 def q_feature_stage(spark, sf):
-    df, _ = E.run_features(processed(spark, sf), CFG)
+    """L2 as the reference runs it: phase 2 starts from the written
+    processed table (staged here), not from the phase-1 plan."""
+    staged = E.stage(processed(spark, sf), None, "processed")
+    df, _ = E.run_features(staged, CFG)
     return df
 
 
