@@ -49,6 +49,7 @@ def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book
     n_shared = shared.limit(max_broadcast_keys + 1).count()
     if n_shared == 0:
         return keyed.select(base_id.alias(id_col), *cols)
+    # shared keys are 32-character digests, so the row bound also bounds bytes
     side = F.broadcast(shared) if n_shared <= max_broadcast_keys else shared
     marked = keyed.join(side, "_k", "left")
     unique = (marked.where(F.col("_shared").isNull())

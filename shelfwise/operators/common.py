@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# rows a side may have to be broadcast after its size was checked
+# a side is broadcast only after a check shows at most this many rows ...
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# ... and at most this many bytes of data
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -20,13 +22,37 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``small`` with a broadcast hint only when it has at most
-    ``max_rows`` rows (checked with a bounded ``limit(max_rows + 1)`` count).
-    Larger sides are returned unhinted so the planner shuffles them and AQE
-    can split skewed partitions."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate bytes of a row: string / binary lengths plus 8 per other field."""
+    from pyspark.sql import types as T
+    parts = [F.lit(0)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
+        else:
+            parts.append(F.lit(8))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
+
+
+def broadcast_fits(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """One bounded job: at most ``max_rows + 1`` rows are counted and sized."""
+    row = (small.limit(max_rows + 1)
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(small)).alias("b")).first())
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Return ``small`` with a broadcast hint only when a check shows at most
+    ``max_rows`` rows and ``max_bytes`` bytes.  Larger sides are returned
+    unhinted so the planner shuffles them and AQE can split skewed
+    partitions."""
+    return F.broadcast(small) if broadcast_fits(small, max_rows, max_bytes) else small
 
 
 def long_form(row: DataFrame, items: Sequence[tuple[str, Sequence[Column]]],

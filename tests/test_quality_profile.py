@@ -116,3 +116,13 @@ def test_no_python_udf_in_profiles(spark):
     for out in (P.describe(df, ["x"]), P.table_profile(df), P.histogram(df, "x", 3)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "EvalPython" not in plan
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    from shelfwise.operators import common
+    df = spark.createDataFrame([("x" * 1000,)] * 10, "t string")
+    assert common.broadcast_fits(df, 100, 1_000_000)
+    assert not common.broadcast_fits(df, 5, 1_000_000)       # too many rows
+    assert not common.broadcast_fits(df, 100, 5_000)         # too many bytes
+    big = P.duplicate_rows(spark.createDataFrame([("a",), ("a",)], "t string"), "t")
+    assert big.count() == 2
