@@ -37,9 +37,9 @@ def node_text(col: Column | str) -> Column:
 
 
 def first_match(col: Column | str, pattern: str, group: int = 1) -> Column:
-    """First capture of ``pattern`` or null when it does not match."""
-    c = _c(col)
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
+    """First capture of ``pattern`` or null when it does not match (one
+    regex pass: the first element of all matches)."""
+    return F.try_element_at(F.regexp_extract_all(_c(col), F.lit(pattern), group), F.lit(1))
 
 
 def element_inner(tag: str, cls: str | None = None) -> str:

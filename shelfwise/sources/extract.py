@@ -36,23 +36,26 @@ LANG_RE = r"<html[^>]*\blang=\"([^\"]*)\""
 def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "url",
                             html: str = "html") -> DataFrame:
     """(key, position, title, price, rating, category, image, product_page)."""
-    base = pages.select(
-        F.col(key), F.col(url).alias("_url"),
-        H.node_text(H.first_match(html, H1_RE)).alias("category"),
-        F.posexplode(F.regexp_extract_all(F.col(html), F.lit(ARTICLE_RE), 1)).alias("_pos", "_a"))
+    base = (pages.select(F.col(key), F.col(url).alias("_url"),
+                         H.node_text(H.first_match(html, H1_RE)).alias("category"),
+                         F.regexp_extract_all(F.col(html), F.lit(ARTICLE_RE), 1).alias("_arts"))
+            .select(key, "_url", "category", F.posexplode("_arts").alias("_pos", "_a")))
     a = F.col("_a")
     title_attr = F.nullif(H.first_match(a, H3_LINK_TITLE_RE), F.lit(""))
-    title_text = H.node_text(H.first_match(a, H3_LINK_TEXT_RE))
     # raw fields first (one projection), URL resolution in the next one, so
     # every regex runs once per article
-    fields = base.select(
-        F.col(key), (F.col("_pos") + 1).cast("int").alias("position"),
-        H.decode_entities(F.coalesce(title_attr, title_text)).alias("title"),
-        TX.parse_price(H.node_text(H.first_match(a, PRICE_RE))).alias("price"),
-        TX.rating_from_word(H.first_match(a, RATING_RE)).alias("rating"),
-        F.col("category"), F.col("_url"),
+    matches = base.select(
+        F.col(key), (F.col("_pos") + 1).cast("int").alias("position"), "category", "_url",
+        title_attr.alias("_tattr"), H.first_match(a, H3_LINK_TEXT_RE).alias("_ttext"),
+        H.first_match(a, PRICE_RE).alias("_price"), H.first_match(a, RATING_RE).alias("_rating"),
         F.nullif(H.first_match(a, IMG_SRC_RE), F.lit("")).alias("_img"),
         F.nullif(H.first_match(a, H3_LINK_HREF_RE), F.lit("")).alias("_href"))
+    fields = matches.select(
+        key, "position",
+        H.decode_entities(F.coalesce(F.col("_tattr"), H.node_text(F.col("_ttext")))).alias("title"),
+        TX.parse_price(H.node_text(F.col("_price"))).alias("price"),
+        TX.rating_from_word(F.col("_rating")).alias("rating"),
+        "category", "_url", "_img", "_href")
     return fields.select(
         key, "position", "title", "price", "rating", "category",
         F.when(F.col("_img").isNotNull(), U.resolve_url(F.col("_url"), F.col("_img"))).alias("image"),
@@ -62,15 +65,22 @@ def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "
 
 def extract_product_fields(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(url, in_stock, stock, page_image) of product pages; a page without
-    the availability block gives (false, null)."""
-    block = H.first_match(html, AVAILABILITY_RE)
-    parsed = TX.parse_availability(H.node_text(block))
-    img = H.first_match(html, PRODUCT_IMG_RE)
-    return pages.select(
-        U.drop_fragment(F.col(url)).alias("url"),
-        F.when(block.isNull(), F.lit(False)).otherwise(parsed["in_stock"]).alias("in_stock"),
-        F.when(block.isNull(), F.lit(None).cast("bigint")).otherwise(parsed["stock"]).alias("stock"),
-        F.when(F.nullif(img, F.lit("")).isNotNull(), U.resolve_url(F.col(url), img)).alias("page_image"))
+    the availability block gives (false, null).
+
+    Three projections (raw matches, parsed block, resolved image) so each
+    regex runs once per page and the generated code stays small.
+    """
+    raw = pages.select(
+        U.drop_fragment(F.col(url)).alias("url"), F.col(url).alias("_u"),
+        H.first_match(html, AVAILABILITY_RE).alias("_block"),
+        F.nullif(H.first_match(html, PRODUCT_IMG_RE), F.lit("")).alias("_img"))
+    parsed = raw.select("url", "_u", "_img", "_block",
+                        TX.parse_availability(H.node_text(F.col("_block"))).alias("_p"))
+    return parsed.select(
+        "url",
+        F.when(F.col("_block").isNull(), F.lit(False)).otherwise(F.col("_p.in_stock")).alias("in_stock"),
+        F.when(F.col("_block").isNull(), F.lit(None).cast("bigint")).otherwise(F.col("_p.stock")).alias("stock"),
+        F.when(F.col("_img").isNotNull(), U.resolve_url(F.col("_u"), F.col("_img"))).alias("page_image"))
 
 
 def enrich_from_pages(listing: DataFrame, products: DataFrame) -> DataFrame:
@@ -112,13 +122,15 @@ def extract_next_url(pages: DataFrame, key: str = "page_id", url: str = "url", h
 def extract_page_fields(pages: DataFrame, key: str = "page_id", url: str = "url",
                         html: str = "html") -> DataFrame:
     """Per page: title, h1 text, language, number of links, text length."""
-    return pages.select(
+    raw = pages.select(
         F.col(key), U.drop_fragment(F.col(url)).alias("canonical_url"),
-        H.node_text(H.first_match(html, TITLE_TAG_RE)).alias("title"),
-        H.node_text(H.first_match(html, H1_RE)).alias("heading"),
+        H.first_match(html, TITLE_TAG_RE).alias("_title"), H.first_match(html, H1_RE).alias("_h1"),
         H.first_match(html, LANG_RE).alias("lang"),
         F.size(F.regexp_extract_all(F.col(html), F.lit(LINK_RE), 1)).cast("bigint").alias("n_links"),
-        F.char_length(H.node_text(F.col(html))).cast("bigint").alias("text_length"))
+        H.node_text(F.col(html)).alias("_text"))
+    return raw.select(key, "canonical_url", H.node_text(F.col("_title")).alias("title"),
+                      H.node_text(F.col("_h1")).alias("heading"), "lang", "n_links",
+                      F.char_length("_text").cast("bigint").alias("text_length"))
 
 
 def extract_summary(records: DataFrame, category: str = "category") -> DataFrame:
