@@ -14,12 +14,16 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row.
+    """Attach the columns of a one-row global aggregate to every row.
 
-    The right side is a global aggregate, so it has exactly one row by
-    construction; broadcasting it is bounded and avoids a shuffle of ``df``.
+    The aggregate becomes one scalar subquery (a struct): Spark runs it once
+    and hands its single value to every task inside the projection, so
+    there is no join, no shuffle of ``df`` and nothing that grows with it.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    names = list(one_row.columns)
+    scalar = one_row.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_one")).scalar()
+    return (df.withColumn("_one", scalar)
+            .select(*[F.col(f"`{c}`") for c in df.columns], *[F.col("_one").getField(c).alias(c) for c in names]))
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -24,6 +24,7 @@ from shelfwise.config import FEATURE_COLUMNS, PROCESSED_COLUMNS, RAW_COLUMNS, Pi
 from shelfwise.operators import clean as C
 from shelfwise.operators import features as FE
 from shelfwise.operators import quality as Q
+from shelfwise.operators.common import with_one_row
 from shelfwise.schema import require_columns
 from shelfwise.session import staging_path
 from shelfwise.sources import csv_io
@@ -58,7 +59,7 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
     dup = (raw.groupBy(title).agg(F.count(F.lit(1)).alias("_n"))
            .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")
                 .alias("duplicate_titles")))
-    return base.crossJoin(dup)
+    return with_one_row(base, dup)
 
 
 def cleaning_plan(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str]) -> DataFrame:
@@ -157,7 +158,7 @@ def stats_frame(raw: DataFrame, processed: DataFrame, features: DataFrame,
                 config: PipelineConfig) -> DataFrame:
     """D20 as a plan: intake row x processed count x plan-time feature count."""
     n_proc = processed.agg(F.count(F.lit(1)).cast("bigint").alias("processed_records"))
-    return (intake_row(raw, config).crossJoin(n_proc)
+    return (with_one_row(intake_row(raw, config), n_proc)
             .withColumn("features_created",
                         F.lit(len(features.columns) - len(PROCESSED_COLUMNS)).cast("bigint"))
             .select("total_records", "null_records_found", "duplicate_titles",

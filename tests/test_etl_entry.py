@@ -132,3 +132,10 @@ def test_no_python_udf_in_any_query(spark):
     for name, fn in ENTRY.queries().items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+
+
+@needs_data
+def test_no_cartesian_or_nested_loop_join(spark):
+    for name, fn in ENTRY.queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
