@@ -74,6 +74,15 @@ def long_form(row: DataFrame, items: Sequence[tuple[str, Sequence[Column]]],
     return row.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster only when it arrives in fewer
+    partitions than the cluster can run at once (for instance a single
+    Parquet row group) and CPU-heavy row work follows.  On a large input
+    with many splits this is a no-op, so no shuffle is added at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def r6(col: Column) -> Column:
     """Round a floating result to 6 digits (engines differ in the last bits)."""
     return F.round(col, 6)

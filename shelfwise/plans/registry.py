@@ -52,8 +52,12 @@ def normalize_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+# inputs whose queries do CPU-heavy row work (whole texts, raw HTML)
+SPREAD_TABLES = ("documents", "pages")
+
+
 def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return TB.table(spark, sf, name)
+    return TB.table(spark, sf, name, spread_rows=name in SPREAD_TABLES)
 
 
 CFG = PipelineConfig(price_bands=TB.CATALOGUE_PRICE_BANDS,
@@ -745,7 +749,7 @@ HREF_EXPR = ("CASE page_id % 8 WHEN 0 THEN '../a/./b.html#frag' WHEN 1 THEN '//c
 FROM (SELECT page_id, url, {HREF_EXPR} AS href FROM pages)""")
 def q_canonical_url(spark, sf):
     p = t(spark, sf, "pages").select("page_id", "url", F.expr(HREF_EXPR).alias("href"))
-    return p.select("page_id", "href", U.canonical_url("url", "href").alias("resolved"))
+    return U.with_resolved_url(p, "url", "href", "resolved", canonical=True).select("page_id", "href", "resolved")
 
 
 # =================================================================================

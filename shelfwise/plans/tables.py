@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.config import Bands
+from shelfwise.operators.common import spread
 
 CATALOGUE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 # price bands scaled to l_extendedprice (the default 20 / 40 / 50 fit book prices)
@@ -27,14 +28,17 @@ LISTING_PAGE_SIZE = 20
 SITE = "http://books.example.com"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table; ``spread_rows`` for inputs that feed CPU-heavy row
+    work (regex over whole texts and pages, the catalogue join and ids)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def catalogue_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw catalogue table (the nine raw columns) plus the four key columns."""
-    li = table(spark, sf_dir, "lineitem").select(
-        *CATALOGUE_KEY, "l_quantity", "l_extendedprice", "l_returnflag")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        *CATALOGUE_KEY, "l_quantity", "l_extendedprice", "l_returnflag"))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     j = (li.join(p, li["l_partkey"] == p["p_partkey"])
@@ -97,7 +101,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(url, html) product pages built from ``part``; parts whose size is a
     multiple of 7 have no availability block."""
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    p = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
     block = F.when(F.col("p_size") % 7 == 0, F.lit("")).otherwise(F.concat(
         F.lit('<p class="instock availability"><i class="icon-ok"></i> In stock ('),
         F.col("p_size").cast("string"), F.lit(" available)</p>")))

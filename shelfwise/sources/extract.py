@@ -39,7 +39,10 @@ def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "
     base = (pages.select(F.col(key), F.col(url).alias("_url"),
                          H.node_text(H.first_match(html, H1_RE)).alias("category"),
                          F.regexp_extract_all(F.col(html), F.lit(ARTICLE_RE), 1).alias("_arts"))
-            .select(key, "_url", "category", F.posexplode("_arts").alias("_pos", "_a")))
+            # the outer form avoids the optimizer re-running the page regex in
+            # an inferred size(...) > 0 filter; pages without articles are dropped here
+            .select(key, "_url", "category", F.posexplode_outer("_arts").alias("_pos", "_a"))
+            .where(F.col("_a").isNotNull()))
     a = F.col("_a")
     title_attr = F.nullif(H.first_match(a, H3_LINK_TITLE_RE), F.lit(""))
     # raw fields first (one projection), URL resolution in the next one, so
@@ -56,11 +59,9 @@ def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "
         TX.parse_price(H.node_text(F.col("_price"))).alias("price"),
         TX.rating_from_word(F.col("_rating")).alias("rating"),
         "category", "_url", "_img", "_href")
-    return fields.select(
-        key, "position", "title", "price", "rating", "category",
-        F.when(F.col("_img").isNotNull(), U.resolve_url(F.col("_url"), F.col("_img"))).alias("image"),
-        F.when(F.col("_href").isNotNull(), U.canonical_url(F.col("_url"), F.col("_href"))).alias("product_page"),
-    )
+    with_img = U.with_resolved_url(fields, "_url", "_img", "image")
+    with_page = U.with_resolved_url(with_img, "_url", "_href", "product_page", canonical=True)
+    return with_page.select(key, "position", "title", "price", "rating", "category", "image", "product_page")
 
 
 def extract_product_fields(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -76,11 +77,12 @@ def extract_product_fields(pages: DataFrame, url: str = "url", html: str = "html
         F.nullif(H.first_match(html, PRODUCT_IMG_RE), F.lit("")).alias("_img"))
     parsed = raw.select("url", "_u", "_img", "_block",
                         TX.parse_availability(H.node_text(F.col("_block"))).alias("_p"))
-    return parsed.select(
-        "url",
+    fields = parsed.select(
+        "url", "_u", "_img",
         F.when(F.col("_block").isNull(), F.lit(False)).otherwise(F.col("_p.in_stock")).alias("in_stock"),
-        F.when(F.col("_block").isNull(), F.lit(None).cast("bigint")).otherwise(F.col("_p.stock")).alias("stock"),
-        F.when(F.col("_img").isNotNull(), U.resolve_url(F.col("_u"), F.col("_img"))).alias("page_image"))
+        F.when(F.col("_block").isNull(), F.lit(None).cast("bigint")).otherwise(F.col("_p.stock")).alias("stock"))
+    return (U.with_resolved_url(fields, "_u", "_img", "page_image")
+            .select("url", "in_stock", "stock", "page_image"))
 
 
 def enrich_from_pages(listing: DataFrame, products: DataFrame) -> DataFrame:
@@ -108,15 +110,16 @@ def extract_links(pages: DataFrame, key: str = "page_id", url: str = "url", html
     names = F.regexp_extract_all(nav, F.lit(LINK_RE), 2)
     z = pages.select(F.col(key), F.col(url).alias("_url"),
                      F.posexplode(F.arrays_zip(hrefs.alias("href"), names.alias("name"))).alias("_pos", "_l"))
-    return (z.where(F.col("_l.href") != "")
-            .select(F.col(key), (F.col("_pos") + 1).cast("int").alias("position"),
-                    H.node_text(F.col("_l.name")).alias("name"), F.col("_l.href").alias("href"),
-                    U.canonical_url(F.col("_url"), F.col("_l.href")).alias("link_url")))
+    links = (z.where(F.col("_l.href") != "")
+             .select(F.col(key), (F.col("_pos") + 1).cast("int").alias("position"),
+                     H.node_text(F.col("_l.name")).alias("name"), F.col("_l.href").alias("href"), "_url"))
+    return (U.with_resolved_url(links, "_url", "href", "link_url", canonical=True)
+            .select(key, "position", "name", "href", "link_url"))
 
 
 def extract_next_url(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    nxt = H.first_match(html, NEXT_RE)
-    return pages.select(F.col(key), F.when(nxt.isNotNull(), U.resolve_url(F.col(url), nxt)).alias("next_url"))
+    nxt = pages.select(F.col(key), F.col(url).alias("_u"), H.first_match(html, NEXT_RE).alias("_n"))
+    return U.with_resolved_url(nxt, "_u", "_n", "next_url").select(key, "next_url")
 
 
 def extract_page_fields(pages: DataFrame, key: str = "page_id", url: str = "url",

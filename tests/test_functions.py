@@ -73,7 +73,7 @@ def test_sha1_matches_hashlib(spark):
 BASES = ["http://h/a/b/c.html", "http://h", "https://h/x/", "http://h/a/b?q=1#f", "http://h/a/b/c/d/e/f/g/h/i/j.html"]
 HREFS = ["../d.html#x", "/e", "http://o/f", "", "?z=2", "#frag", "//cdn.example.com/i.png", "g", "./g/",
          "../../../../../../x", "a/./b/../c", "/p/../q/./r", "..", ".", "../", "a//b", "x/y/../../z?k=v#f",
-         "../" * 9 + "deep.html"]
+         "../" * 9 + "deep.html", "/a//../b", "/a/.//b", "/a//..", "x//../y", "./../a/./../../b/c/.."]
 
 
 def test_canonical_url_matches_urljoin(spark):
@@ -88,3 +88,14 @@ def test_canonical_url_matches_urljoin(spark):
 def test_node_text(spark):
     assert one_col(spark, ["  <b>Tom &amp; Jerry</b> &lt;3 ", "<p>a<br>b</p>", "&amp;lt;"], H.node_text) == \
         ["Tom & Jerry <3", "ab", "&lt;"]
+
+
+def test_with_resolved_url_equals_expression(spark):
+    pairs = [(b, h) for b in BASES + [None, ""] for h in HREFS + [None]]
+    df = spark.createDataFrame([(i, b, h) for i, (b, h) in enumerate(pairs)], "i int, b string, h string")
+    a = df.select("i", U.canonical_url("b", "h").alias("r")).orderBy("i").collect()
+    b = U.with_resolved_url(df, "b", "h", "r", canonical=True).orderBy("i").select("i", "r").collect()
+    assert a == b
+    c = df.select("i", U.resolve_url("b", "h").alias("r")).orderBy("i").collect()
+    d = U.with_resolved_url(df, "b", "h", "r").orderBy("i").select("i", "r").collect()
+    assert c == d
