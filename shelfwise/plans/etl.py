@@ -62,10 +62,18 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
     return with_one_row(base, dup)
 
 
-def cleaning_plan(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str]) -> DataFrame:
-    """Lazy processed table: id, category replacement, flag encoding."""
-    df = C.add_surrogate_id(raw, key_cols, prefix=config.id_prefix, hex_len=config.id_hex_len,
-                            content_cols=list(RAW_COLUMNS))
+def cleaning_plan(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
+                  with_id: bool = True) -> DataFrame:
+    """Lazy processed table: id, category replacement, flag encoding.
+
+    ``with_id=False`` leaves the id null and skips the shared-key check job;
+    for analyses that never read the id.
+    """
+    if with_id:
+        df = C.add_surrogate_id(raw, key_cols, prefix=config.id_prefix, hex_len=config.id_hex_len,
+                                content_cols=list(RAW_COLUMNS))
+    else:
+        df = raw.select(F.lit(None).cast("string").alias("id"), *raw.columns)
     df = C.replace_categories(df, "category", config.problematic_categories, config.default_category)
     df = C.encode_flag(df, "availability")
     return df.select(*PROCESSED_COLUMNS)

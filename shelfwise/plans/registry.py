@@ -204,13 +204,12 @@ def catalogue(spark, sf):
     return TB.catalogue_view(spark, sf)
 
 
-def processed(spark, sf):
-    return E.cleaning_plan(catalogue(spark, sf), CFG, KEY)
+def processed(spark, sf, with_id: bool = True):
+    return E.cleaning_plan(catalogue(spark, sf), CFG, KEY, with_id=with_id)
 
 
-def features(spark, sf, one_hot: bool = True):
-    df = E.feature_plan(processed(spark, sf), CFG, vocabulary=None if one_hot else [])
-    return df
+def features(spark, sf, one_hot: bool = True, with_id: bool = True):
+    return E.feature_plan(processed(spark, sf, with_id), CFG, vocabulary=None if one_hot else [])
 
 
 def records(spark, sf):
@@ -536,7 +535,7 @@ def _corr_sql(a: str, b: str) -> str:
 
 
 def _feat_numeric(spark, sf):
-    df = features(spark, sf, one_hot=False)
+    df = features(spark, sf, one_hot=False, with_id=False)
     return df.select(*[F.col(c).cast("int").alias(c) if c.startswith(("has_", "starts_with_")) else F.col(c)
                        for c in P.numeric_feature_columns(df, CORR_COLS[:6])])
 
@@ -561,7 +560,7 @@ def q_target_correlations(spark, sf):
     f"SELECT '{c}' AS column, {_corr_sql(c, 'popularity_score')} AS corr FROM feat0"
     for c in ("price", "rating", "stock", "title_length", "title_word_count", "availability")]) + ")")
 def q_feature_selection(spark, sf):
-    df = features(spark, sf, one_hot=False)
+    df = features(spark, sf, one_hot=False, with_id=False)
     return FE.selection_report(df, "popularity_score",
                                ["price", "rating", "stock", "title_length", "title_word_count", "availability"],
                                0.1)
@@ -571,7 +570,7 @@ def q_feature_selection(spark, sf):
   count_if(starts_with_the) AS starts_with_the, count_if(has_numbers) AS has_numbers,
   round(avg(title_length), 6) AS avg_title_length, round(avg(title_word_count), 6) AS avg_word_count FROM feat0""")
 def q_title_stats(spark, sf):
-    return P.title_stats(features(spark, sf, one_hot=False))
+    return P.title_stats(features(spark, sf, one_hot=False, with_id=False))
 
 
 @register("text_length_stats", _union([
@@ -901,8 +900,9 @@ def q_full_etl(spark, sf):
   CAST({10 + len(CAT_VOCAB)} AS BIGINT) AS features_created FROM cat""")
 def q_run_stats(spark, sf):
     raw = catalogue(spark, sf)
-    proc = processed(spark, sf)
-    return E.stats_frame(raw, proc, features(spark, sf), CFG)
+    # row and column counts do not depend on the id values
+    proc = processed(spark, sf, with_id=False)
+    return E.stats_frame(raw, proc, features(spark, sf, with_id=False), CFG)
 
 
 # =================================================================================
