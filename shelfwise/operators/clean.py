@@ -28,7 +28,8 @@ def key_digest(cols: Sequence[str]) -> Column:
 def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book_",
                      id_col: str = "id", hex_len: int = 32,
                      content_cols: Sequence[str] | None = None,
-                     max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS,
+                     keys_known_unique: bool = False) -> DataFrame:
     """Deterministic id ``prefix + md5(key)[:hex_len]`` as first column.
 
     Rows that share a key get ``_<md5(content)[:16]>_<n>`` appended, where n
@@ -37,7 +38,9 @@ def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book
     map-side-combined count; exact copies are counted the same way and
     regenerated in chunks, so no single key, however hot, is gathered into
     one task or window.  When no key is shared (checked by one bounded
-    aggregate job) the id is a plain projection: no join, no shuffle.
+    aggregate job, or known from the caller's own count of distinct key
+    digests, ``keys_known_unique``) the id is a plain projection: no join,
+    no shuffle.
     """
     cols = list(df.columns)
     content_cols = list(content_cols or cols)
@@ -46,7 +49,7 @@ def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book
     shared = (keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_kn"))
               .where(F.col("_kn") > 1).select("_k", F.lit(True).alias("_shared")))
     # bounded check: how many keys are shared (at most max_rows + 1 are counted)
-    n_shared = shared.limit(max_broadcast_keys + 1).count()
+    n_shared = 0 if keys_known_unique else shared.limit(max_broadcast_keys + 1).count()
     if n_shared == 0:
         return keyed.select(base_id.alias(id_col), *cols)
     # shared keys are 32-character digests, so the row bound also bounds bytes

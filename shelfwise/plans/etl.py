@@ -45,9 +45,11 @@ class PipelineStats:
 
 
 def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW_COLUMNS,
-               title: str = "title", category: str = "category") -> DataFrame:
+               title: str = "title", category: str = "category",
+               key_cols: Sequence[str] | None = None) -> DataFrame:
     """One row: total_records, null_records_found, categories_cleaned,
-    duplicate_titles (rows whose title occurs more than once)."""
+    duplicate_titles (rows whose title occurs more than once), and with
+    ``key_cols`` the number of distinct natural keys (``distinct_keys``)."""
     nulls = None
     for c in cols:
         t = F.count_if(F.col(c).isNull())
@@ -55,7 +57,9 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
     base = raw.agg(F.count(F.lit(1)).cast("bigint").alias("total_records"),
                    nulls.cast("bigint").alias("null_records_found"),
                    C.replaced_count(category, config.problematic_categories).cast("bigint")
-                   .alias("categories_cleaned"))
+                   .alias("categories_cleaned"),
+                   *([F.count_distinct(C.key_digest(key_cols)).cast("bigint").alias("distinct_keys")]
+                     if key_cols else []))
     dup = (raw.groupBy(title).agg(F.count(F.lit(1)).alias("_n"))
            .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")
                 .alias("duplicate_titles")))
@@ -63,7 +67,7 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
 
 
 def cleaning_plan(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
-                  with_id: bool = True) -> DataFrame:
+                  with_id: bool = True, keys_known_unique: bool = False) -> DataFrame:
     """Lazy processed table: id, category replacement, flag encoding.
 
     ``with_id=False`` leaves the id null and skips the shared-key check job;
@@ -71,7 +75,7 @@ def cleaning_plan(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str
     """
     if with_id:
         df = C.add_surrogate_id(raw, key_cols, prefix=config.id_prefix, hex_len=config.id_hex_len,
-                                content_cols=list(RAW_COLUMNS))
+                                content_cols=list(RAW_COLUMNS), keys_known_unique=keys_known_unique)
     else:
         df = raw.select(F.lit(None).cast("string").alias("id"), *raw.columns)
     df = C.replace_categories(df, "category", config.problematic_categories, config.default_category)
@@ -104,10 +108,11 @@ def run_cleaning(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str]
     if stage_input:
         raw = stage(raw.select(*RAW_COLUMNS, *[k for k in key_cols if k not in RAW_COLUMNS]),
                     None, "raw")
-    intake = intake_row(raw, config).first().asDict()
+    intake = intake_row(raw, config, key_cols=key_cols).first().asDict()
     if intake["null_records_found"] and config.on_null == "fail":
         Q.check_nulls(raw.select(*RAW_COLUMNS), "fail")
-    processed = stage(cleaning_plan(raw, config, key_cols), None, "processed")
+    unique = intake.pop("distinct_keys") == intake["total_records"]
+    processed = stage(cleaning_plan(raw, config, key_cols, keys_known_unique=unique), None, "processed")
     Q.assert_passed(Q.gate_processed(processed), "processed-data gate")
     if output:
         csv_io.write_parquet(processed, output)
