@@ -52,12 +52,10 @@ def normalize_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-# inputs whose queries do CPU-heavy row work (whole texts, raw HTML)
-SPREAD_TABLES = ("documents", "pages")
-
-
-def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return TB.table(spark, sf, name, spread_rows=name in SPREAD_TABLES)
+def t(spark: SparkSession, sf: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table; ``spread_rows`` for queries that run regexes over
+    whole texts or raw pages (see ``operators.common.spread``)."""
+    return TB.table(spark, sf, name, spread_rows=spread_rows)
 
 
 CFG = PipelineConfig(price_bands=TB.CATALOGUE_PRICE_BANDS,
@@ -237,7 +235,7 @@ def q_price_band_distribution(spark, sf):
 
 @register("title_features", f"""SELECT doc_id, {S.title_features('text')} FROM documents""")
 def q_title_features(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", *TX.title_feature_columns("text"))
+    return t(spark, sf, "documents", spread_rows=True).select("doc_id", *TX.title_feature_columns("text"))
 
 
 @register("title_pattern_counts", f"""SELECT
@@ -248,7 +246,7 @@ def q_title_features(spark, sf):
   count_if(contains(text, '(')) AS with_paren
 FROM documents""")
 def q_title_pattern_counts(spark, sf):
-    return P.title_pattern_counts(t(spark, sf, "documents"), "text")
+    return P.title_pattern_counts(t(spark, sf, "documents", spread_rows=True), "text")
 
 
 @register("rating_label", f"""SELECT o_orderkey,
@@ -430,7 +428,7 @@ def q_duplicates_report(spark, sf):
 
 @register("normalize_text", f"""SELECT doc_id, {S.normalize_text('text')} AS text FROM documents""")
 def q_normalize_text(spark, sf):
-    return C.normalize_columns(t(spark, sf, "documents").select("doc_id", "text"), ["text"])
+    return C.normalize_columns(t(spark, sf, "documents", spread_rows=True).select("doc_id", "text"), ["text"])
 
 
 LOCALE_TEXT = ("CASE l_linenumber % 3 WHEN 0 THEN 'R$ ' || replace(CAST(l_extendedprice AS STRING), '.', ',') "
@@ -724,7 +722,7 @@ def q_parse_availability(spark, sf):
 
 @register("slug", f"""SELECT doc_id, {S.slug('text')} AS slug FROM documents""")
 def q_slug(spark, sf):
-    return t(spark, sf, "documents").select("doc_id", TX.slug("text").alias("slug"))
+    return t(spark, sf, "documents", spread_rows=True).select("doc_id", TX.slug("text").alias("slug"))
 
 
 @register("url_extension", f"""SELECT page_id, {S.url_extension('url')} AS extension FROM pages""")
@@ -747,7 +745,7 @@ HREF_EXPR = ("CASE page_id % 8 WHEN 0 THEN '../a/./b.html#frag' WHEN 1 THEN '//c
 @register("canonical_url", f"""SELECT page_id, href, {S.canonical_url('url', 'href')} AS resolved
 FROM (SELECT page_id, url, {HREF_EXPR} AS href FROM pages)""")
 def q_canonical_url(spark, sf):
-    p = t(spark, sf, "pages").select("page_id", "url", F.expr(HREF_EXPR).alias("href"))
+    p = t(spark, sf, "pages", spread_rows=True).select("page_id", "url", F.expr(HREF_EXPR).alias("href"))
     return U.with_resolved_url(p, "url", "href", "resolved", canonical=True).select("page_id", "href", "resolved")
 
 
@@ -767,7 +765,7 @@ SELECT page_id, CAST(pos AS BIGINT) AS position, {S.node_text('name')} AS name,
 
 @register("extract_links", _links_sql())
 def q_extract_links(spark, sf):
-    return X.extract_links(t(spark, sf, "pages"))
+    return X.extract_links(t(spark, sf, "pages", spread_rows=True))
 
 
 @register("extract_page_fields", f"""SELECT page_id, {S.drop_fragment('url')} AS canonical_url,
@@ -777,7 +775,7 @@ def q_extract_links(spark, sf):
   CAST(len(regexp_extract_all(html, {S.q(X.LINK_RE)}, 1)) AS BIGINT) AS n_links,
   CAST(length({S.node_text('html')}) AS BIGINT) AS text_length FROM pages""")
 def q_extract_page_fields(spark, sf):
-    return X.extract_page_fields(t(spark, sf, "pages"))
+    return X.extract_page_fields(t(spark, sf, "pages", spread_rows=True))
 
 
 @register("next_page_links", f"""WITH {LP_SQL}
