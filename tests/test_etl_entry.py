@@ -139,3 +139,29 @@ def test_no_cartesian_or_nested_loop_join(spark):
     for name, fn in ENTRY.queries().items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+
+
+def test_cli_phases(spark, tmp_path):
+    import json as _json
+
+    from shelfwise import cli
+    from shelfwise.schema import RAW_SCHEMA
+    raw_path = tmp_path / "raw.csv"
+    with open(raw_path, "w", encoding="utf-8") as fh:
+        fh.write(",".join(f.name for f in RAW_SCHEMA.fields) + "\n")
+        fh.write('"The A: 1",15.5,3,"Default","http://i/a.jpg","http://p/a","yes",4,""\n')
+        fh.write('"B",45.0,5,"Poetry","http://i/b.jpg","http://p/b","no",20,""\n')
+    cfg = tmp_path / "cfg.json"
+    cfg.write_text(_json.dumps({"default_category": "Other"}))
+    out = {"--input": str(raw_path), "--processed": str(tmp_path / "proc"), "--features": str(tmp_path / "feat")}
+    argv = ["--config", str(cfg)] + [x for kv in out.items() for x in kv]
+    stats = cli.main(argv + ["--clean-only"], spark=spark)
+    assert stats["total_records"] == 2 and stats["categories_cleaned"] == 1
+    stats = cli.main(argv + ["--features-only"], spark=spark)
+    assert stats["features_created"] == 12
+    feats = spark.read.parquet(str(tmp_path / "feat"))
+    assert {"category_other", "category_poetry"} <= set(feats.columns)
+    stats = cli.main(argv, spark=spark)
+    assert stats["total_records"] == 2 and stats["processed_records"] == 2
+    with pytest.raises(SystemExit):
+        cli.parse_args(["--clean-only", "--features-only"])
