@@ -131,22 +131,23 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     rank_df = spark.createDataFrame(
         [(i, c, k) for i, (c, _lo, _hi, _b, ranks) in enumerate(final) for k in ranks],
         "fid int, column string, rank long")
-    picks = (ranked.join(F.broadcast(rank_df),
-                         (ranked["fid"] == rank_df["fid"]) & (ranked["first"] <= rank_df["rank"])
-                         & (rank_df["rank"] < ranked["end"]))
-             .select("column", "rank", "v"))
-    grid = spark.createDataFrame(
-        [(c, p, (n[c] - 1) * p if n.get(c) else None) for c in cols for p in probs],
-        "column string, prob double, h double")
-    lo_pick = picks.select("column", F.col("rank").alias("lo_rank"), F.col("v").alias("v_lo"))
-    hi_pick = picks.select("column", F.col("rank").alias("hi_rank"), F.col("v").alias("v_hi"))
-    g2 = (grid.withColumn("lo_rank", F.floor("h").cast("bigint"))
-          .withColumn("hi_rank", F.ceil("h").cast("bigint")))
-    return (g2.join(F.broadcast(lo_pick), ["column", "lo_rank"], "left")
-            .join(F.broadcast(hi_pick), ["column", "hi_rank"], "left")
-            .select("column", "prob",
-                    (F.col("v_lo") + (F.col("h") - F.col("lo_rank")) * (F.col("v_hi") - F.col("v_lo")))
-                    .alias("value")))
+    # one value per wanted rank: bounded by len(cols) * 2 * len(probs)
+    picked = {(r["column"], r["rank"]): r["v"] for r in
+              ranked.join(F.broadcast(rank_df),
+                          (ranked["fid"] == rank_df["fid"]) & (ranked["first"] <= rank_df["rank"])
+                          & (rank_df["rank"] < ranked["end"]))
+              .select("column", "rank", "v").collect()}
+    rows = []
+    for c in cols:
+        for p in probs:
+            value = None
+            if n.get(c):
+                h = (n[c] - 1) * p
+                lo, hi = math.floor(h), math.ceil(h)
+                v_lo, v_hi = picked[(c, lo)], picked[(c, hi)]
+                value = v_lo + (h - lo) * (v_hi - v_lo)
+            rows.append((c, p, value))
+    return spark.createDataFrame(rows, "column string, prob double, value double")
 
 
 def quantile_row(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:

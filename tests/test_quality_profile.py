@@ -3,7 +3,6 @@ correlations; the reference EDA unit-test inputs."""
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from shelfwise.operators import profile as P
 from shelfwise.operators import quality as Q
