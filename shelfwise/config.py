@@ -29,6 +29,18 @@ FEATURE_COLUMNS = ("price_range", "has_subtitle", "has_series", "starts_with_the
                    "title_length", "rating_category", "stock_level", "title_word_count",
                    "has_numbers", "popularity_score")
 BOOLEAN_FEATURES = ("has_subtitle", "has_series", "starts_with_the", "has_numbers")
+SUBTITLE_MARK = ":"
+SERIES_MARK = "("
+TITLE_PREFIX = "The "
+SLUG_MAX_LENGTH = 50
+SLUG_EMPTY = "unknown"
+KEYWORD_SCREEN_WORDS = ("comment", "default")
+MEDIA_PATH_MARK = "/media/"
+IMAGE_URL_EXTENSIONS = ("jpg", "jpeg", "png", "gif")
+BASE64_MIN_LENGTH = 200
+IQR_FACTOR = 1.5
+TITLE_LENGTH_BINS = 20
+TITLE_WORD_BINS = 15
 # -----------------------------------------------------------------------------
 
 

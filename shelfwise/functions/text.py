@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfwise.config import RATING_WORDS
+from shelfwise.config import (RATING_WORDS, SERIES_MARK, SLUG_EMPTY, SLUG_MAX_LENGTH, SUBTITLE_MARK,
+                              TITLE_PREFIX)
 
 DIGIT_RE = r"\p{Nd}"
 SPECIAL_RE = r"[^\p{L}\p{M}\p{N}_\s]"
@@ -29,15 +30,15 @@ def strip_ws(col: Column | str) -> Column:
 # --- title features (B9-B15) -------------------------------------------------
 
 def has_subtitle(col: Column | str) -> Column:
-    return _c(col).contains(":")
+    return _c(col).contains(SUBTITLE_MARK)
 
 
 def has_series(col: Column | str) -> Column:
-    return _c(col).contains("(")
+    return _c(col).contains(SERIES_MARK)
 
 
 def starts_with_the(col: Column | str) -> Column:
-    return _c(col).startswith("The ")
+    return _c(col).startswith(TITLE_PREFIX)
 
 
 def char_length(col: Column | str) -> Column:
@@ -118,7 +119,7 @@ def parse_availability(col: Column | str) -> Column:
 
 # --- slugs and normalisation (H5, H6, M4) -----------------------------------
 
-def slug(col: Column | str, maxlen: int = 50) -> Column:
+def slug(col: Column | str, maxlen: int = SLUG_MAX_LENGTH) -> Column:
     """null / '' -> 'unknown'; trim, lower, keep word chars, blanks and '-',
     runs of blanks / '-' -> '-', cut to ``maxlen``, trim '-'."""
     c = _c(col)
@@ -127,7 +128,7 @@ def slug(col: Column | str, maxlen: int = 50) -> Column:
     t = F.regexp_replace(t, r"[-\s]+", "-")
     t = F.substring(t, 1, maxlen)
     t = F.regexp_replace(t, r"^-+|-+$", "")
-    return F.when(c.isNull() | (c == ""), F.lit("unknown")).otherwise(t)
+    return F.when(c.isNull() | (c == ""), F.lit(SLUG_EMPTY)).otherwise(t)
 
 
 def column_slug(value: str) -> str:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.config import (POPULARITY_RATING_WEIGHT, POPULARITY_STOCK_WEIGHT, RATING_LABELS,
+from shelfwise.config import (IQR_FACTOR, POPULARITY_RATING_WEIGHT, POPULARITY_STOCK_WEIGHT, RATING_LABELS,
                               RATING_SCALE, Bands)
 from shelfwise.functions import bands as B
 from shelfwise.functions import text as TX
@@ -93,7 +93,7 @@ def one_hot_sums(df: DataFrame, prefix: str = "category_") -> DataFrame:
         .alias("_r")).select("_r.*")
 
 
-def iqr_bounds(df: DataFrame, cols: Sequence[str], factor: float = 1.5) -> DataFrame:
+def iqr_bounds(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
     """(column, q1, q3, lower, upper) from exact linear quartiles."""
     q = exact_quantiles(df, cols, [0.25, 0.75])
     wide = q.groupBy("column").agg(
@@ -113,7 +113,7 @@ def _bounds_row(df: DataFrame, cols: Sequence[str], factor: float) -> DataFrame:
             F.max(F.when(F.col("column") == c, F.col("upper"))).alias(f"_hi_{c}"))])
 
 
-def iqr_outlier_flag(df: DataFrame, cols: Sequence[str], factor: float = 1.5,
+def iqr_outlier_flag(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR,
                      out: str = "is_outlier") -> DataFrame:
     """Adds ``out``: true when any listed column is outside [Q1-f*IQR, Q3+f*IQR]."""
     cols = list(cols)
@@ -125,14 +125,14 @@ def iqr_outlier_flag(df: DataFrame, cols: Sequence[str], factor: float = 1.5,
         *[f"_{s}_{c}" for c in cols for s in ("lo", "hi")])
 
 
-def iqr_filter(df: DataFrame, cols: Sequence[str], factor: float = 1.5) -> DataFrame:
+def iqr_filter(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
     """Rows inside the IQR fences of every listed column (bounds computed
     once on the input).  A null value is kept."""
     flagged = iqr_outlier_flag(df, cols, factor, "_out")
     return flagged.where(~F.col("_out")).drop("_out")
 
 
-def iqr_outliers(df: DataFrame, col: str, factor: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR) -> DataFrame:
     """Rows outside the fences of one column."""
     flagged = iqr_outlier_flag(df, [col], factor, "_out")
     return flagged.where(F.col("_out")).drop("_out")

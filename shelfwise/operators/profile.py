@@ -13,12 +13,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.config import IMAGE_URL_EXTENSIONS, KEYWORD_SCREEN_WORDS, MEDIA_PATH_MARK
 from shelfwise.functions import text as TX
 from shelfwise.operators.common import bounded_broadcast, cols_or_all, r6, with_one_row
 from shelfwise.operators.features import guarded_corr
 from shelfwise.operators.quantiles import exact_quantiles
 
 
+IMAGE_EXTENSION_RE = r"\.(" + "|".join(IMAGE_URL_EXTENSIONS) + r")$"
+
+
 # --- value counts (D3-D6, F1-F3, G2) -----------------------------------------
 
 def value_counts(df: DataFrame, col: str, by: str = "count") -> DataFrame:
@@ -249,7 +253,7 @@ def title_pattern_counts(df: DataFrame, col: str = "title") -> DataFrame:
         F.count_if(TX.has_series(t)).cast("bigint").alias("with_paren"))
 
 
-def keyword_screen(df: DataFrame, col: str, words: Sequence[str] = ("comment", "default")) -> DataFrame:
+def keyword_screen(df: DataFrame, col: str, words: Sequence[str] = KEYWORD_SCREEN_WORDS) -> DataFrame:
     """Rows whose lower-cased value contains any of ``words``."""
     low = F.lower(F.col(col))
     cond = reduce(lambda a, b: a | b, [low.contains(w) for w in words])
@@ -261,8 +265,8 @@ def url_checks(df: DataFrame, image: str = "image", page: str = "product_page")
     distinct image / page URLs."""
     i = F.col(image)
     return df.agg(
-        F.count_if(i.contains("/media/")).cast("bigint").alias("media_urls"),
-        F.count_if(~i.rlike(r"\.(jpg|jpeg|png|gif)$")).cast("bigint").alias("no_image_extension"),
+        F.count_if(i.contains(MEDIA_PATH_MARK)).cast("bigint").alias("media_urls"),
+        F.count_if(~i.rlike(IMAGE_EXTENSION_RE)).cast("bigint").alias("no_image_extension"),
         F.count_distinct(i).cast("bigint").alias("distinct_images"),
         F.count_distinct(page).cast("bigint").alias("distinct_pages"))
 

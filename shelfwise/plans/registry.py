@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.config import Bands, PipelineConfig
+from shelfwise.config import BASE64_MIN_LENGTH, TITLE_LENGTH_BINS, TITLE_WORD_BINS, Bands, PipelineConfig
 from shelfwise.functions import html as H
 from shelfwise.functions import text as TX
 from shelfwise.functions import urls as U
@@ -340,7 +340,7 @@ def q_keyword_screen(spark, sf):
 
 
 @register("url_checks", f"""{WITH_RECS}SELECT count_if(contains(image, '/media/')) AS media_urls,
-  count_if(NOT regexp_matches(image, {S.q(r'\.(jpg|jpeg|png|gif)$')})) AS no_image_extension,
+  count_if(NOT regexp_matches(image, {S.q(P.IMAGE_EXTENSION_RE)})) AS no_image_extension,
   count(DISTINCT image) AS distinct_images, count(DISTINCT product_page) AS distinct_pages FROM recs""")
 def q_url_checks(spark, sf):
     return P.url_checks(records(spark, sf), "image", "product_page")
@@ -350,8 +350,8 @@ B64_IMAGE = "CASE WHEN doc_id % 2 = 0 THEN text ELSE 'http://img.example.com/' |
 
 
 @register("base64_passthrough", f"""SELECT doc_id,
-  CASE WHEN length(b64) > 200 THEN b64
-       WHEN length(image) > 200 AND regexp_matches(image, {S.q(r'^[A-Za-z0-9+/=\s]{200,}$')}) THEN image
+  CASE WHEN length(b64) > {BASE64_MIN_LENGTH} THEN b64
+       WHEN length(image) > {BASE64_MIN_LENGTH} AND regexp_matches(image, {S.q(X.BASE64_TEXT_RE)}) THEN image
        ELSE '' END AS image_base64
 FROM (SELECT doc_id, {B64_IMAGE} AS image,
              CASE WHEN doc_id % 3 = 0 THEN to_base64(encode(text)) ELSE '' END AS b64 FROM documents)""")
@@ -588,16 +588,16 @@ FROM (SELECT CAST(CASE WHEN mx - mn = 0 THEN 0 ELSE least(floor((x - mn) / (mx -
       FROM v, m WHERE x IS NOT NULL GROUP BY ALL)"""
 
 
-@register("histogram", _hist_sql("length(text)", 20))
+@register("histogram", _hist_sql("length(text)", TITLE_LENGTH_BINS))
 def q_histogram(spark, sf):
     d = t(spark, sf, "documents").select(F.char_length("text").alias("title_length"))
-    return P.histogram(d, "title_length", 20)
+    return P.histogram(d, "title_length", TITLE_LENGTH_BINS)
 
 
-@register("histogram_words", _hist_sql(S.word_count("text"), 15))
+@register("histogram_words", _hist_sql(S.word_count("text"), TITLE_WORD_BINS))
 def q_histogram_words(spark, sf):
     d = t(spark, sf, "documents").select(TX.word_count("text").alias("title_word_count"))
-    return P.histogram(d, "title_word_count", 15)
+    return P.histogram(d, "title_word_count", TITLE_WORD_BINS)
 
 
 @register("duplicate_rows_title", """SELECT doc_id, lang FROM documents

@@ -8,7 +8,7 @@ every match.)
 
 from __future__ import annotations
 
-from shelfwise.config import RATING_LABELS, RATING_WORDS, Bands
+from shelfwise.config import RATING_LABELS, RATING_WORDS, SLUG_MAX_LENGTH, Bands
 from shelfwise.functions import html as H
 from shelfwise.functions import text as TX
 from shelfwise.functions import urls as U
@@ -74,7 +74,7 @@ def availability(x: str) -> tuple[str, str]:
     return flag, stock
 
 
-def slug(x: str, maxlen: int = 50) -> str:
+def slug(x: str, maxlen: int = SLUG_MAX_LENGTH) -> str:
     t = f"lower({strip_ws(x)})"
     t = rr(t, r"[^\p{L}\p{N}_\s-]")
     t = rr(t, r"[-\s]+", "-")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.config import BASE64_MIN_LENGTH
 from shelfwise.functions import html as H
 from shelfwise.functions import text as TX
 from shelfwise.functions import urls as U
@@ -31,6 +32,7 @@ NAV_RE = r"(?s)<nav[^>]*>(.*?)</nav>"
 LINK_RE = r"(?s)<a\s[^>]*\bhref=\"([^\"]*)\"[^>]*>(.*?)</a>"
 NEXT_RE = r"(?s)<li\s[^>]*class=\"next\"[^>]*>\s*<a\s[^>]*\bhref=\"([^\"]*)\""
 LANG_RE = r"<html[^>]*\blang=\"([^\"]*)\""
+BASE64_TEXT_RE = r"^[A-Za-z0-9+/=\s]{" + str(BASE64_MIN_LENGTH) + r",}$"
 
 
 def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "url",
@@ -147,7 +149,7 @@ def base64_passthrough(df: DataFrame, image: str = "image", b64: str = "image_ba
     """Keep an existing base64 image: the field if longer than 200, or the
     URL field when it is itself base64 text of 200+ characters; else ''."""
     i, b = F.col(image), F.col(b64)
-    kept = (F.when(F.char_length(b) > 200, b)
-            .when((F.char_length(i) > 200) & i.rlike(r"^[A-Za-z0-9+/=\s]{200,}$"), i)
+    kept = (F.when(F.char_length(b) > BASE64_MIN_LENGTH, b)
+            .when((F.char_length(i) > BASE64_MIN_LENGTH) & i.rlike(BASE64_TEXT_RE), i)
             .otherwise(F.lit("")))
     return df.withColumn(out, kept)
