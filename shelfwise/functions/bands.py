@@ -34,10 +34,3 @@ def label_map(col: Column | str, pairs=RATING_LABELS) -> Column:
         cond = c == F.lit(value)
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr
-
-
-def band_sql(col: str, bands: Bands) -> str:
-    """The same band as a SQL CASE string (used by oracle queries and docs)."""
-    parts = [f"WHEN {col} <= {upper!r} THEN '{label}'" for upper, label in bands.bounds]
-    tail = f" ELSE '{bands.top_label}'" if bands.top_label is not None else ""
-    return "CASE " + " ".join(parts) + tail + " END"

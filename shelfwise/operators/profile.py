@@ -328,7 +328,3 @@ def columns_by_pattern(columns: Sequence[str], base: Sequence[str]) -> dict[str,
 def added_columns(after: Sequence[str], before: Sequence[str]) -> list[str]:
     b = set(before)
     return [c for c in after if c not in b]
-
-
-def with_char_length(col: str, out: str | None = None) -> Column:
-    return F.char_length(col).alias(out or f"{col}_length")

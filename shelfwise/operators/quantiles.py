@@ -148,11 +148,3 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 value = v_lo + (h - lo) * (v_hi - v_lo)
             rows.append((c, p, value))
     return spark.createDataFrame(rows, "column string, prob double, value double")
-
-
-def quantile_row(df: DataFrame, col: str, probs: Sequence[float], prefix: str = "q") -> DataFrame:
-    """One row with a column per probability (``q25``, ``q75`` ...)."""
-    q = exact_quantiles(df, [col], probs)
-    return q.groupBy().agg(*[
-        F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(f"{prefix}{round(p * 100):d}")
-        for p in probs])

@@ -86,7 +86,3 @@ def stream_features_to_table(spark: SparkSession, path: str, schema: T.StructTyp
     out = run_available_now(file_stream(spark, path, schema),
                             lambda df: row_features(df, config, **cols), name="features")
     return spark.read.parquet(out)
-
-
-def with_ingest_time(df: DataFrame) -> DataFrame:
-    return df.withColumn("ingested_at", F.current_timestamp())

@@ -165,3 +165,12 @@ def test_cli_phases(spark, tmp_path):
     assert stats["total_records"] == 2 and stats["processed_records"] == 2
     with pytest.raises(SystemExit):
         cli.parse_args(["--clean-only", "--features-only"])
+
+
+def test_schema_helpers_and_dtypes(spark):
+    from shelfwise import schema as SC
+    df = spark.createDataFrame([("t", 1.0)], "title string, price double")
+    assert SC.has_columns(df, ["title"]) and not SC.has_columns(df, ["title", "rating"])
+    assert SC.missing_columns(df, SC.raw_columns())[0] == "rating"
+    assert SC.processed_columns()[0] == "id" and SC.feature_columns()[-1] == "popularity_score"
+    assert rows(P.dtype_listing(df)) == [(0, "title", "string"), (1, "price", "double")]

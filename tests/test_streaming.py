@@ -28,3 +28,11 @@ def test_stream_equals_batch(spark):
 
 def test_single_file_glob():
     assert RW.single_file_glob("/d/events.parquet") == "/d/events.parque[t]"
+
+
+def test_stream_features_to_table(spark):
+    src = tempfile.mkdtemp(prefix="shelfwise-stream-src2-")
+    spark.createDataFrame([("A (1)", 19.0)], "title string, price double").write.parquet(f"{src}/p0")
+    out = RW.stream_features_to_table(spark, f"{src}/p*", spark.read.parquet(f"{src}/p0").schema)
+    r = out.first()
+    assert (r["price_range"], r["has_series"], r["has_numbers"]) == ("Baixo", True, True)
