@@ -58,3 +58,28 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for staged tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/stage/{name}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 ** 2,
+                 broadcast_bytes: int = 64 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of Parquet on ``total_cores``.
+
+    Shuffle partitions are sized so a partition of the largest shuffle (taken
+    as the input size, the worst case of the full-row shuffles in the
+    surrogate id and de-duplication) holds about ``partition_bytes``, and
+    never fewer than two per core; AQE then coalesces small partitions and
+    splits skewed ones.  Scan splits use the same target size.  Example:
+    100 TB on 8,000 cores -> 409,600 shuffle partitions of 256 MB.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }

@@ -174,3 +174,11 @@ def test_schema_helpers_and_dtypes(spark):
     assert SC.missing_columns(df, SC.raw_columns())[0] == "rating"
     assert SC.processed_columns()[0] == "id" and SC.feature_columns()[-1] == "popularity_score"
     assert rows(P.dtype_listing(df)) == [(0, "title", "string"), (1, "price", "double")]
+
+
+def test_cluster_conf_scales_with_input():
+    from shelfwise.session import cluster_conf
+    big = cluster_conf(100 * 1024 ** 4, 8000)
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
+    small = cluster_conf(10 * 1024 ** 2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
