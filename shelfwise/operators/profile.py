@@ -289,15 +289,26 @@ def duplicate_rows(df: DataFrame, col: str) -> DataFrame:
     """Every row whose ``col`` value occurs more than once (all copies kept;
     nulls form one group).
 
-    Counting is a map-side-combined aggregate, so a hot value is one row per
-    task before the shuffle; the repeated keys are then semi-joined back
-    null-safely (broadcast when their number is checked small, otherwise a
-    shuffle join that AQE can split when skewed).
+    Counting uses partial aggregation, so a hot value is one row per task
+    before the shuffle.  For text columns the count runs on the 16-byte md5
+    digest first; only the rows of repeated digests are then grouped on the
+    full value to confirm exact equality (a digest collision cannot create a
+    false duplicate), so whole texts are shuffled only for duplicated rows.
+    Repeated keys are semi-joined back null-safely: broadcast when checked
+    small, otherwise a shuffle join that AQE can split when skewed.
     """
-    keys = (df.groupBy(F.col(col).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1).select("_key"))
-    keys = bounded_broadcast(keys)
-    return df.join(keys, F.col(col).eqNullSafe(F.col("_key")), "left_semi")
+    def repeated(frame: DataFrame, key) -> DataFrame:
+        return (frame.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > 1).select("_key"))
+
+    if dict(df.dtypes).get(col) != "string":
+        keys = bounded_broadcast(repeated(df, F.col(col)))
+        return df.join(keys, F.col(col).eqNullSafe(F.col("_key")), "left_semi")
+    digest = F.coalesce(F.md5(F.col(col)), F.lit("-"))
+    digests = bounded_broadcast(repeated(df, digest))
+    cand = df.join(digests, digest == F.col("_key"), "left_semi")
+    keys = bounded_broadcast(repeated(cand, F.col(col)))
+    return cand.join(keys, F.col(col).eqNullSafe(F.col("_key")), "left_semi")
 
 
 # --- stage comparison (D19) ---------------------------------------------------------
