@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import DEFAULT_CATEGORY, PROBLEMATIC_CATEGORIES
 from shelfwise.functions import text as TX
-from shelfwise.operators.common import DEFAULT_BROADCAST_ROWS
+from shelfwise.operators.common import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadcast_fits
 
 KEY_SEP = "\u001f"   # unit separator between key parts
 NULL_MARK = "\u0000"  # stands for a null key part
@@ -105,16 +105,43 @@ def flag_counts(df: DataFrame, col: str = "availability") -> DataFrame:
     return df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
+def _repeated_hashes(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Column]:
+    """64-bit hashes that occur more than once (a map-side-combined count of
+    8-byte values).  A collision only adds candidates; callers confirm
+    exact equality on the candidate rows."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
+    rep = (df.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > 1).select("_h"))
+    return rep, h
+
+
 def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Exact duplicate rows removed (map-side combined aggregate)."""
-    return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
+    """Exact duplicate rows removed (over ``subset``, default all columns).
+
+    Rows whose hash occurs once are unique and pass without a shuffle of
+    their content; only rows of repeated hashes go through
+    ``dropDuplicates``.  When the repeated hashes fail the broadcast size
+    check, plain ``dropDuplicates`` (map-side combined) is used.
+    """
+    cols = list(subset or df.columns)
+    rep, h = _repeated_hashes(df, cols)
+    if not broadcast_fits(rep):
+        return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
+    rep_b = F.broadcast(rep)
+    singles = df.join(rep_b, h == F.col("_h"), "left_anti")
+    multi = df.join(rep_b, h == F.col("_h"), "left_semi")
+    multi = multi.dropDuplicates(list(subset)) if subset else multi.dropDuplicates()
+    return singles.unionByName(multi)
 
 
 def duplicates_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Each duplicated row (over ``subset``, default all columns) once, with
-    its number of copies."""
+    its number of copies.  Only rows of repeated hashes are grouped on
+    their full content."""
     cols = list(subset or df.columns)
-    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+    rep, h = _repeated_hashes(df, cols)
+    cand = df.join(bounded_broadcast(rep), h == F.col("_h"), "left_semi")
+    return (cand.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
             .where(F.col("copies") > 1))
 
 

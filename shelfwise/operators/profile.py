@@ -304,7 +304,7 @@ def duplicate_rows(df: DataFrame, col: str) -> DataFrame:
     if dict(df.dtypes).get(col) != "string":
         keys = bounded_broadcast(repeated(df, F.col(col)))
         return df.join(keys, F.col(col).eqNullSafe(F.col("_key")), "left_semi")
-    digest = F.coalesce(F.md5(F.col(col)), F.lit("-"))
+    digest = F.xxhash64(F.col(col))
     digests = bounded_broadcast(repeated(df, digest))
     cand = df.join(digests, digest == F.col("_key"), "left_semi")
     keys = bounded_broadcast(repeated(cand, F.col(col)))

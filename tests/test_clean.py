@@ -75,3 +75,15 @@ def test_surrogate_id_without_shared_keys_is_a_projection(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2).withColumnRenamed("id", "k")
     plan = C.add_surrogate_id(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_dedup_paths_agree(spark, monkeypatch):
+    data = [("a", 1), ("a", 1), ("b", 2), (None, None), (None, None), ("c", 3)]
+    df = spark.createDataFrame(data, "t string, v int").repartition(3)
+    fast = sorted(rows(C.dedup_rows(df)), key=str)
+    monkeypatch.setattr(C, "broadcast_fits", lambda *a, **k: False)
+    plain = sorted(rows(C.dedup_rows(df)), key=str)
+    assert fast == plain == sorted(set(data), key=str)
+    assert sorted(rows(C.dedup_rows(df, ["t"]), "t"), key=str) == sorted([("a",), ("b",), (None,), ("c",)], key=str)
+    rep = sorted(rows(C.duplicates_report(df)), key=str)
+    assert rep == sorted([("a", 1, 2), (None, None, 2)], key=str)
