@@ -26,7 +26,7 @@ from shelfwise.operators import features as FE
 from shelfwise.operators import quality as Q
 from shelfwise.operators.common import with_one_row
 from shelfwise.schema import require_columns
-from shelfwise.session import staging_path
+from shelfwise.session import remove_path, staging_path
 from shelfwise.sources import csv_io
 
 
@@ -87,38 +87,59 @@ def stage(df: DataFrame, path: str | None, name: str) -> DataFrame:
     """Write ``df`` as Parquet (to ``path`` or the shared staging folder)
     and continue from the written table: lineage is cut, so later jobs and
     retries read columns from the table instead of recomputing the plan."""
+    return _stage(df, path, name)[0]
+
+
+def _stage(df: DataFrame, path: str | None, name: str) -> tuple[DataFrame, str]:
     path = path or staging_path(df.sparkSession, f"{name}-{time.time_ns()}")
     csv_io.write_parquet(df, path)
-    return df.sparkSession.read.parquet(path)
-
+    return df.sparkSession.read.parquet(path), path
 
-def run_cleaning(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
-                 output: str | None = None, stage_input: bool = False) -> tuple[DataFrame, dict]:
-    """L1.  ``key_cols`` is the natural key used for the id (extra raw
-    columns such as the key travel with the input and are dropped).
 
-    ``stage_input`` writes the raw input once first; use it when the input
-    is itself an expensive plan (a join) rather than a file scan, since the
-    intake aggregate, the key check and the cleaning pass all read it.
-    The processed table is always written before the gate runs, so the gate
-    reads a few columns of the written table; nothing is published to
-    ``output`` by the caller unless the gate passes (the table is staged).
-    """
+def _clean(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str], output: str | None,
+           stage_input: bool) -> tuple[DataFrame, dict, str | None]:
+    """Cleaning run; returns the processed table, the statistics and the
+    staging path still backing the table (None when it was published to
+    ``output``)."""
     require_columns(raw, RAW_COLUMNS, "raw table")
+    spark = raw.sparkSession
+    raw_path = None
     if stage_input:
-        raw = stage(raw.select(*RAW_COLUMNS, *[k for k in key_cols if k not in RAW_COLUMNS]),
-                    None, "raw")
+        raw, raw_path = _stage(raw.select(*RAW_COLUMNS, *[k for k in key_cols if k not in RAW_COLUMNS]),
+                               None, "raw")
     intake = intake_row(raw, config, key_cols=key_cols).first().asDict()
     if intake["null_records_found"] and config.on_null == "fail":
         Q.check_nulls(raw.select(*RAW_COLUMNS), "fail")
     unique = intake.pop("distinct_keys") == intake["total_records"]
-    processed = stage(cleaning_plan(raw, config, key_cols, keys_known_unique=unique), None, "processed")
+    processed, proc_path = _stage(cleaning_plan(raw, config, key_cols, keys_known_unique=unique),
+                                  None, "processed")
     Q.assert_passed(Q.gate_processed(processed), "processed-data gate")
     if output:
         csv_io.write_parquet(processed, output)
-        processed = processed.sparkSession.read.parquet(output)
+        processed = spark.read.parquet(output)
+        remove_path(spark, proc_path)
+        proc_path = None
+    if raw_path:
+        remove_path(spark, raw_path)   # nothing reads the staged input any more
     stats = dict(intake)
     stats["processed_records"] = stats["total_records"]
+    return processed, stats, proc_path
+
+
+def run_cleaning(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
+                 output: str | None = None, stage_input: bool = False) -> tuple[DataFrame, dict]:
+    """L1.  ``key_cols`` is the natural key used for the id (extra raw
+    columns such as the key travel with the input and are dropped).
+
+    ``stage_input`` writes the raw input once first; use it when the input
+    is itself an expensive plan (a join) rather than a file scan, since the
+    intake aggregate, the id and the cleaning pass all read it.  The
+    processed table is always written before the gate runs, so the gate
+    reads a few columns of the written table; it is copied to ``output``
+    only when the gate passed.  Staged copies that nothing reads any more
+    are removed; on a failed gate they stay for inspection.
+    """
+    processed, stats, _ = _clean(raw, config, key_cols, output, stage_input)
     return processed, stats
 
 
@@ -141,11 +162,12 @@ def run_features(processed: DataFrame, config: PipelineConfig,
     write to the staging folder, the gate on the written table, and, when
     ``output`` is given and the gate passed, the copy to ``output``."""
     require_columns(processed, PROCESSED_COLUMNS, "processed table")
-    feats = stage(feature_plan(processed, config), None, "features")
+    feats, feat_path = _stage(feature_plan(processed, config), None, "features")
     Q.assert_passed(Q.gate_features(feats), "feature gate")
     if output:
         csv_io.write_parquet(feats, output)
         feats = feats.sparkSession.read.parquet(output)
+        remove_path(feats.sparkSession, feat_path)
     stats = {"features_created": len(feats.columns) - len(PROCESSED_COLUMNS),
              "category_columns": len([c for c in feats.columns if c.startswith("category_")])}
     return feats, stats
@@ -157,8 +179,10 @@ def run_full(spark: SparkSession, raw: DataFrame, config: PipelineConfig, key_co
     """L3: cleaning, staged processed table, features.  Returns the feature
     table and the run statistics."""
     t0 = time.perf_counter()
-    processed, s1 = run_cleaning(raw, config, key_cols, processed_out, stage_input=stage_input)
+    processed, s1, proc_path = _clean(raw, config, key_cols, processed_out, stage_input)
     feats, s2 = run_features(processed, config, features_out)
+    if proc_path:
+        remove_path(spark, proc_path)   # the feature table is written; phase 1's copy is done
     stats = PipelineStats(
         total_records=s1["total_records"], null_records_found=s1["null_records_found"],
         duplicate_titles=s1["duplicate_titles"], categories_cleaned=s1["categories_cleaned"],

@@ -83,3 +83,12 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
     }
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a staged table (recursively) through the cluster's Hadoop
+    file system, e.g. the shared checkpoint folder."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))

@@ -182,3 +182,23 @@ def test_cluster_conf_scales_with_input():
     assert big["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
     small = cluster_conf(10 * 1024 ** 2, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_staged_copies_removed(spark, tmp_path):
+    import os as _os
+
+    from shelfwise.session import staging_path
+    stage_root = staging_path(spark, "x").rsplit("/", 1)[0]
+
+    def listing():
+        return set(_os.listdir(stage_root)) if _os.path.isdir(stage_root) else set()
+
+    raw = raw_books(spark, RUN_ROWS)
+    before = listing()
+    E.run_full(spark, raw, PipelineConfig(), ["title"], str(tmp_path / "p"), str(tmp_path / "f"),
+               stage_input=True)
+    assert listing() == before                      # outputs given: no staged copy left
+    feats, _ = E.run_full(spark, raw, PipelineConfig(), ["title"], stage_input=True)
+    new = listing() - before
+    assert len(new) == 1 and next(iter(new)).startswith("features-")   # only the returned table
+    assert feats.count() == 2
