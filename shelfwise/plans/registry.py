@@ -24,7 +24,7 @@ from shelfwise.operators import quality as Q
 from shelfwise.plans import etl as E
 from shelfwise.plans import sqltext as S
 from shelfwise.plans import tables as TB
-from shelfwise.session import staging_path
+from shelfwise.session import remove_path, staging_path
 from shelfwise.sources import csv_io
 from shelfwise.sources import extract as X
 
@@ -878,8 +878,9 @@ def q_clean_stage(spark, sf):
 def q_feature_stage(spark, sf):
     """L2 as the reference runs it: phase 2 starts from the written
     processed table (staged here), not from the phase-1 plan."""
-    staged = E.stage(processed(spark, sf), None, "processed")
+    staged, path = E._stage(processed(spark, sf), None, "processed")
     df, _ = E.run_features(staged, CFG)
+    remove_path(spark, path)   # the feature table is written; the phase-1 copy is done
     return df
 
 
