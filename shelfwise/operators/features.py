@@ -93,9 +93,11 @@ def one_hot_sums(df: DataFrame, prefix: str = "category_") -> DataFrame:
         .alias("_r")).select("_r.*")
 
 
-def iqr_bounds(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
-    """(column, q1, q3, lower, upper) from exact linear quartiles."""
-    q = exact_quantiles(df, cols, [0.25, 0.75])
+def iqr_bounds(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR,
+               interpolation: str = "linear") -> DataFrame:
+    """(column, q1, q3, lower, upper) from exact quartiles (linear by
+    default; see ``exact_quantiles`` for the other rules)."""
+    q = exact_quantiles(df, cols, [0.25, 0.75], interpolation=interpolation)
     wide = q.groupBy("column").agg(
         F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q3"))
@@ -105,8 +107,8 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR) -
                        (F.col("q3") + F.lit(factor) * iqr).alias("upper"))
 
 
-def _bounds_row(df: DataFrame, cols: Sequence[str], factor: float) -> DataFrame:
-    b = iqr_bounds(df, cols, factor)
+def _bounds_row(df: DataFrame, cols: Sequence[str], factor: float, interpolation: str) -> DataFrame:
+    b = iqr_bounds(df, cols, factor, interpolation)
     return b.groupBy().agg(*[
         agg for c in cols for agg in (
             F.max(F.when(F.col("column") == c, F.col("lower"))).alias(f"_lo_{c}"),
@@ -114,10 +116,10 @@ def _bounds_row(df: DataFrame, cols: Sequence[str], factor: float) -> DataFrame:
 
 
 def iqr_outlier_flag(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR,
-                     out: str = "is_outlier") -> DataFrame:
+                     out: str = "is_outlier", interpolation: str = "linear") -> DataFrame:
     """Adds ``out``: true when any listed column is outside [Q1-f*IQR, Q3+f*IQR]."""
     cols = list(cols)
-    joined = with_one_row(df, _bounds_row(df, cols, factor))
+    joined = with_one_row(df, _bounds_row(df, cols, factor, interpolation))
     cond = F.lit(False)
     for c in cols:
         cond = cond | (F.col(c) < F.col(f"_lo_{c}")) | (F.col(c) > F.col(f"_hi_{c}"))
@@ -125,16 +127,18 @@ def iqr_outlier_flag(df: DataFrame, cols: Sequence[str], factor: float = IQR_FAC
         *[f"_{s}_{c}" for c in cols for s in ("lo", "hi")])
 
 
-def iqr_filter(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR) -> DataFrame:
+def iqr_filter(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR,
+               interpolation: str = "linear") -> DataFrame:
     """Rows inside the IQR fences of every listed column (bounds computed
     once on the input).  A null value is kept."""
-    flagged = iqr_outlier_flag(df, cols, factor, "_out")
+    flagged = iqr_outlier_flag(df, cols, factor, "_out", interpolation)
     return flagged.where(~F.col("_out")).drop("_out")
 
 
-def iqr_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR) -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR,
+                 interpolation: str = "linear") -> DataFrame:
     """Rows outside the fences of one column."""
-    flagged = iqr_outlier_flag(df, [col], factor, "_out")
+    flagged = iqr_outlier_flag(df, [col], factor, "_out", interpolation)
     return flagged.where(F.col("_out")).drop("_out")
 
 

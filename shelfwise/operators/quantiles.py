@@ -60,11 +60,44 @@ def _restrict(long: DataFrame, intervals: list[tuple], key: str) -> DataFrame:
     return long.join(F.broadcast(idf), cond).select(key, "v")
 
 
+INTERPOLATIONS = ("linear", "lower", "higher", "midpoint", "nearest")
+
+
+def _ranks(h: float, interpolation: str) -> tuple[int, int]:
+    """0-based order statistics an interpolation reads at position h."""
+    lo, hi = math.floor(h), math.ceil(h)
+    if interpolation == "lower":
+        return lo, lo
+    if interpolation == "higher":
+        return hi, hi
+    if interpolation == "nearest":          # half away from zero, as Rust's f64::round
+        r = math.floor(h + 0.5)
+        return r, r
+    return lo, hi
+
+
+def _combine(h: float, lo: int, v_lo: float, v_hi: float, interpolation: str) -> float:
+    if interpolation == "linear":
+        return v_lo + (h - lo) * (v_hi - v_lo)
+    if interpolation == "midpoint":
+        return v_lo + (v_hi - v_lo) / 2.0
+    return v_lo
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     ranges: int = DEFAULT_RANGES,
-                    max_interval_distinct: int = MAX_INTERVAL_DISTINCT) -> DataFrame:
+                    max_interval_distinct: int = MAX_INTERVAL_DISTINCT,
+                    interpolation: str = "linear") -> DataFrame:
     """``(column string, prob double, value double)``; nulls and NaN are
-    ignored; a column without values gives a null value."""
+    ignored; a column without values gives a null value.
+
+    ``interpolation``: "linear" (default; Spark ``percentile``, DuckDB
+    ``quantile_cont``), "lower", "higher", "midpoint" or "nearest" (the
+    nearest-rank rule some single-machine DataFrame libraries use by
+    default).
+    """
+    if interpolation not in INTERPOLATIONS:
+        raise ValueError(f"interpolation must be one of {INTERPOLATIONS}")
     spark = df.sparkSession
     cols, probs = list(cols), [float(p) for p in probs]
     long = _long(df, cols)
@@ -73,8 +106,10 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     wanted: dict[str, list[int]] = {}
     for c in cols:
         if n.get(c):
-            hs = [(n[c] - 1) * p for p in probs]
-            wanted[c] = sorted({math.floor(h) for h in hs} | {math.ceil(h) for h in hs})
+            ranks = set()
+            for p in probs:
+                ranks.update(_ranks((n[c] - 1) * p, interpolation))
+            wanted[c] = sorted(ranks)
 
     # task: (column, lo, hi, base, ranks); base = number of values <= lo
     tasks = [(c, None, None, 0, ranks) for c, ranks in wanted.items()]
@@ -143,8 +178,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             value = None
             if n.get(c):
                 h = (n[c] - 1) * p
-                lo, hi = math.floor(h), math.ceil(h)
-                v_lo, v_hi = picked[(c, lo)], picked[(c, hi)]
-                value = v_lo + (h - lo) * (v_hi - v_lo)
+                lo, hi = _ranks(h, interpolation)
+                value = _combine(h, lo, picked[(c, lo)], picked[(c, hi)], interpolation)
             rows.append((c, p, value))
     return spark.createDataFrame(rows, "column string, prob double, value double")

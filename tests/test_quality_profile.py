@@ -125,3 +125,23 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     assert not common.broadcast_fits(df, 100, 5_000)         # too many bytes
     big = P.duplicate_rows(spark.createDataFrame([("a",), ("a",)], "t string"), "t")
     assert big.count() == 2
+
+
+@pytest.mark.parametrize("method", ["lower", "higher", "midpoint"])
+def test_quantile_interpolations_match_numpy(spark, method):
+    vals = [float(x) for x in [5, 1, 9, 3, 7, 2, 8, 8, 4, 10, 6]]
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    probs = [0.1, 0.25, 0.33, 0.5, 0.9]
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["a"], probs, interpolation=method).collect()}
+    for p in probs:
+        assert got[p] == pytest.approx(float(np.quantile(vals, p, method=method)))
+
+
+def test_quantile_nearest_rounds_half_away_from_zero(spark):
+    df = spark.createDataFrame([(float(v),) for v in [10, 20, 30, 40]], "a double")
+    # positions (n-1)*p: 0.5 -> rank 1, 1.5 -> rank 2, 0.75 -> rank 1
+    got = {r["prob"]: r["value"] for r in
+           exact_quantiles(df, ["a"], [1 / 6, 0.5, 0.25], interpolation="nearest").collect()}
+    assert (got[1 / 6], got[0.5], got[0.25]) == (20.0, 30.0, 20.0)
+    with pytest.raises(ValueError):
+        exact_quantiles(df, ["a"], [0.5], interpolation="cubic")
