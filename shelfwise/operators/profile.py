@@ -84,13 +84,14 @@ def limit_first_n(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFra
 
 # --- numeric summaries (D8-D11, M12) -----------------------------------------
 
-def _quartile_wide(df: DataFrame, cols: Sequence[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    q = exact_quantiles(df, cols, probs)
+def _quartile_wide(df: DataFrame, cols: Sequence[str], probs=(0.25, 0.5, 0.75),
+                   interpolation: str = "linear") -> DataFrame:
+    q = exact_quantiles(df, cols, probs, interpolation=interpolation)
     return q.groupBy("column").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(p * 100):d}") for p in probs])
 
 
-def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def numeric_summary(df: DataFrame, cols: Sequence[str], interpolation: str = "linear") -> DataFrame:
     """(column, min, max, mean, median, std) per numeric column."""
     row = df.agg(*[a for i, c in enumerate(cols) for a in (
         F.min(F.col(c).cast("double")).alias(f"_mn{i}"), F.max(F.col(c).cast("double")).alias(f"_mx{i}"),
@@ -99,12 +100,14 @@ def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.struct(F.lit(c).alias("column"), F.col(f"_mn{i}").alias("min"), F.col(f"_mx{i}").alias("max"),
                  r6(F.col(f"_av{i}")).alias("mean"), r6(F.col(f"_sd{i}")).alias("std"))
         for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
-    med = exact_quantiles(df, cols, [0.5]).select("column", r6(F.col("value")).alias("median"))
+    med = (exact_quantiles(df, cols, [0.5], interpolation=interpolation)
+           .select("column", r6(F.col("value")).alias("median")))
     return long.join(F.broadcast(med), "column").select("column", "min", "max", "mean", "median", "std")
 
 
-def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, count, null_count, mean, std, min, q25, q50, q75, max)."""
+def describe(df: DataFrame, cols: Sequence[str], interpolation: str = "linear") -> DataFrame:
+    """(column, count, null_count, mean, std, min, q25, q50, q75, max);
+    quartiles exact, by the chosen interpolation rule."""
     row = df.agg(*[a for i, c in enumerate(cols) for a in (
         F.count(c).cast("bigint").alias(f"_n{i}"),
         F.count_if(F.col(c).isNull()).cast("bigint").alias(f"_z{i}"),
@@ -116,7 +119,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  r6(F.col(f"_sd{i}")).alias("std"), F.col(f"_mn{i}").alias("min"),
                  F.col(f"_mx{i}").alias("max"))
         for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
-    qs = _quartile_wide(df, cols)
+    qs = _quartile_wide(df, cols, interpolation=interpolation)
     return (long.join(F.broadcast(qs), "column")
             .select("column", "count", "null_count", "mean", "std", "min",
                     r6(F.col("q25")).alias("q25"), r6(F.col("q50")).alias("q50"),

@@ -145,3 +145,11 @@ def test_quantile_nearest_rounds_half_away_from_zero(spark):
     assert (got[1 / 6], got[0.5], got[0.25]) == (20.0, 30.0, 20.0)
     with pytest.raises(ValueError):
         exact_quantiles(df, ["a"], [0.5], interpolation="cubic")
+
+
+def test_describe_nearest(spark):
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4]], "x double")
+    r = P.describe(df, ["x"], interpolation="nearest").first()
+    assert (r["q25"], r["q50"], r["q75"]) == (2.0, 3.0, 3.0)   # positions 0.75, 1.5, 2.25
+    lin = P.describe(df, ["x"]).first()
+    assert (lin["q25"], lin["q50"], lin["q75"]) == (1.75, 2.5, 3.25)
