@@ -79,8 +79,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     partitions than the cluster can run at once (for instance a single
     Parquet row group) and CPU-heavy row work follows.  On a large input
     with many splits this is a no-op, so no shuffle is added at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:   # no RDD view (e.g. a Spark Connect session): leave the plan as it is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def r6(col: Column) -> Column:

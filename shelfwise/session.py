@@ -43,14 +43,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (local tests) a fresh scratch folder is created and registered.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: no SparkContext on the client
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if sc is not None:
+            sc.setCheckpointDir(current)
         return current
     scratch = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
+    if sc is not None:
+        sc.setCheckpointDir(scratch)
     return scratch
 
 
@@ -88,7 +94,10 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete a staged table (recursively) through the cluster's Hadoop
     file system, e.g. the shared checkpoint folder."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.delete(hpath, True))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(hpath, True))
+    except Exception:   # best effort: a left-over staged copy is only disk
+        return False
