@@ -42,8 +42,9 @@ def add_popularity_score(df: DataFrame, rating: str = "rating", stock: str = "st
                          out: str = "popularity_score") -> DataFrame:
     """(rating / 5) * 0.7 + (stock / max stock) * 0.3.
 
-    The maximum is a one-row aggregate attached by a broadcast cross join
-    (no un-partitioned window).  max stock 0 gives a null score.
+    The maximum is a one-row aggregate attached as a scalar subquery (run
+    once; no join, no un-partitioned window).  max stock 0 gives a null
+    score.
     """
     mx = df.agg(F.max(stock).alias("_max_stock"))
     score = ((F.col(rating) / F.lit(RATING_SCALE)) * F.lit(POPULARITY_RATING_WEIGHT)

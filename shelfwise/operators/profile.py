@@ -293,9 +293,9 @@ def duplicate_rows(df: DataFrame, col: str) -> DataFrame:
     nulls form one group).
 
     Counting uses partial aggregation, so a hot value is one row per task
-    before the shuffle.  For text columns the count runs on the 16-byte md5
-    digest first; only the rows of repeated digests are then grouped on the
-    full value to confirm exact equality (a digest collision cannot create a
+    before the shuffle.  For text columns the count runs on an 8-byte hash
+    (``xxhash64``) first; only the rows of repeated hashes are then grouped
+    on the full value to confirm exact equality (a collision cannot create a
     false duplicate), so whole texts are shuffled only for duplicated rows.
     Repeated keys are semi-joined back null-safely: broadcast when checked
     small, otherwise a shuffle join that AQE can split when skewed.
