@@ -81,3 +81,21 @@ def test_split_is_deterministic(spark):
     assert sorted(rows(a)) == sorted(rows(b))
     share = dict(rows(a))["train"] / 1000
     assert 0.75 < share < 0.85
+
+
+def test_one_hot_fixed_vocabulary(spark):
+    df = spark.createDataFrame([(0, "a"), (1, "new"), (2, None)], "i int, category string")
+    out = FE.add_one_hot(df, vocabulary=["a", "b"]).orderBy("i")
+    assert out.columns[-2:] == ["category_a", "category_b"]
+    assert rows(out, "category_a", "category_b") == [(1, 0), (0, 0), (0, 0)]   # unseen value -> all 0
+
+
+def test_feature_plan_uses_config_vocabulary(spark):
+    from shelfwise.config import PipelineConfig
+    from shelfwise.plans import etl as E
+    proc = spark.createDataFrame(
+        [("x", "T", 10.0, 3, "a", "", "", 1, 4, "")],
+        "id string, title string, price double, rating int, category string, image string, "
+        "product_page string, availability int, stock int, image_base64 string")
+    feats = E.feature_plan(proc, PipelineConfig(one_hot_vocabulary=("a", "z")))
+    assert [c for c in feats.columns if c.startswith("category_")] == ["category_a", "category_z"]
