@@ -17,7 +17,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.config import FEATURE_COLUMNS, PROCESSED_COLUMNS, RAW_COLUMNS, PipelineConfig
@@ -90,8 +90,11 @@ def stage(df: DataFrame, path: str | None, name: str) -> DataFrame:
     return _stage(df, path, name)[0]
 
 
-def _stage(df: DataFrame, path: str | None, name: str) -> tuple[DataFrame, str]:
+def _stage(df: DataFrame, path: str | None, name: str,
+           observation: Observation | None = None) -> tuple[DataFrame, str]:
     path = path or staging_path(df.sparkSession, f"{name}-{time.time_ns()}")
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
     csv_io.write_parquet(df, path)
     return df.sparkSession.read.parquet(path), path
 
@@ -111,8 +114,9 @@ def _clean(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str], outp
     if intake["null_records_found"] and config.on_null == "fail":
         Q.check_nulls(raw.select(*RAW_COLUMNS), "fail")
     unique = intake.pop("distinct_keys") == intake["total_records"]
+    written = Observation("processed")   # rows counted by the write job itself
     processed, proc_path = _stage(cleaning_plan(raw, config, key_cols, keys_known_unique=unique),
-                                  None, "processed")
+                                  None, "processed", written)
     Q.assert_passed(Q.gate_processed(processed), "processed-data gate")
     if output:
         csv_io.write_parquet(processed, output)
@@ -122,7 +126,7 @@ def _clean(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str], outp
     if raw_path:
         remove_path(spark, raw_path)   # nothing reads the staged input any more
     stats = dict(intake)
-    stats["processed_records"] = stats["total_records"]
+    stats["processed_records"] = int(written.get["rows"])
     return processed, stats, proc_path
 
 
