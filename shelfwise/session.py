@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "shelfwise") -> SparkSession:
+                app_name: str = "shelfwise", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Local session with AQE, skew-join splitting and the UI off."""
     master = master or os.environ.get("SHELFWISE_MASTER", "local[8]")
     parts = shuffle_partitions or int(os.environ.get("SHELFWISE_SHUFFLE_PARTITIONS", "8"))
@@ -30,6 +30,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", os.environ.get("SHELFWISE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
