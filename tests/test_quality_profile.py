@@ -153,3 +153,11 @@ def test_describe_nearest(spark):
     assert (r["q25"], r["q50"], r["q75"]) == (2.0, 3.0, 3.0)   # positions 0.75, 1.5, 2.25
     lin = P.describe(df, ["x"]).first()
     assert (lin["q25"], lin["q50"], lin["q75"]) == (1.75, 2.5, 3.25)
+
+
+def test_processed_gate_id_paths(spark):
+    base = [("a", 1.0, 3, 1, 1), ("b", 1.0, 3, 1, 1)]
+    unique = spark.createDataFrame(base, PROC)
+    assert dict(rows(Q.gate_processed(unique, required=("id",)), "rule", "violations"))["id_unique"] == 0
+    with_null = spark.createDataFrame(base + [(None, 1.0, 3, 1, 1)], PROC)
+    assert dict(rows(Q.gate_processed(with_null, required=("id",)), "rule", "violations"))["id_unique"] == 1
