@@ -48,6 +48,12 @@ def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book
     base_id = F.concat(F.lit(prefix), F.substring("_k", 1, hex_len))
     shared = (keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_kn"))
               .where(F.col("_kn") > 1).select("_k", F.lit(True).alias("_shared")))
+    if not keys_known_unique:
+        # 8-byte pre-check: as many distinct key hashes as rows proves the keys
+        # unique (a collision only lowers the count and leads to the full check)
+        r = df.agg(F.count(F.lit(1)).alias("n"),
+                   F.count_distinct(F.xxhash64(*[F.col(k) for k in key_cols])).alias("hd")).first()
+        keys_known_unique = r["n"] == r["hd"]
     # bounded check: how many keys are shared (at most max_rows + 1 are counted)
     n_shared = 0 if keys_known_unique else shared.limit(max_broadcast_keys + 1).count()
     if n_shared == 0:
