@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from shelfwise.llm.bpe_codec import op6_byte_bpe
 from shelfwise.llm.common import read_table
+from shelfwise.llm.fingerprints import op10_fingerprints
 from shelfwise.llm.quality_rules import op1_quality_rules
 from shelfwise.llm.secret_ledger import op2_secret_scan
 
@@ -18,6 +20,8 @@ def _on_documents(op):
 LLM_QUERIES = {
     "op1_quality_rules": _on_documents(op1_quality_rules),
     "op2_secret_scan": _on_documents(op2_secret_scan),
+    "op6_byte_bpe": _on_documents(op6_byte_bpe),
+    "op10_fingerprints": _on_documents(op10_fingerprints),
 }
 
 LLM_SQL: dict[str, str] = {}
