@@ -5,8 +5,10 @@ from __future__ import annotations
 from shelfwise.llm.bpe_codec import op6_byte_bpe
 from shelfwise.llm.common import read_table
 from shelfwise.llm.fingerprints import op10_fingerprints
+from shelfwise.llm.mixing import op5_source_mix
 from shelfwise.llm.quality_rules import op1_quality_rules
 from shelfwise.llm.secret_ledger import op2_secret_scan
+from shelfwise.llm.sharding import op9_sharding
 
 
 def _on_documents(op):
@@ -20,7 +22,9 @@ def _on_documents(op):
 LLM_QUERIES = {
     "op1_quality_rules": _on_documents(op1_quality_rules),
     "op2_secret_scan": _on_documents(op2_secret_scan),
+    "op5_source_mix": _on_documents(op5_source_mix),
     "op6_byte_bpe": _on_documents(op6_byte_bpe),
+    "op9_sharding": _on_documents(op9_sharding),
     "op10_fingerprints": _on_documents(op10_fingerprints),
 }
 
