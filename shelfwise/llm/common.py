@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import pickle
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -69,6 +71,23 @@ def _released_shuffles(spark: SparkSession):
             spark.conf.set(_CLEANUP, before)
 
 
+class Shared:
+    """A broadcast object of this package, rebuilt once per task: pickled by
+    value, so executors need no copy of the package."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._sent, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), None
+
+    def __getstate__(self):
+        return {"_sent": self._sent, "_value": None}
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = pickle.loads(self._sent.value)
+        return self._value
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T._parse_datatype_string(ddl))
 

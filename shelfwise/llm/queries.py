@@ -5,10 +5,12 @@ from __future__ import annotations
 from shelfwise.llm.bpe_codec import op6_byte_bpe
 from shelfwise.llm.common import read_table
 from shelfwise.llm.fingerprints import op10_fingerprints
+from shelfwise.llm.langid import op7_language_id
 from shelfwise.llm.mixing import op5_source_mix
 from shelfwise.llm.quality_rules import op1_quality_rules
 from shelfwise.llm.secret_ledger import op2_secret_scan
 from shelfwise.llm.sharding import op9_sharding
+from shelfwise.llm.toxicity import op4_toxicity
 
 
 def _on_documents(op):
@@ -19,11 +21,17 @@ def _on_documents(op):
     return run
 
 
+def _toxicity(spark, sf_dir):
+    return op4_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES = {
     "op1_quality_rules": _on_documents(op1_quality_rules),
     "op2_secret_scan": _on_documents(op2_secret_scan),
+    "op4_toxicity": _toxicity,
     "op5_source_mix": _on_documents(op5_source_mix),
     "op6_byte_bpe": _on_documents(op6_byte_bpe),
+    "op7_language_id": _on_documents(op7_language_id),
     "op9_sharding": _on_documents(op9_sharding),
     "op10_fingerprints": _on_documents(op10_fingerprints),
 }
