@@ -43,7 +43,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = _fresh_path(spark, name)
     with _released_shuffles(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     atexit.register(remove_path, spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
