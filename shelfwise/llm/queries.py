@@ -5,6 +5,7 @@ from __future__ import annotations
 from shelfwise.llm.bpe_codec import op6_byte_bpe
 from shelfwise.llm.common import read_table
 from shelfwise.llm.fingerprints import op10_fingerprints
+from shelfwise.llm.jaccard_join import op3_jaccard_join
 from shelfwise.llm.langid import op7_language_id
 from shelfwise.llm.mixing import op5_source_mix
 from shelfwise.llm.quality_rules import op1_quality_rules
@@ -28,6 +29,7 @@ def _toxicity(spark, sf_dir):
 LLM_QUERIES = {
     "op1_quality_rules": _on_documents(op1_quality_rules),
     "op2_secret_scan": _on_documents(op2_secret_scan),
+    "op3_jaccard_join": _on_documents(op3_jaccard_join),
     "op4_toxicity": _toxicity,
     "op5_source_mix": _on_documents(op5_source_mix),
     "op6_byte_bpe": _on_documents(op6_byte_bpe),
