@@ -11,6 +11,7 @@ from shelfwise.llm.mixing import op5_source_mix
 from shelfwise.llm.quality_rules import op1_quality_rules
 from shelfwise.llm.secret_ledger import op2_secret_scan
 from shelfwise.llm.sharding import op9_sharding
+from shelfwise.llm.suffix_dedup import op8_suffix_dedup
 from shelfwise.llm.toxicity import op4_toxicity
 
 
@@ -34,6 +35,7 @@ LLM_QUERIES = {
     "op5_source_mix": _on_documents(op5_source_mix),
     "op6_byte_bpe": _on_documents(op6_byte_bpe),
     "op7_language_id": _on_documents(op7_language_id),
+    "op8_suffix_dedup": _on_documents(op8_suffix_dedup),
     "op9_sharding": _on_documents(op9_sharding),
     "op10_fingerprints": _on_documents(op10_fingerprints),
 }
