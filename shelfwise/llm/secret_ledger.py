@@ -153,3 +153,23 @@ def redact(text, findings):
             out += [text[at:f["start"]], f"[{f['kind']}]"]
         at = max(at, f["end"])
     return "".join(out) + text[at:]
+
+
+def redact_documents(documents: DataFrame, rules=RULES) -> DataFrame:
+    """The documents with secrets replaced in ``text``; a column ``n_chars``
+    follows the new text.  Documents without findings pass unchanged: findings
+    are joined by blob, and only rows that have some go through Python."""
+    columns = documents.columns
+    found, _ = scan_documents(documents, rules=rules)
+    clean = found.where("__findings IS NULL").select(*columns)
+    kinds = "array<struct<kind:string,start:int,end:int>>"
+    dirty = found.where("__findings IS NOT NULL").select(*columns, F.col("__findings").cast("array<struct<start:int,rank:int,kind:string,end:int>>").alias("__findings"))
+    dirty = dirty.withColumn("__findings", F.expr(f"cast(transform(__findings, f -> named_struct('kind', f.kind, 'start', f.start, 'end', f.end)) AS {kinds})"))
+    at, last = columns.index("text"), len(columns)
+
+    def new_text(*row):
+        text = redact(row[at], row[last])
+        return tuple(text if i == at else len(text) if c == "n_chars" and text is not None else row[i] for i, c in enumerate(columns))
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
+    return clean.unionByName(map_rows(dirty, new_text, ddl, 128))

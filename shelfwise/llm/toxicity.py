@@ -33,6 +33,7 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -344,6 +345,22 @@ def score_documents(documents: DataFrame, model: ToxicityModel | None) -> DataFr
     return map_rows(documents.select("doc_id", "text"), lambda d, t: (d, shared.value.score(t)), "doc_id long, score double")
 
 
+def drop_toxic(documents: DataFrame, model: ToxicityModel | None, threshold: float = 0.5) -> DataFrame:
+    """The documents that score below the threshold, with all their columns.
+    Batches are filtered as they pass; no row is rebuilt or moved."""
+    if model is None:
+        return documents
+    shared = Shared(documents.sparkSession, model)
+    at = documents.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(at)
+            yield batch.filter(pa.array([shared.value.score(t.as_py()) < threshold for t in texts], type=pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
