@@ -51,6 +51,8 @@ def main(argv=None, spark=None) -> dict:
         spark = get_session()
     keys = [k for k in args.key.split(",") if k]
     if args.features_only:
+        if not cfg.processed_output or not csv_io.readable(spark, cfg.processed_output):
+            raise ValueError(f"no processed table at {cfg.processed_output}: run the cleaning phase first")
         processed = spark.read.schema(PROCESSED_SCHEMA).parquet(cfg.processed_output)
         _, stats = E.run_features(processed, cfg, cfg.features_output)
     else:

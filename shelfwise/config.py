@@ -18,7 +18,6 @@ RATING_LABELS = ((1, "Muito Baixo"), (2, "Baixo"), (3, "Médio"), (4, "Alto"), (
 RATING_WORDS = (("One", 1), ("Two", 2), ("Three", 3), ("Four", 4), ("Five", 5))
 DEFAULT_CATEGORY = "Outros"
 PROBLEMATIC_CATEGORIES = ("Add a comment", "Default")
-PLACEHOLDER_TEXTS = ("", "0", "null", "n/a", "na")
 POPULARITY_RATING_WEIGHT = 0.7
 POPULARITY_STOCK_WEIGHT = 0.3
 RATING_SCALE = 5.0
@@ -41,8 +40,21 @@ BASE64_MIN_LENGTH = 200
 IQR_FACTOR = 1.5
 TITLE_LENGTH_BINS = 20
 TITLE_WORD_BINS = 15
+# feature groups: columns whose name holds one of the words
+FEATURE_GROUP_WORDS = {
+    "price": ("price",),
+    "title": ("title", "subtitle", "series", "the", "word", "length", "numbers"),
+    "rating": ("rating",),
+    "stock": ("stock",),
+    "popularity": ("popularity",),
+}
+# feature groups: columns whose name starts with the prefix
+FEATURE_GROUP_PREFIXES = {"category": "category_"}
 # -----------------------------------------------------------------------------
 
+#: More categories than this are encoded as one sparse map column.
+WIDE_ONE_HOT = 500
+
 
 @dataclass(frozen=True)
 class Bands:
@@ -70,9 +82,9 @@ class Bands:
 
 @dataclass(frozen=True)
 class PipelineConfig:
-    input_path: str = "data/raw/all_books_with_images.csv"
-    processed_output: str = "data/processed/books_processed"
-    features_output: str = "data/features/books_features"
+    input_path: str | None = None
+    processed_output: str | None = None
+    features_output: str | None = None
     default_category: str = DEFAULT_CATEGORY
     problematic_categories: tuple[str, ...] = PROBLEMATIC_CATEGORIES
     price_bands: Bands = field(default_factory=Bands.price)
@@ -81,7 +93,7 @@ class PipelineConfig:
     on_null: str = "fail"
     id_prefix: str = "book_"
     id_hex_len: int = 32
-    max_categories: int = 1000
+    wide_one_hot: int = WIDE_ONE_HOT
     one_hot_vocabulary: tuple[str, ...] | None = None
 
     def __post_init__(self):
@@ -89,8 +101,8 @@ class PipelineConfig:
             raise ValueError("on_null must be 'fail' or 'report'")
         if not 1 <= self.id_hex_len <= 32:
             raise ValueError("id_hex_len must be in 1..32")
-        if self.max_categories < 1:
-            raise ValueError("max_categories must be positive")
+        if self.wide_one_hot < 1:
+            raise ValueError("wide_one_hot must be positive")
 
     @staticmethod
     def from_dict(d: dict) -> "PipelineConfig":

@@ -74,10 +74,14 @@ def title_feature_columns(title: str = "title") -> list[Column]:
 
 # --- parsers (H1-H3, M5) -----------------------------------------------------
 
+NUMBER_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def parse_price(col: Column | str) -> Column:
-    """Drop the pound sign and its mojibake, trim, to double; failure -> null."""
+    """Drop the pound sign and its mojibake, trim, to double; failure -> null.
+    Only plain numbers count (the cast alone would take "1d" for 1.0)."""
     cleaned = strip_ws(F.replace(F.replace(_c(col), F.lit("£"), F.lit("")), F.lit("Â"), F.lit("")))
-    return cleaned.try_cast("double")
+    return F.when(cleaned.rlike(NUMBER_RE), cleaned).try_cast("double")
 
 
 def parse_price_locale(col: Column | str) -> Column:
@@ -136,6 +140,11 @@ def column_slug(value: str) -> str:
     return value.replace(" ", "_").replace("&", "and").lower()
 
 
+def column_slug_of(col: Column | str) -> Column:
+    """``column_slug`` of a column's values."""
+    return F.lower(F.replace(F.replace(_c(col), F.lit(" "), F.lit("_")), F.lit("&"), F.lit("and")))
+
+
 def normalize_text(col: Column | str) -> Column:
     """'+' -> blank, '&' -> ' and ', runs of blanks -> one, trimmed."""
     t = F.replace(_c(col), F.lit("+"), F.lit(" "))

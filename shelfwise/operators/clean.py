@@ -10,63 +10,58 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import DEFAULT_CATEGORY, PROBLEMATIC_CATEGORIES
 from shelfwise.functions import text as TX
-from shelfwise.operators.common import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadcast_fits
 
-KEY_SEP = "\u001f"   # unit separator between key parts
-NULL_MARK = "\u0000"  # stands for a null key part
 # exact copies of one row are regenerated in chunks of this many rows, so a
 # hot duplicate set is spread over many tasks
 COPY_CHUNK = 100_000
 
 
 def key_digest(cols: Sequence[str]) -> Column:
-    """md5 hex of the key parts (null-safe, separator-joined)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in cols]
-    return F.md5(F.concat_ws(KEY_SEP, *parts))
+    """md5 hex of the key parts.  Each part is written with its length, null as
+    a mark of its own, so different keys never give the same text."""
+    def part(c):
+        x = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.char_length(x).cast("string"), F.lit(":"), x), F.lit("-"))
+    return F.md5(F.concat(*[part(c) for c in cols]))
+
+
+def id_key(key_cols: Sequence[str], hex_len: int = 32) -> Column:
+    """The part of the id that stands for the key."""
+    return F.substring(key_digest(key_cols), 1, hex_len)
 
 
 def add_surrogate_id(df: DataFrame, key_cols: Sequence[str], prefix: str = "book_",
                      id_col: str = "id", hex_len: int = 32,
                      content_cols: Sequence[str] | None = None,
-                     max_broadcast_keys: int = DEFAULT_BROADCAST_ROWS,
                      keys_known_unique: bool = False) -> DataFrame:
     """Deterministic id ``prefix + md5(key)[:hex_len]`` as first column.
 
-    Rows that share a key get ``_<md5(content)[:16]>_<n>`` appended, where n
-    numbers exact copies.  Both parts are content-based, so a retried or
-    recomputed task yields the same ids.  Shared keys are found with a
-    map-side-combined count; exact copies are counted the same way and
-    regenerated in chunks, so no single key, however hot, is gathered into
-    one task or window.  When no key is shared (checked by one bounded
-    aggregate job, or known from the caller's own count of distinct key
-    digests, ``keys_known_unique``) the id is a plain projection: no join,
-    no shuffle.
+    Rows that share this part (an equal key, or a short one that collides) get
+    ``_<md5(content)>_<n>`` appended, where n numbers exact copies.  All parts are
+    content-based, so a retried or recomputed task yields the same ids.
+
+    Shared ids are found by one count of the id itself, combined before the
+    shuffle; exact copies are counted the same way and regenerated in chunks, so
+    no key, however hot, is gathered into one task or window.  When no id is
+    shared (or the caller's own count of the same digests has shown it,
+    ``keys_known_unique``) the id is a plain projection.
     """
     cols = list(df.columns)
     content_cols = list(content_cols or cols)
-    keyed = df.withColumn("_k", key_digest(key_cols))
-    base_id = F.concat(F.lit(prefix), F.substring("_k", 1, hex_len))
+    short = id_key(key_cols, hex_len)
+    base_id = F.concat(F.lit(prefix), F.col("_k"))
+    keyed = df.withColumn("_k", short)
+    if keys_known_unique:
+        return keyed.select(base_id.alias(id_col), *cols)
     shared = (keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_kn"))
-              .where(F.col("_kn") > 1).select("_k", F.lit(True).alias("_shared")))
-    if not keys_known_unique:
-        # 8-byte pre-check: as many distinct key hashes as rows proves the keys
-        # unique (a collision only lowers the count and leads to the full check)
-        r = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.count_distinct(F.xxhash64(*[F.col(k) for k in key_cols])).alias("hd")).first()
-        keys_known_unique = r["n"] == r["hd"]
-    # bounded check: how many keys are shared (at most max_rows + 1 are counted)
-    n_shared = 0 if keys_known_unique else shared.limit(max_broadcast_keys + 1).count()
-    if n_shared == 0:
+              .where(F.col("_kn") > 1).select(F.col("_k").alias("_s")))
+    if shared.isEmpty():
         return keyed.select(base_id.alias(id_col), *cols)
-    # shared keys are 32-character digests, so the row bound also bounds bytes
-    side = F.broadcast(shared) if n_shared <= max_broadcast_keys else shared
-    marked = keyed.join(side, "_k", "left")
-    unique = (marked.where(F.col("_shared").isNull())
-              .select(base_id.alias(id_col), *cols))
-
-    copies = (marked.where(F.col("_shared"))
+    marked = keyed.join(shared, F.col("_k") == F.col("_s"), "left")
+    unique = marked.where(F.col("_s").isNull()).select(base_id.alias(id_col), *cols)
+    copies = (marked.where(F.col("_s").isNotNull())
               .groupBy("_k", *cols).agg(F.count(F.lit(1)).alias("_c"))
-              .withColumn("_h", F.substring(key_digest(content_cols), 1, 16))
+              .withColumn("_h", key_digest(content_cols))
               .withColumn("_chunk", F.explode(F.sequence(
                   F.lit(0).cast("bigint"), F.floor((F.col("_c") - 1) / COPY_CHUNK).cast("bigint"))))
               .repartition("_k", "_h", "_chunk")
@@ -111,43 +106,23 @@ def flag_counts(df: DataFrame, col: str = "availability") -> DataFrame:
     return df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _repeated_hashes(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Column]:
-    """64-bit hashes that occur more than once (a map-side-combined count of
-    8-byte values).  A collision only adds candidates; callers confirm
-    exact equality on the candidate rows."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in cols])
-    rep = (df.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > 1).select("_h"))
-    return rep, h
-
-
 def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Exact duplicate rows removed (over ``subset``, default all columns).
-
-    Rows whose hash occurs once are unique and pass without a shuffle of
-    their content; only rows of repeated hashes go through
-    ``dropDuplicates``.  When the repeated hashes fail the broadcast size
-    check, plain ``dropDuplicates`` (map-side combined) is used.
-    """
-    cols = list(subset or df.columns)
-    rep, h = _repeated_hashes(df, cols)
-    if not broadcast_fits(rep):
-        return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
-    rep_b = F.broadcast(rep)
-    singles = df.join(rep_b, h == F.col("_h"), "left_anti")
-    multi = df.join(rep_b, h == F.col("_h"), "left_semi")
-    multi = multi.dropDuplicates(list(subset)) if subset else multi.dropDuplicates()
-    return singles.unionByName(multi)
+    """Exact duplicate rows removed.  Over a ``subset``, the smallest row by the
+    other columns, in their order, stays, so the result does not depend on how
+    the data lie.  Copies combine before the shuffle."""
+    if subset is None:
+        return df.distinct()
+    rest = [c for c in df.columns if c not in set(subset)]
+    if not rest:
+        return df.distinct()
+    least = df.groupBy(*subset).agg(F.min(F.struct(*rest)).alias("_least"))
+    return least.select(*subset, "_least.*").select(*df.columns)
 
 
 def duplicates_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Each duplicated row (over ``subset``, default all columns) once, with
-    its number of copies.  Only rows of repeated hashes are grouped on
-    their full content."""
-    cols = list(subset or df.columns)
-    rep, h = _repeated_hashes(df, cols)
-    cand = df.join(bounded_broadcast(rep), h == F.col("_h"), "left_semi")
-    return (cand.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+    its number of copies, from one count that combines before the shuffle."""
+    return (df.groupBy(*list(subset or df.columns)).agg(F.count(F.lit(1)).alias("copies"))
             .where(F.col("copies") > 1))
 
 

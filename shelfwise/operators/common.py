@@ -7,12 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# a side is broadcast only after a check shows at most this many rows ...
-DEFAULT_BROADCAST_ROWS = 1_000_000
-# ... and at most this many bytes of data
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row global aggregate to every row.
 
@@ -26,67 +20,6 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
             .select(*[F.col(f"`{c}`") for c in df.columns], *[F.col("_one").getField(c).alias(c) for c in names]))
 
 
-def _row_bytes(df: DataFrame) -> Column:
-    """Approximate bytes of a row: string / binary lengths plus 8 per other field."""
-    from pyspark.sql import types as T
-    parts = [F.lit(0)]
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8))
-        else:
-            parts.append(F.lit(8))
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
-
-
-def broadcast_fits(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """One bounded job: at most ``max_rows + 1`` rows are counted and sized."""
-    row = (small.limit(max_rows + 1)
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(small)).alias("b")).first())
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Return ``small`` with a broadcast hint only when a check shows at most
-    ``max_rows`` rows and ``max_bytes`` bytes.  Larger sides are returned
-    unhinted so the planner shuffles them and AQE can split skewed
-    partitions."""
-    return F.broadcast(small) if broadcast_fits(small, max_rows, max_bytes) else small
-
-
-def long_form(row: DataFrame, items: Sequence[tuple[str, Sequence[Column]]],
-              names: Sequence[str]) -> DataFrame:
-    """Turn one wide row into one row per item.
-
-    ``items`` is ``[(label, [value columns...]), ...]``; ``names`` names the
-    label column followed by the value columns.
-    """
-    structs = []
-    for label, values in items:
-        fields = [F.lit(label).alias(names[0])]
-        fields += [v.alias(n) for v, n in zip(values, names[1:])]
-        structs.append(F.struct(*fields))
-    return row.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster only when it arrives in fewer
-    partitions than the cluster can run at once (for instance a single
-    Parquet row group) and CPU-heavy row work follows.  On a large input
-    with many splits this is a no-op, so no shuffle is added at scale."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:   # no RDD view (e.g. a Spark Connect session): leave the plan as it is
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def r6(col: Column) -> Column:
     """Round a floating result to 6 digits (engines differ in the last bits)."""
     return F.round(col, 6)

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.config import (IQR_FACTOR, POPULARITY_RATING_WEIGHT, POPULARITY_STOCK_WEIGHT, RATING_LABELS,
+from shelfwise.config import (IQR_FACTOR, WIDE_ONE_HOT, POPULARITY_RATING_WEIGHT, POPULARITY_STOCK_WEIGHT, RATING_LABELS,
                               RATING_SCALE, Bands)
 from shelfwise.functions import bands as B
 from shelfwise.functions import text as TX
@@ -53,16 +53,13 @@ def add_popularity_score(df: DataFrame, rating: str = "rating", stock: str = "st
     return with_one_row(df, mx).withColumn(out, score).drop("_max_stock")
 
 
-def category_vocabulary(df: DataFrame, col: str = "category", cap: int = 1000) -> list[str]:
-    """Sorted distinct non-null values; fails when more than ``cap`` exist.
-
-    At most ``cap + 1`` values reach the driver.
-    """
+def category_vocabulary(df: DataFrame, col: str = "category", most: int = WIDE_ONE_HOT) -> list[str] | None:
+    """Sorted distinct non-null values, or None when there are more than
+    ``most``: then the encoding is sparse and needs no vocabulary on the
+    driver.  At most ``most + 1`` values are read."""
     vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
-            .orderBy(col).limit(cap + 1).collect()]
-    if len(vals) > cap:
-        raise VocabularyError(f"{col} has more than {cap} distinct values; pass a fixed vocabulary")
-    return vals
+            .orderBy(col).limit(most + 1).collect()]
+    return None if len(vals) > most else vals
 
 
 def one_hot_names(vocabulary: Sequence[str], prefix: str = "category_") -> list[str]:
@@ -76,9 +73,21 @@ def one_hot_names(vocabulary: Sequence[str], prefix: str = "category_") -> list[
 
 
 def add_one_hot(df: DataFrame, col: str = "category", vocabulary: Sequence[str] | None = None,
-                prefix: str = "category_", cap: int = 1000) -> DataFrame:
-    """One 0/1 int column per vocabulary value, in sorted order; null -> all 0."""
-    vocab = list(vocabulary) if vocabulary is not None else category_vocabulary(df, col, cap)
+                prefix: str = "category_", most: int = WIDE_ONE_HOT) -> DataFrame:
+    """One 0/1 int column per vocabulary value, in sorted order; null -> all 0.
+
+    Beyond ``most`` values a table of columns is no use: the encoding is then
+    one map column ``<prefix>one_hot`` with the single entry {column name: 1}
+    (empty for null), whatever the number of categories.
+    """
+    vocab = list(vocabulary) if vocabulary is not None else category_vocabulary(df, col, most)
+    if vocab is None:
+        name = F.concat(F.lit(prefix), TX.column_slug_of(col))
+        clash = df.where(F.col(col).isNotNull()).groupBy(name.alias("n")).agg(F.min(col).alias("a"), F.max(col).alias("b")).where("a <> b").first()
+        if clash is not None:
+            raise VocabularyError(f"values {clash['a']!r} and {clash['b']!r} give the same column {clash['n']}")
+        entry = F.when(F.col(col).isNotNull(), F.create_map(name, F.lit(1))).otherwise(F.create_map().cast("map<string,int>"))
+        return df.select("*", entry.alias(f"{prefix}one_hot"))
     names = one_hot_names(vocab, prefix)
     c = F.col(col)
     return df.select("*", *[F.coalesce((c == F.lit(v)).cast("int"), F.lit(0)).alias(n)
@@ -86,7 +95,12 @@ def add_one_hot(df: DataFrame, col: str = "category", vocabulary: Sequence[str]
 
 
 def one_hot_sums(df: DataFrame, prefix: str = "category_") -> DataFrame:
-    """(column, total) for every one-hot column, from one aggregate."""
+    """(column, total) for every one-hot column, from one aggregate; of the
+    sparse form, for every name that occurs."""
+    sparse = f"{prefix}one_hot"
+    if dict(df.dtypes).get(sparse, "").startswith("map"):
+        return (df.select(F.explode(sparse).alias("column", "one")).groupBy("column")
+                .agg(F.sum("one").cast("bigint").alias("total")))
     names = [c for c in df.columns if c.startswith(prefix)]
     row = df.agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
     return row.select(F.explode(F.array(*[
@@ -176,12 +190,14 @@ def with_split_label(df: DataFrame, key_cols: Sequence[str], train_percent: int
 
 
 def guarded_corr(a: str, b: str):
-    """Pearson correlation that gives null (not an error) for a constant column.
+    """Pearson correlation over the rows that have both values; null (not an
+    error) where one of them is constant there.
 
     Constancy is tested exactly with min = max: the merged partial variance
     of a constant column can be a tiny non-zero number, not 0.
     """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    x0, y0 = F.col(a).cast("double"), F.col(b).cast("double")
+    x, y = F.when(y0.isNotNull(), x0), F.when(x0.isNotNull(), y0)
     constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
     return F.when(constant, F.lit(None).cast("double")).otherwise(
         F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))

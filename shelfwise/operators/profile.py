@@ -7,15 +7,16 @@ into long form; ordering is always explicit and total.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.config import IMAGE_URL_EXTENSIONS, KEYWORD_SCREEN_WORDS, MEDIA_PATH_MARK
+from shelfwise.config import (FEATURE_GROUP_PREFIXES, FEATURE_GROUP_WORDS, IMAGE_URL_EXTENSIONS, KEYWORD_SCREEN_WORDS,
+                              MEDIA_PATH_MARK)
 from shelfwise.functions import text as TX
-from shelfwise.operators.common import bounded_broadcast, cols_or_all, r6, with_one_row
+from shelfwise.operators.common import cols_or_all, r6, with_one_row
 from shelfwise.operators.features import guarded_corr
 from shelfwise.operators.quantiles import exact_quantiles
 
@@ -61,17 +62,28 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """(column, distinct) with null counted as one value."""
+    """(column, distinct) with null counted as one value; ``approx`` takes a
+    sketch.  Exact counts go through 16-byte digests of (column, value): one
+    shuffle of fixed-size rows, combined before it, however wide the values."""
     cols = cols_or_all(df, cols)
-    aggs = []
-    for i, c in enumerate(cols):
+    if approx:
+        row = df.agg(*[(F.approx_count_distinct(F.col(f"`{c}`")) + F.max(F.col(f"`{c}`").isNull().cast("int"))).cast("bigint").alias(f"_d{i}")
+                       for i, c in enumerate(cols)])
+        return row.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"_d{i}").alias("distinct"))
+            for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
+    counted = _distinct_digests(df, cols).groupBy("_i").agg(F.count(F.lit(1)).alias("distinct"))
+    return (counted.select(F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_i") + 1).alias("column"), "distinct"))
+
+
+def _distinct_digests(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct (column index, digest) pairs; null has a digest of its own."""
+    def digest(c):
         x = F.col(f"`{c}`")
-        d = F.approx_count_distinct(x) if approx else F.count_distinct(x)
-        aggs.append((d + F.max(x.isNull().cast("int"))).cast("bigint").alias(f"_d{i}"))
-    row = df.agg(*aggs)
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_d{i}").alias("distinct"))
-        for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
+        text = x if dict(df.dtypes)[c] in ("string", "binary") else x.cast("string")
+        return F.when(x.isNotNull(), F.unhex(F.md5(F.concat(F.lit("v"), text)))).otherwise(F.lit(b"null"))
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), digest(c).alias("_h")) for i, c in enumerate(cols)])).alias("_x"))
+    return pairs.select("_x.*").distinct()
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -130,7 +142,8 @@ def table_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     """Long profile (column, dtype, count, nulls, distinct, min, max, mean, std).
 
     min / max as text so every column type fits; mean / std for numeric
-    columns only.  One aggregate for all columns.
+    columns only.  One aggregate for all columns, and the distinct counts of
+    ``distinct_counts``.
     """
     cols = cols_or_all(df, cols)
     types = dict(df.dtypes)
@@ -141,7 +154,6 @@ def table_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
         xs = x.cast("int") if types[c] == "boolean" else x
         aggs += [F.count(x).cast("bigint").alias(f"_n{i}"),
                  F.count_if(x.isNull()).cast("bigint").alias(f"_z{i}"),
-                 (F.count_distinct(x) + F.max(x.isNull().cast("int"))).cast("bigint").alias(f"_d{i}"),
                  F.min(xs).alias(f"_mn{i}"), F.max(xs).alias(f"_mx{i}")]
         if types[c] in numeric or types[c] == "boolean":
             aggs += [F.avg(xs).alias(f"_av{i}"), F.stddev_samp(xs).alias(f"_sd{i}")]
@@ -156,11 +168,13 @@ def table_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
         items.append(F.struct(
             F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
             F.col(f"_n{i}").alias("count"), F.col(f"_z{i}").alias("nulls"),
-            F.col(f"_d{i}").alias("distinct"),
             as_text(f"_mn{i}").alias("min"), as_text(f"_mx{i}").alias("max"),
             (r6(F.col(f"_av{i}")) if has_num else F.lit(None).cast("double")).alias("mean"),
             (r6(F.col(f"_sd{i}")) if has_num else F.lit(None).cast("double")).alias("std")))
-    return row.select(F.explode(F.array(*items)).alias("_x")).select("_x.*")
+    long = row.select(F.explode(F.array(*items)).alias("_x")).select("_x.*")
+    distinct = distinct_counts(df, cols).withColumnRenamed("column", "_c")
+    return (long.join(distinct, F.col("column") == F.col("_c"), "left")
+            .select("column", "dtype", "count", "nulls", F.coalesce("distinct", F.lit(0).cast("bigint")).alias("distinct"), "min", "max", "mean", "std"))
 
 
 def dtype_listing(df: DataFrame) -> DataFrame:
@@ -174,7 +188,8 @@ def dtype_listing(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """(bin, lower, upper, count) of equal-width bins; the last bin is closed.
 
-    Empty bins are not listed.  A constant column puts every value in bin 0.
+    Every bin is listed, empty ones with count 0.  A constant column puts every
+    value in bin 0; a column without values has no bins.
     """
     x = F.col(col).cast("double")
     mm = df.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"))
@@ -182,7 +197,9 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     b = F.when(span == 0, F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("_mn")) / span * bins), F.lit(bins - 1))).cast("int")
     h = (with_one_row(df.select(col).where(F.col(col).isNotNull()), mm)
-         .groupBy(b.alias("bin"), "_mn", "_mx").agg(F.count(F.lit(1)).alias("count")))
+         .groupBy(b.alias("_bin")).agg(F.count(F.lit(1)).alias("_count")))
+    every = mm.where(F.col("_mn").isNotNull()).select("_mn", "_mx", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    h = every.join(h, F.col("bin") == F.col("_bin"), "left").withColumn("count", F.coalesce("_count", F.lit(0).cast("bigint")))
     width = (F.col("_mx") - F.col("_mn")) / bins
     return h.select("bin", r6(F.col("_mn") + F.col("bin") * width).alias("lower"),
                     r6(F.col("_mn") + (F.col("bin") + 1) * width).alias("upper"), "count")
@@ -292,26 +309,20 @@ def duplicate_rows(df: DataFrame, col: str) -> DataFrame:
     """Every row whose ``col`` value occurs more than once (all copies kept;
     nulls form one group).
 
-    Counting uses partial aggregation, so a hot value is one row per task
-    before the shuffle.  For text columns the count runs on an 8-byte hash
-    (``xxhash64``) first; only the rows of repeated hashes are then grouped
-    on the full value to confirm exact equality (a collision cannot create a
-    false duplicate), so whole texts are shuffled only for duplicated rows.
-    Repeated keys are semi-joined back null-safely: broadcast when checked
-    small, otherwise a shuffle join that AQE can split when skewed.
+    Counting combines before the shuffle, so a hot value is one row per task.
+    Text is counted by an 8-byte hash; only rows of repeated hashes are then
+    grouped on the whole value (a collision cannot make a false duplicate).  The
+    semi-joins are left to the planner, which can split skewed partitions.
     """
     def repeated(frame: DataFrame, key) -> DataFrame:
         return (frame.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > 1).select("_key"))
 
     if dict(df.dtypes).get(col) != "string":
-        keys = bounded_broadcast(repeated(df, F.col(col)))
-        return df.join(keys, F.col(col).eqNullSafe(F.col("_key")), "left_semi")
+        return df.join(repeated(df, F.col(col)), F.col(col).eqNullSafe(F.col("_key")), "left_semi")
     digest = F.xxhash64(F.col(col))
-    digests = bounded_broadcast(repeated(df, digest))
-    cand = df.join(digests, digest == F.col("_key"), "left_semi")
-    keys = bounded_broadcast(repeated(cand, F.col(col)))
-    return cand.join(keys, F.col(col).eqNullSafe(F.col("_key")), "left_semi")
+    cand = df.join(repeated(df, digest), digest == F.col("_key"), "left_semi")
+    return cand.join(repeated(cand, F.col(col)), F.col(col).eqNullSafe(F.col("_key")), "left_semi")
 
 
 # --- stage comparison (D19) ---------------------------------------------------------
@@ -324,19 +335,18 @@ def stage_comparison(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     return union_all(parts)
 
 
-def columns_by_pattern(columns: Sequence[str], base: Sequence[str]) -> dict[str, list[str]]:
-    """Added columns grouped by name pattern (plan time)."""
-    added = [c for c in columns if c not in set(base)]
-    groups = {
-        "price": [c for c in added if "price" in c],
-        "title": [c for c in added if any(x in c for x in
-                                          ("title", "subtitle", "series", "the", "word", "length", "numbers"))],
-        "rating": [c for c in added if "rating" in c],
-        "stock": [c for c in added if "stock" in c],
-        "popularity": [c for c in added if "popularity" in c],
-        "category": [c for c in added if c.startswith("category_")],
-    }
-    return groups
+def group_columns(columns: Sequence[str], words: Mapping[str, Sequence[str]],
+                  prefixes: Mapping[str, str]) -> dict[str, list[str]]:
+    """Column names by group (plan time).  A group is given by words, one of
+    which its names hold, or by a prefix; a name may be in several groups."""
+    out = {group: [c for c in columns if any(w in c for w in marks)] for group, marks in words.items()}
+    out.update({group: [c for c in columns if c.startswith(p)] for group, p in prefixes.items()})
+    return out
+
+
+def feature_groups(columns: Sequence[str], base: Sequence[str]) -> dict[str, list[str]]:
+    """The added columns of a feature table by feature group."""
+    return group_columns(added_columns(columns, base), FEATURE_GROUP_WORDS, FEATURE_GROUP_PREFIXES)
 
 
 def added_columns(after: Sequence[str], before: Sequence[str]) -> list[str]:

@@ -1,65 +1,32 @@
 """Exact quantiles without funnelling a column through one task.
 
 Spark's exact ``percentile`` merges every distinct value of a column in a
-single task for a global aggregate.  Here the rank of each wanted order
-statistic is located by refinement:
-
-1. count the values of every column (one aggregate);
-2. while a value interval that holds a wanted rank has too many distinct
-   values, split it into ranges whose bounds come from a distributed sketch
-   (``percentile_approx`` on the interval) and count rows per range (map-side
-   combined); the range holding the rank becomes the new interval;
-3. in the final, small intervals group the values, number them with a
-   prefix sum inside the interval and pick the wanted ranks.
-
-Only bounded things reach the driver: one count per column and one count
-per (interval, range).  A hot value collapses to one row at the grouping.
-Result: linear interpolation between the two neighbouring order statistics,
-the same definition as DuckDB ``quantile_cont`` and Spark ``percentile``.
+single task for a global aggregate.  Here the values of all columns are counted
+once (a hot value is one row), the counts are range-partitioned by (column,
+value) and staged with their partition number.  One total per partition and
+column reaches the driver; prefix sums of these tell which partition holds each
+wanted rank, and only those partitions are numbered, each in a window of its
+own.  There is no round limit and no step that holds a whole column.
 """
 
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_RANGES = 64
-# distinct values one final interval may hold (one window partition each)
-MAX_INTERVAL_DISTINCT = 2_000_000
-MAX_ROUNDS = 8
-
-
-def range_id(v, bounds: Sequence[float]):
-    """Number of bounds below ``v`` as a balanced CASE tree (about log2(n)
-    compiled comparisons per row; no interpreted higher-order function)."""
-    def tree(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2          # v > bounds[mid-1]  <=>  answer >= mid
-        return F.when(v > F.lit(bounds[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
-    return tree(0, len(bounds))
+from shelfwise.session import remove_path, staging_path
 
 
 def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    parts = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols]
+    parts = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)]
     return (df.select(F.explode(F.array(*parts)).alias("_q")).select("_q.*")
             .where(F.col("v").isNotNull() & ~F.isnan("v")))
 
 
-def _restrict(long: DataFrame, intervals: list[tuple], key: str) -> DataFrame:
-    """Rows of ``long`` inside (lo, hi] of the intervals, tagged with ``key``."""
-    spark = long.sparkSession
-    idf = spark.createDataFrame(intervals, f"{key} int, i_column string, lo double, hi double")
-    cond = ((F.col("column") == F.col("i_column"))
-            & (F.col("lo").isNull() | (F.col("v") > F.col("lo")))
-            & (F.col("hi").isNull() | (F.col("v") <= F.col("hi"))))
-    # the interval list is bounded (columns x wanted ranks), so broadcasting it is safe
-    return long.join(F.broadcast(idf), cond).select(key, "v")
-
-
 INTERPOLATIONS = ("linear", "lower", "higher", "midpoint", "nearest")
 
 
@@ -85,8 +52,6 @@ def _combine(h: float, lo: int, v_lo: float, v_hi: float, interpolation: str) ->
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    ranges: int = DEFAULT_RANGES,
-                    max_interval_distinct: int = MAX_INTERVAL_DISTINCT,
                     interpolation: str = "linear") -> DataFrame:
     """``(column string, prob double, value double)``; nulls and NaN are
     ignored; a column without values gives a null value.
@@ -100,85 +65,35 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         raise ValueError(f"interpolation must be one of {INTERPOLATIONS}")
     spark = df.sparkSession
     cols, probs = list(cols), [float(p) for p in probs]
-    long = _long(df, cols)
-    n = {r["column"]: r["n"] for r in long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    wanted: dict[str, list[int]] = {}
-    for c in cols:
-        if n.get(c):
-            ranks = set()
-            for p in probs:
-                ranks.update(_ranks((n[c] - 1) * p, interpolation))
-            wanted[c] = sorted(ranks)
-
-    # task: (column, lo, hi, base, ranks); base = number of values <= lo
-    tasks = [(c, None, None, 0, ranks) for c, ranks in wanted.items()]
-    final = [t for t in tasks if n[t[0]] <= max_interval_distinct]
-    tasks = [t for t in tasks if n[t[0]] > max_interval_distinct]
-    rounds = 0
-    while tasks:
-        rounds += 1
-        if rounds > MAX_ROUNDS:
-            final.extend(tasks)
-            break
-        sub = _restrict(long, [(i, c, lo, hi) for i, (c, lo, hi, _b, _r) in enumerate(tasks)], "task")
-        qs = [k / ranges for k in range(1, ranges)]
-        bnd_rows = sub.groupBy("task").agg(F.percentile_approx("v", qs, 10000).alias("b")).collect()
-        bounds = {r["task"]: sorted(set(x for x in (r["b"] or []) if x is not None)) for r in bnd_rows}
-        rid = None
-        for i in range(len(tasks)):
-            expr = range_id(F.col("v"), bounds.get(i, []))
-            rid = F.when(F.col("task") == i, expr) if rid is None else rid.when(F.col("task") == i, expr)
-        counts = (sub.withColumn("rid", rid).groupBy("task", "rid")
-                  .agg(F.count(F.lit(1)).alias("cnt"), F.approx_count_distinct("v").alias("nd"),
-                       F.min("v").alias("mn"), F.max("v").alias("mx"))
-                  .collect())  # bounded: tasks x ranges
-        per_task: dict[int, list] = {}
-        for r in counts:
-            per_task.setdefault(r["task"], []).append(r)
-        new_tasks = []
-        for i, (c, lo, hi, base, ranks) in enumerate(tasks):
-            rows = sorted(per_task.get(i, []), key=lambda r: r["rid"])
-            b = bounds.get(i, [])
-            before = base
-            for r in rows:
-                inside = [k for k in ranks if before <= k < before + r["cnt"]]
-                if inside:
-                    rlo = b[r["rid"] - 1] if r["rid"] > 0 else lo
-                    rhi = b[r["rid"]] if r["rid"] < len(b) else hi
-                    t = (c, rlo, rhi, before, inside)
-                    small = r["nd"] <= max_interval_distinct or r["mn"] == r["mx"]
-                    (final if small else new_tasks).append(t)
-                before += r["cnt"]
-        tasks = new_tasks
-
-    if not final:
-        return spark.createDataFrame([(c, p, None) for c in cols for p in probs],
-                                     "column string, prob double, value double")
-    sub = _restrict(long, [(i, c, lo, hi) for i, (c, lo, hi, _b, _r) in enumerate(final)], "fid")
-    g = sub.groupBy("fid", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    w = Window.partitionBy("fid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    base = spark.createDataFrame([(i, b) for i, (_c, _lo, _hi, b, _r) in enumerate(final)], "fid int, base long")
-    ranked = (g.withColumn("before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-              .join(F.broadcast(base), "fid")
-              .select("fid", "v", (F.col("base") + F.col("before")).alias("first"),
-                      (F.col("base") + F.col("before") + F.col("cnt")).alias("end")))
-    rank_df = spark.createDataFrame(
-        [(i, c, k) for i, (c, _lo, _hi, _b, ranks) in enumerate(final) for k in ranks],
-        "fid int, column string, rank long")
-    # one value per wanted rank: bounded by len(cols) * 2 * len(probs)
-    picked = {(r["column"], r["rank"]): r["v"] for r in
-              ranked.join(F.broadcast(rank_df),
-                          (ranked["fid"] == rank_df["fid"]) & (ranked["first"] <= rank_df["rank"])
-                          & (rank_df["rank"] < ranked["end"]))
-              .select("column", "rank", "v").collect()}
+    path = staging_path(spark, f"quantiles-{time.time_ns()}")
+    (_long(df, cols).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+     .repartitionByRange("c", "v").withColumn("part", F.spark_partition_id()).write.parquet(path))
+    counts = spark.read.parquet(path)
+    totals = counts.groupBy("c", "part").agg(F.sum("n").alias("n")).orderBy("c", "part").collect()
+    size = {c: sum(r["n"] for r in totals if r["c"] == c) for c in range(len(cols))}
+    wanted = {c: sorted({k for p in probs for k in _ranks((n - 1) * p, interpolation)}) for c, n in size.items() if n}
+    jobs, before = [], dict.fromkeys(wanted, 0)
+    for r in totals:
+        c, at = r["c"], before[r["c"]]
+        jobs += [(c, r["part"], at, k) for k in wanted[c] if at <= k < at + r["n"]]
+        before[c] = at + r["n"]
+    picked = {}
+    if jobs:
+        inside = Window.partitionBy("c", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        ranks = spark.createDataFrame(jobs, "c int, part int, at long, k long")     # columns x wanted ranks
+        here = counts.join(F.broadcast(ranks.select("c", "part", "at").distinct()), ["c", "part"])
+        numbered = here.withColumn("upto", F.col("at") + F.sum("n").over(inside))
+        hit = (numbered.join(F.broadcast(ranks.select("c", "part", "k")), ["c", "part"])
+               .where((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n"))))
+        picked = {(r["c"], r["k"]): r["v"] for r in hit.select("c", "k", "v").collect()}
+    remove_path(spark, path)
     rows = []
-    for c in cols:
+    for c, name in enumerate(cols):
         for p in probs:
             value = None
-            if n.get(c):
-                h = (n[c] - 1) * p
+            if size.get(c):
+                h = (size[c] - 1) * p
                 lo, hi = _ranks(h, interpolation)
                 value = _combine(h, lo, picked[(c, lo)], picked[(c, hi)], interpolation)
-            rows.append((c, p, value))
+            rows.append((name, p, value))
     return spark.createDataFrame(rows, "column string, prob double, value double")

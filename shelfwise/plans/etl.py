@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from shelfwise.config import FEATURE_COLUMNS, PROCESSED_COLUMNS, RAW_COLUMNS, PipelineConfig
 from shelfwise.operators import clean as C
 from shelfwise.operators import features as FE
+from shelfwise.operators import profile as P
 from shelfwise.operators import quality as Q
 from shelfwise.operators.common import with_one_row
 from shelfwise.schema import require_columns
@@ -49,10 +50,8 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
                key_cols: Sequence[str] | None = None) -> DataFrame:
     """One row: total_records, null_records_found, categories_cleaned,
     duplicate_titles (rows whose title occurs more than once), and with
-    ``key_cols`` the number of distinct 8-byte key hashes
-    (``distinct_key_hashes``).  As many distinct hashes as rows proves the
-    keys unique; a collision only lowers the count, which merely sends the
-    id through its full shared-key check."""
+    ``key_cols`` the number of distinct keys as the id writes them
+    (``distinct_id_keys``): as many as rows means that no id is shared."""
     nulls = None
     for c in cols:
         t = F.count_if(F.col(c).isNull())
@@ -61,8 +60,8 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
                    nulls.cast("bigint").alias("null_records_found"),
                    C.replaced_count(category, config.problematic_categories).cast("bigint")
                    .alias("categories_cleaned"),
-                   *([F.count_distinct(F.xxhash64(*[F.col(k) for k in key_cols])).cast("bigint")
-                      .alias("distinct_key_hashes")] if key_cols else []))
+                   *([F.count_distinct(F.unhex(F.lpad(C.id_key(key_cols, config.id_hex_len), 32, "0"))).cast("bigint")
+                      .alias("distinct_id_keys")] if key_cols else []))
     dup = (raw.groupBy(title).agg(F.count(F.lit(1)).alias("_n"))
            .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")
                 .alias("duplicate_titles")))
@@ -116,7 +115,7 @@ def _clean(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str], outp
     intake = intake_row(raw, config, key_cols=key_cols).first().asDict()
     if intake["null_records_found"] and config.on_null == "fail":
         Q.check_nulls(raw.select(*RAW_COLUMNS), "fail")
-    unique = intake.pop("distinct_key_hashes") == intake["total_records"]
+    unique = intake.pop("distinct_id_keys") == intake["total_records"]
     written = Observation("processed")   # rows counted by the write job itself
     processed, proc_path = _stage(cleaning_plan(raw, config, key_cols, keys_known_unique=unique),
                                   None, "processed", written)
@@ -160,7 +159,7 @@ def feature_plan(processed: DataFrame, config: PipelineConfig,
     base = list(PROCESSED_COLUMNS) + list(FEATURE_COLUMNS)
     df = df.select(*base)
     vocab = vocabulary if vocabulary is not None else config.one_hot_vocabulary
-    return FE.add_one_hot(df, "category", vocab, cap=config.max_categories)
+    return FE.add_one_hot(df, "category", vocab, most=config.wide_one_hot)
 
 
 def run_features(processed: DataFrame, config: PipelineConfig,
@@ -224,7 +223,7 @@ def run_steps(spark: SparkSession, steps: Sequence[tuple[str, Callable[[], DataF
               ) -> DataFrame:
     """Run named steps in order; after a failure later steps are 'skipped'.
 
-    Returns a report DataFrame (step, status, rows, seconds, error).
+    Returns a report DataFrame (step, status, rows, seconds, error); errors whole.
     """
     results: list[StepResult] = []
     failed = False
@@ -240,7 +239,58 @@ def run_steps(spark: SparkSession, steps: Sequence[tuple[str, Callable[[], DataF
         except Exception as exc:  # recorded in the report, later steps skipped
             failed = True
             results.append(StepResult(name, "failed", None, round(time.perf_counter() - t0, 3),
-                                      f"{type(exc).__name__}: {exc}"[:500]))
+                                      f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(
         [(r.step, r.status, r.rows, r.seconds, r.error) for r in results],
         "step string, status string, rows bigint, seconds double, error string")
+
+
+def run_catalogue_steps(spark: SparkSession, raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
+                        out_dir: str, price: str = "price", target: str = "popularity_score",
+                        threshold: float = 0.1) -> DataFrame:
+    """The four steps on a raw catalogue, each writing its tables under
+    ``out_dir``, and a written report (``report``):
+
+    1. ``cleaning``: ``nulls`` (null count per column), ``duplicates`` (repeated
+       rows) and ``clean`` (each row once);
+    2. ``transformation``: ``transformed`` (id, category and flag as processed);
+    3. ``feature_engineering``: ``features``, with the columns that correlate with
+       ``target`` selected and price outliers removed, and its parts ``train`` and
+       ``test``;
+    4. ``exploration``: ``profile`` (table profile) and ``correlations`` with the
+       target.
+    """
+    base = out_dir.rstrip("/")
+    at = lambda name: f"{base}/{name}"
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        csv_io.write_parquet(df, at(name))
+        return spark.read.parquet(at(name))
+
+    def cleaning():
+        put(Q.null_counts(raw), "nulls")
+        put(C.duplicates_report(raw), "duplicates")
+        return put(C.dedup_rows(raw), "clean")
+
+    def transformation():
+        return put(cleaning_plan(spark.read.parquet(at("clean")), config, key_cols), "transformed")
+
+    def feature_engineering():
+        whole = feature_plan(spark.read.parquet(at("transformed")), config)
+        numeric = ("price", "rating", "stock", "availability", "title_length", "title_word_count")
+        _, kept = FE.feature_selection(whole, target, [c for c in numeric if c in whole.columns], threshold)
+        inside = FE.iqr_filter(whole, [price])
+        out = put(inside.select("id", *kept, target), "features")
+        train, test = FE.train_test_split(out, ["id"])
+        put(train, "train")
+        put(test, "test")
+        return out
+
+    def exploration():
+        whole = spark.read.parquet(at("features"))
+        put(P.target_correlations(whole, target, [c for c in whole.columns if c not in ("id", target)]), "correlations")
+        return put(P.table_profile(whole), "profile")
+
+    report = run_steps(spark, [("cleaning", cleaning), ("transformation", transformation),
+                               ("feature_engineering", feature_engineering), ("exploration", exploration)])
+    return put(report, "report")

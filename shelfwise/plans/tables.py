@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.config import Bands
-from shelfwise.operators.common import spread
 
 CATALOGUE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 # price bands scaled to l_extendedprice (the default 20 / 40 / 50 fit book prices)
@@ -28,6 +27,15 @@ LISTING_PAGE_SIZE = 20
 SITE = "http://books.example.com"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Test tables are one Parquet row group each, which Spark cannot split: such
+    a single-split input is dealt out before CPU-heavy row work.  Inputs of
+    several splits are left as they are."""
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
     """A driver table; ``spread_rows`` for inputs that feed CPU-heavy row
     work (regex over whole texts and pages, the catalogue join and ids)."""
@@ -88,6 +96,8 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.array_sort(F.collect_list(F.struct(F.col("p_partkey").alias("k"),
                                                        article.alias("a")))).alias("arts")))
     slug = F.lower(F.col("p_type"))
+    # a fixed number of partitions: by bytes alone all pages would be one task's work
+    pages = pages.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "page_id")
     return pages.select(
         F.col("page_id"),
         F.concat(F.lit(SITE + "/catalogue/category/books/"), slug, F.lit("_"),

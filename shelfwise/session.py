@@ -41,8 +41,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a fresh scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a
+    local master (one machine) gets a fresh scratch folder; on a cluster that
+    is an error, for executors would write to their own disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -55,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(current)
         return current
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     scratch = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     if sc is not None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,11 +68,19 @@ def validate_input(spark: SparkSession, path: str, schema: T.StructType | None =
             return False, "missing columns: " + ", ".join(miss)
         if df.isEmpty():
             return False, "empty"
-    except AnalysisException as exc:  # missing path, unreadable
+    except PySparkException as exc:  # missing path, unreadable, a first row that cannot be parsed
         return False, f"unreadable: {exc.getMessage() if hasattr(exc, 'getMessage') else exc}"
     return True, "ok"
 
 
+def readable(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table stands at ``path`` and has a row."""
+    try:
+        return not spark.read.parquet(path).isEmpty()
+    except AnalysisException:
+        return False
+
+
 def require_input(spark: SparkSession, path: str, what: str = "input", **kw) -> None:
     ok, why = validate_input(spark, path, **kw)
     if not ok:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.config import BASE64_MIN_LENGTH
+from shelfwise.config import BASE64_MIN_LENGTH, RATING_WORDS
 from shelfwise.functions import html as H
 from shelfwise.functions import text as TX
 from shelfwise.functions import urls as U
@@ -24,17 +24,30 @@ H3_LINK_TITLE_RE = r"(?s)<h3[^>]*>\s*<a\s[^>]*\btitle=\"([^\"]*)\""
 H3_LINK_HREF_RE = r"(?s)<h3[^>]*>\s*<a\s[^>]*\bhref=\"([^\"]*)\""
 H3_LINK_TEXT_RE = r"(?s)<h3[^>]*>\s*<a[^>]*>(.*?)</a>"
 PRICE_RE = H.element_inner("p", "price_color")
-RATING_RE = r"<p\s[^>]*class=\"star-rating\s+([A-Za-z]+)[^\"]*\""
+RATING_RE = r"<p\s[^>]*class=\"((?:[^\"]*\s)?star-rating(?:\s[^\"]*)?)\""    # all classes of the element
+RATING_WORD_RE = r"\b(" + "|".join(w for w, _ in RATING_WORDS) + r")\b"
 IMG_SRC_RE = r"(?s)<img\s[^>]*\bsrc=\"([^\"]*)\""
-AVAILABILITY_RE = H.element_inner("p", "availability")
-PRODUCT_IMG_RE = r"(?s)class=\"(?:[^\"]*\s)?(?:item|thumbnail)(?:\s[^\"]*)?\"[^>]*>\s*(?:<[^>]*>\s*)*?<img\s[^>]*\bsrc=\"([^\"]*)\""
+AVAILABILITY_RE = r"(?s)<p\s[^>]*class=\"instock availability\"[^>]*>(.*?)</p>"    # exactly these classes
+def _image_inside(cls: str) -> str:
+    """First image after the start of an element (no image itself) of a class."""
+    return rf"(?s)<(?!img\b)[a-z0-9]+\s[^>]*class=\"(?:[^\"]*\s)?{cls}(?:\s[^\"]*)?\"[^>]*>.*?<img\s[^>]*\bsrc=\"([^\"]*)\""
+
+
+THUMBNAIL_IMG_RE = _image_inside("thumbnail")       # looked for first
+ITEM_IMG_RE = _image_inside("item")
 NAV_RE = r"(?s)<nav[^>]*>(.*?)</nav>"
+SIDEBAR_RE = r"(?s)<ul\s[^>]*class=\"nav nav-list\"[^>]*>.*?<ul[^>]*>(.*?)</ul>"
 LINK_RE = r"(?s)<a\s[^>]*\bhref=\"([^\"]*)\"[^>]*>(.*?)</a>"
 NEXT_RE = r"(?s)<li\s[^>]*class=\"next\"[^>]*>\s*<a\s[^>]*\bhref=\"([^\"]*)\""
 LANG_RE = r"<html[^>]*\blang=\"([^\"]*)\""
 BASE64_TEXT_RE = r"^[A-Za-z0-9+/=\s]{" + str(BASE64_MIN_LENGTH) + r",}$"
 
 
+def rating_word(html):
+    """The rating word among the classes of the rating element, in any order."""
+    return H.first_text(H.first_text(html, RATING_RE), RATING_WORD_RE)
+
+
 def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "url",
                             html: str = "html") -> DataFrame:
     """(key, position, title, price, rating, category, image, product_page)."""
@@ -46,18 +59,18 @@ def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "
             .select(key, "_url", "category", F.posexplode_outer("_arts").alias("_pos", "_a"))
             .where(F.col("_a").isNotNull()))
     a = F.col("_a")
-    title_attr = F.nullif(H.first_match(a, H3_LINK_TITLE_RE), F.lit(""))
+    title_attr = H.first_text(a, H3_LINK_TITLE_RE)
     # raw fields first (one projection), URL resolution in the next one, so
     # every regex runs once per article
     matches = base.select(
         F.col(key), (F.col("_pos") + 1).cast("int").alias("position"), "category", "_url",
-        title_attr.alias("_tattr"), H.first_match(a, H3_LINK_TEXT_RE).alias("_ttext"),
-        H.first_match(a, PRICE_RE).alias("_price"), H.first_match(a, RATING_RE).alias("_rating"),
-        F.nullif(H.first_match(a, IMG_SRC_RE), F.lit("")).alias("_img"),
-        F.nullif(H.first_match(a, H3_LINK_HREF_RE), F.lit("")).alias("_href"))
+        title_attr.alias("_tattr"), H.first_text(a, H3_LINK_TEXT_RE).alias("_ttext"),
+        H.first_text(a, PRICE_RE).alias("_price"), rating_word(a).alias("_rating"),
+        H.decode_entities(H.first_text(a, IMG_SRC_RE)).alias("_img"),
+        H.decode_entities(H.first_text(a, H3_LINK_HREF_RE)).alias("_href"))
     fields = matches.select(
         key, "position",
-        H.decode_entities(F.coalesce(F.col("_tattr"), H.node_text(F.col("_ttext")))).alias("title"),
+        F.coalesce(H.decode_entities(F.col("_tattr")), H.node_text(F.col("_ttext"))).alias("title"),
         TX.parse_price(H.node_text(F.col("_price"))).alias("price"),
         TX.rating_from_word(F.col("_rating")).alias("rating"),
         "category", "_url", "_img", "_href")
@@ -76,7 +89,8 @@ def extract_product_fields(pages: DataFrame, url: str = "url", html: str = "html
     raw = pages.select(
         U.drop_fragment(F.col(url)).alias("url"), F.col(url).alias("_u"),
         H.first_match(html, AVAILABILITY_RE).alias("_block"),
-        F.nullif(H.first_match(html, PRODUCT_IMG_RE), F.lit("")).alias("_img"))
+        H.decode_entities(F.coalesce(H.first_text(html, THUMBNAIL_IMG_RE),
+                                     H.first_text(html, ITEM_IMG_RE))).alias("_img"))
     parsed = raw.select("url", "_u", "_img", "_block",
                         TX.parse_availability(H.node_text(F.col("_block"))).alias("_p"))
     fields = parsed.select(
@@ -91,30 +105,34 @@ def enrich_from_pages(listing: DataFrame, products: DataFrame) -> DataFrame:
     """Listing rows left-joined to their product page on the canonical URL.
 
     No product page (or no block) -> availability false, stock null; the
-    product page image replaces the listing thumbnail when present.  The
-    planner picks broadcast or sort-merge from the sizes it sees at run
-    time (AQE); nothing is forced.
+    product page image replaces the listing thumbnail when present.  Several
+    stored pages of one URL count as one (the smallest by its fields), so a listing
+    row comes out once.  Rows without a product URL go around the join.  The
+    planner picks broadcast or sort-merge from the sizes it sees at run time.
     """
-    p = products.select(F.col("url").alias("_purl"), "in_stock", "stock", "page_image")
-    j = listing.join(p, listing["product_page"] == p["_purl"], "left")
+    one = products.where(F.col("url").isNotNull()).groupBy("url").agg(F.min(F.struct("in_stock", "stock", "page_image")).alias("_p"))
+    p = one.select(F.col("url").alias("_purl"), "_p.in_stock", "_p.stock", "_p.page_image")
     out = [c for c in listing.columns if c not in ("image",)]
+    # a null key is replaced by a hash of its row, which spreads such rows and matches nothing
+    key = F.coalesce(F.col("product_page"), F.concat(F.lit("null:"), F.xxhash64(*listing.columns).cast("string")))
+    j = listing.withColumn("_key", key).join(p, F.col("_key") == F.col("_purl"), "left")
     return j.select(*out, F.coalesce(F.col("page_image"), F.col("image")).alias("image"),
-                    F.coalesce(F.col("in_stock"), F.lit(False)).alias("availability"),
-                    F.col("stock").cast("int").alias("stock"))
+                    F.coalesce(F.col("in_stock"), F.lit(False)).alias("availability"), "stock")
 
 
 def extract_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
                   block_re: str = NAV_RE) -> DataFrame:
     """(key, position, name, href, link_url) for every link with an href
-    inside the navigation block of each page."""
-    nav = F.coalesce(H.first_match(html, block_re), F.lit(""))
+    inside the navigation blocks of each page, numbered through all of them.
+    ``block_re`` is ``SIDEBAR_RE`` for a category sidebar."""
+    nav = F.array_join(F.regexp_extract_all(F.col(html), F.lit(block_re), 1), " ")
     hrefs = F.regexp_extract_all(nav, F.lit(LINK_RE), 1)
     names = F.regexp_extract_all(nav, F.lit(LINK_RE), 2)
     z = pages.select(F.col(key), F.col(url).alias("_url"),
                      F.posexplode(F.arrays_zip(hrefs.alias("href"), names.alias("name"))).alias("_pos", "_l"))
     links = (z.where(F.col("_l.href") != "")
              .select(F.col(key), (F.col("_pos") + 1).cast("int").alias("position"),
-                     H.node_text(F.col("_l.name")).alias("name"), F.col("_l.href").alias("href"), "_url"))
+                     H.node_text(F.col("_l.name")).alias("name"), H.decode_entities(F.col("_l.href")).alias("href"), "_url"))
     return (U.with_resolved_url(links, "_url", "href", "link_url", canonical=True)
             .select(key, "position", "name", "href", "link_url"))
 

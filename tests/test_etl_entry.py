@@ -202,3 +202,44 @@ def test_staged_copies_removed(spark, tmp_path):
     new = listing() - before
     assert len(new) == 1 and next(iter(new)).startswith("features-")   # only the returned table
     assert feats.count() == 2
+
+
+def test_the_four_steps_write_their_tables_and_report(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [(f"Book {i % 40}", float(5 + i % 37), 1 + i % 5, ("Poetry", "Travel")[i % 2], "", f"p{i % 40}", "yes", i % 20, "") for i in range(80)],
+        "title string, price double, rating int, category string, image string, product_page string, availability string, stock int, image_base64 string")
+    raw = raw.unionByName(raw.limit(3))
+    out = str(tmp_path / "run")
+    report = E.run_catalogue_steps(spark, raw, PipelineConfig(on_null="report"), ["title", "price", "stock"], out)
+    read = lambda n: spark.read.parquet(f"{out}/{n}")
+    assert [(r["step"], r["status"]) for r in sorted(report.collect(), key=lambda r: ("cleaning", "transformation", "feature_engineering", "exploration").index(r["step"]))] == [
+        ("cleaning", "success"), ("transformation", "success"), ("feature_engineering", "success"), ("exploration", "success")]
+    assert read("report").count() == 4
+    assert read("clean").count() == 80 and read("duplicates").where("copies = 2").count() == 3
+    assert read("nulls").where("nulls > 0").count() == 0
+    assert read("train").count() + read("test").count() == read("features").count() > 0
+    assert "popularity_score" in read("features").columns and read("profile").count() > 0 and read("correlations").count() > 0
+    broken = E.run_catalogue_steps(spark, raw.drop("price"), PipelineConfig(), ["title"], str(tmp_path / "broken"))
+    assert {r["status"] for r in broken.collect()} == {"success", "failed", "skipped"}
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from shelfwise import session as S
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None)
+    for master in ("yarn", "k8s://x", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            S.ensure_checkpoint_dir(SimpleNamespace(conf=Conf({"spark.master": master}), sparkContext=sc))
+    assert S.ensure_checkpoint_dir(SimpleNamespace(conf=Conf({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs:///c"}), sparkContext=sc)) == "hdfs:///c"
+
+
+def test_features_only_needs_the_processed_table(spark, tmp_path):
+    from shelfwise import cli
+    with pytest.raises(ValueError, match="cleaning phase"):
+        cli.main(["--features-only", "--processed", str(tmp_path / "none"), "--features", str(tmp_path / "f")], spark=spark)

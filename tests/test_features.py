@@ -48,8 +48,18 @@ def test_one_hot(spark):
     clash = spark.createDataFrame([("A B",), ("a b",)], "category string")
     with pytest.raises(FE.VocabularyError):
         FE.add_one_hot(clash)
+
+
+def test_one_hot_of_many_categories_is_sparse(spark):
+    many = spark.range(5000).select(F.concat(F.lit("Kind "), F.col("id").cast("string")).alias("category"))
+    out = FE.add_one_hot(many.unionByName(spark.createDataFrame([(None,)], "category string")))
+    assert out.columns == ["category", "category_one_hot"]
+    got = dict(rows(out))
+    assert len(got) == 5001 and got["Kind 42"] == {"category_kind_42": 1} and got[None] == {}
+    assert FE.one_hot_sums(out).count() == 5000
+    clash = many.unionByName(spark.createDataFrame([("kind 3",)], "category string"))
     with pytest.raises(FE.VocabularyError):
-        FE.add_one_hot(spark.range(5).select(F.col("id").cast("string").alias("category")), cap=3)
+        FE.add_one_hot(clash)
 
 
 FEAT_ROWS = [(10, 5, "a"), (11, 6, "b"), (12, 7, "a"), (13, 8, "b"), (14, 9, "a"), (1000, 10, "b")]

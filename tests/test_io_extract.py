@@ -1,12 +1,13 @@
 """CSV scan / sink / admission, export encoding and HTML record extraction."""
 
+import html
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from shelfwise.schema import RAW_SCHEMA, SchemaError, require_columns
 from shelfwise.sources import csv_io
+from shelfwise.functions import html as H
 from shelfwise.sources import extract as X
 from tests.conftest import rows
 
@@ -121,4 +122,42 @@ def test_base64_passthrough(spark):
                                "image string, image_base64 string")
     out = [r[0] for r in X.base64_passthrough(df).select("image_base64").collect()]
     assert out == [long_b64, "", long_b64]
-    assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+def one(spark, html, url="http://h.example.com/a/b.html"):
+    return spark.createDataFrame([(1, url, html)], "page_id long, url string, html string")
+
+
+def test_entities_decode_as_the_standard_library_does(spark):
+    """Text and attributes; once, so an escaped reference stays text."""
+    texts = ["&copy; &middot; &pound;5 &eacute;&#233;&#xE9; &euro; &lt;b&gt; &quot;x&quot; &#39;", "a &amp;lt; b &amp;amp; c", "fish & chips &",
+             "&unknown; &#; &#x; &copy 2020 &ampere &notit; &amp", "&#128; &#150; &#0; &#55296; &#1114112;", "&CounterClockwiseContourIntegral; &hellip;&nbsp;x", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = dict(rows(df.select("i", H.decode_entities("t").alias("t")), "i", "t"))
+    assert got == {i: html.unescape(t) for i, t in enumerate(texts)}
+    page = one(spark, '<nav><a href="p.html?a=1&amp;b=2">A &amp; B</a></nav><nav><a href="q.html">Q</a></nav>')
+    assert rows(X.extract_links(page), "position", "name", "link_url") == [
+        (1, "A & B", "http://h.example.com/a/p.html?a=1&b=2"), (2, "Q", "http://h.example.com/a/q.html")]
+
+
+def test_sidebar_availability_rating_and_images(spark):
+    side = '<ul class="nav nav-list"><li><a href="i.html">All</a><ul><li><a href="t.html"> Travel </a></li></ul></li></ul>'
+    assert rows(X.extract_links(one(spark, side), block_re=X.SIDEBAR_RE), "name") == [("Travel",)]
+    cases = {'<p class="outofstock availability">Out of stock (3 available)</p>': (False, None),
+             '<p class="instock availability">In stock (99999999999 available)</p>': (True, 99999999999),
+             '<p class="instock availability"></p>': (False, None)}
+    for markup, want in cases.items():
+        assert rows(X.extract_product_fields(one(spark, markup)), "in_stock", "stock") == [want]
+    for cls, want in {"star-rating Three": "Three", "Three star-rating": "Three", "big Five star-rating x": "Five", "star-rating Seven": None}.items():
+        got = spark.createDataFrame([(f'<p class="{cls}"></p>',)], "t string").select(X.rating_word("t").alias("r")).first()["r"]
+        assert got == want
+    images = '<div class="item"><img src="item.jpg"></div><a class="thumbnail"><span><i></i></span><img class="thumbnail" src="thumb.jpg"></a>'
+    assert X.extract_product_fields(one(spark, images)).first()["page_image"] == "http://h.example.com/a/thumb.jpg"
+
+
+def test_enrichment_keeps_each_listing_row_once(spark):
+    listing = spark.createDataFrame([(1, "http://h/p", "i"), (2, None, "j"), (3, None, "k")], "n int, product_page string, image string")
+    products = spark.createDataFrame([("http://h/p", True, 3, None), ("http://h/p", True, 5, "z"), (None, True, 9, "y")],
+                                     "url string, in_stock boolean, stock bigint, page_image string")
+    got = sorted(rows(X.enrich_from_pages(listing, products), "n", "image", "availability", "stock"))
+    assert got == [(1, "i", True, 3), (2, "j", False, None), (3, "k", False, None)]

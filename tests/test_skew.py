@@ -41,7 +41,6 @@ def test_hot_value_quantiles_exact(spark):
     df = skewed(spark)
     v = np.concatenate([np.full(N // 3, 7.0), (np.arange(N // 3, N) % 1000).astype(float)])
     probs = [0.1, 0.3, 0.5, 0.9]
-    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["v"], probs, ranges=16,
-                                                          max_interval_distinct=100).collect()}
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["v"], probs).collect()}
     for p in probs:
         assert got[p] == float(np.quantile(v, p))
