@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Shared, map_rows, stage, unstage
+from shelfwise.llm.common import Shared, map_rows, map_slices, stage, unstage
 
 ORDER = 4
 SPAN = 7
@@ -199,27 +199,24 @@ class ToxicityModel:
     def __getstate__(self):
         return {**self.__dict__, "cache": {}}
 
-    def word_margins(self, words) -> list[float]:
+    def worst(self, texts: list[str | None]) -> list[tuple[float, bytes]]:
+        """Per text its margin, which is that of its worst word, and that word.
+        The new words of all texts are scored together."""
+        found = [words_of(t) for t in texts]
+        if len(self.cache) > 300_000:
+            self.cache.clear()
         cache = self.cache
-        new = [w for w in words if w not in cache]
+        new = list({w for words in found for w in words if w not in cache})
         if new:
-            if len(cache) > 300_000:
-                cache.clear()
-                new = list(words)
-            cache.update(zip(new, (table_scores(new, self.table) + self.bias).tolist(), strict=True))
-        return [cache[w] for w in words]
-
-    def worst(self, text: str | None) -> tuple[float, bytes]:
-        """Margin of the text, which is that of its worst word, and that word."""
-        words = list(words_of(text))
-        if not words:
-            return self.lowest, b""
-        margin, word = max(zip(self.word_margins(words), words, strict=True))
-        return max(self.lowest, min(2.0, margin)), word
+            cache.update(zip(new, np.clip(table_scores(new, self.table) + self.bias, self.lowest, 2.0).tolist(), strict=True))
+        return [max((cache[w], w) for w in words) if words else (self.lowest, b"") for words in found]
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        slope, shift = self.line
+        return [1 / (1 + math.exp(-max(-30.0, min(30.0, slope * m + shift)))) for m, _ in self.worst(texts)]
 
     def score(self, text: str | None) -> float:
-        x = self.line[0] * self.worst(text)[0] + self.line[1]
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
+        return self.scores([text])[0]
 
 
 def witnesses(pairs, toxic_docs: int, least: int = 3) -> dict[bytes, int]:
@@ -308,7 +305,7 @@ def _machine(bad: dict[bytes, int], clean: list[bytes]) -> ToxicityModel:
 def _hard_words(rows: DataFrame, model: ToxicityModel, bad) -> list[bytes]:
     """Worst words of clean documents with the highest margins."""
     shared = Shared(rows.sparkSession, model)
-    worst = map_rows(rows.where("toxic = 0").select("text"), lambda t: shared.value.worst(t), "margin double, word binary")
+    worst = map_slices(rows.where("toxic = 0").select("text"), lambda t: shared.value.worst(t), "margin double, word binary")
     got = worst.where("margin > -0.5").groupBy("word").agg(F.max("margin").alias("margin")).orderBy(F.desc("margin"), "word").limit(HARD).collect()
     return [bytes(r["word"]) for r in got if bytes(r["word"]) not in bad]
 
@@ -316,7 +313,8 @@ def _hard_words(rows: DataFrame, model: ToxicityModel, bad) -> list[bytes]:
 def _calibrate(rows: DataFrame, model: ToxicityModel) -> None:
     """Sets score 0.5 where the sample errs least (one number a document)."""
     shared = Shared(rows.sparkSession, model)
-    got = map_rows(rows.select("text", "toxic"), lambda t, y: (shared.value.worst(t)[0], y), "margin double, toxic int").collect()
+    got = map_slices(rows.select("text", "toxic"), lambda t, y: [(m, label) for (m, _), label in zip(shared.value.worst(t), y, strict=True)],
+                     "margin double, toxic int").collect()
     border = boundary(np.array([r["margin"] for r in got]), np.array([r["toxic"] for r in got]))
     model.line = (4.0, -4.0 * border)
 
@@ -342,7 +340,7 @@ def score_documents(documents: DataFrame, model: ToxicityModel | None) -> DataFr
     if model is None:
         return documents.select("doc_id", F.lit(0.0).alias("score"))
     shared = Shared(documents.sparkSession, model)     # SLOTS numbers
-    return map_rows(documents.select("doc_id", "text"), lambda d, t: (d, shared.value.score(t)), "doc_id long, score double")
+    return map_slices(documents.select("doc_id", "text"), lambda d, t: list(zip(d, shared.value.scores(t), strict=True)), "doc_id long, score double")
 
 
 def drop_toxic(documents: DataFrame, model: ToxicityModel | None, threshold: float = 0.5) -> DataFrame:
@@ -355,8 +353,9 @@ def drop_toxic(documents: DataFrame, model: ToxicityModel | None, threshold: flo
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(at)
-            yield batch.filter(pa.array([shared.value.score(t.as_py()) < threshold for t in texts], type=pa.bool_()))
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                yield part.filter(pa.array([s < threshold for s in shared.value.scores(part.column(at).to_pylist())], type=pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
