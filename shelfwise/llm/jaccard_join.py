@@ -25,7 +25,7 @@ measures the others against them (exact Jaccard distance).  Documents within the
 bound are linked.  The pivots leave; of those known to be in the first pivot's
 component only the window stays whose distance to it is, by the triangle
 inequality, within the bound of some document of another component.  Regions
-with one component left are done; the others go on with twice as many pivots.
+with one component left are done; the others go on with four times as many pivots.
 
 Equal sets are one node throughout, so copies are never paired.  A set is known
 by 96 bits of its digest and its size, a shingle by 64 bits.
@@ -55,6 +55,8 @@ WIDTH = 5
 #: Linked from 80 / 100 on.
 NUMERATOR, DENOMINATOR = 80, 100
 GROWTH = 1.6
+#: Pivots of a region in the first round, and their growth from round to round.
+PIVOTS = 4
 EMPTY = b"\0" * 16
 
 
@@ -189,16 +191,12 @@ def join_regions(regions: DataFrame, sets: DataFrame, num: int = NUMERATOR, den:
     active = stage(regions.withColumn("w", F.count("*").over(Window.partitionBy("node"))), "regions")
     edges = measured = None
     labels = stage(regions.select("node", F.col("node").alias("root")).limit(0), "components")
-    pivots = 1
+    pivots = PIVOTS
     while True:
         # the first of each region by weight, then node, measure the others
-        if pivots == 1:
-            chosen = active.groupBy("key").agg(F.max(F.struct("w", "node")).alias("top")).withColumn("r", F.lit(1))
-        else:
-            order = Window.partitionBy("key").orderBy(F.desc("w"), F.desc("node"))
-            chosen = (active.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
-                      .select("key", F.struct("w", "node").alias("top"), "r"))
-        chosen = _with_root(chosen.select("key", "r", F.col("top.w").alias("pw"), F.col("top.node").alias("pivot")), labels, "pivot", "pivot_root")
+        order = Window.partitionBy("key").orderBy(F.desc("w"), F.desc("node"))
+        chosen = active.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
+        chosen = _with_root(chosen.select("key", "r", F.col("w").alias("pw"), F.col("node").alias("pivot")), labels, "pivot", "pivot_root")
         met = (_with_root(active, labels, "node", "root").join(chosen, "key").where(F.struct("w", "node") < F.struct("pw", "pivot"))
                .where("root <> pivot_root"))        # one component needs no more links
         size, other = node_size("node"), node_size("pivot")
@@ -231,7 +229,7 @@ def join_regions(regions: DataFrame, sets: DataFrame, num: int = NUMERATOR, den:
         unstage(rest)
         if active.isEmpty():
             return edges, labels
-        pivots *= 2
+        pivots *= PIVOTS
 
 
 def _with_root(rows: DataFrame, labels: DataFrame, node: str, root: str) -> DataFrame:
