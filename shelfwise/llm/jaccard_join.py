@@ -17,7 +17,7 @@ own content.  d is the sum of the distances in the cells, so with more than T
 non-empty cells, T being the largest d of a linked pair in the ring, a linked
 pair is at distance 0 in a cell and shares that region.  A region is a key, and
 only keys with two or more different sets go on.  A set with u non-empty cells
-even shares u - d of them with a partner, so sets that share fewer with all
+even shares u - d of them (and at least one region) with a partner, so sets that share fewer with all
 others together leave their ring.
 
 *Regions* are joined recursively.  Each elects pivots among its documents and
@@ -110,8 +110,9 @@ def cell_keys(shingles: np.ndarray, num: int = NUMERATOR, den: int = DENOMINATOR
     """``(ring, least, keys)`` of each ring of a set: a key per non-empty cell, of
     which it shares ``least`` with a linked partner in that ring.  Where hashing
     leaves no more than the bound of cells non-empty (tiny sets, rarely), the empty
-    cells are regions as well.  Sets that only an equal one can be linked to have
-    no keys."""
+    cells are regions as well; a partner beyond the bound has none of these, so
+    ``least`` counts non-empty cells only.  Sets that only an equal one can be
+    linked to have no keys."""
     out = []
     n = len(shingles)
     for ring in rings_of(len(shingles), num, den):
@@ -124,11 +125,11 @@ def cell_keys(shingles: np.ndarray, num: int = NUMERATOR, den: int = DENOMINATOR
         starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
         content = np.add.reduceat(mix64(shingles + np.uint64(1)), starts)
         used = cells[starts]
+        largest = min(int(RINGS[ring + 1]) - 1, n * den // num)
+        least = max(1, len(used) - (den - num) * (n + largest) // (den + num))
         if len(used) <= bound:
             missing = np.setdiff1d(np.arange(m, dtype=np.uint64), used)
             used, content = np.concatenate([used, missing]), np.concatenate([content, np.zeros(len(missing), dtype=np.uint64)])
-        largest = min(int(RINGS[ring + 1]) - 1, n * den // num)
-        least = len(used) - (den - num) * (n + largest) // (den + num)
         out.append((ring, least, mix64(content + mix64(used * np.uint64(1 << 16) + np.uint64(ring + 1))).view(np.int64)))
     return out
 

@@ -116,6 +116,32 @@ def test_linked_sets_share_enough_keys():
         assert shared >= max(1, x[ring][0], y[ring][0])
 
 
+def crowded_pairs(count):
+    """Texts of 8 words whose shingles hash to one cell of their ring, and the same
+    with a word more, whose shingles lie in two: similarity 0.8."""
+    out, i = [], 0
+    while len(out) < 2 * count:
+        words = [f"q{i}x{k}" for k in range(9)]
+        i += 1
+        short, long = (J.shingle_set(" ".join(words[:n])) for n in (8, 9))
+        ring = J.rings_of(len(long))[0]
+        keys = [{r: len(k) for r, _, k in J.cell_keys(s)}[ring] for s in (short, long)]
+        if keys == [7, 2]:
+            out += [" ".join(words[:8]), " ".join(words)]
+    return out
+
+
+def test_pairs_with_one_member_at_the_bound_of_cells(spark):
+    texts = crowded_pairs(3)
+    # a pair alone: several of these share empty cells with each other
+    want = check(documents(spark, texts[:2]))
+    assert [c for _, c in want.values()] == [0, 0]
+    for a, b in zip(texts[::2], texts[1::2], strict=True):
+        x, y = ({ring: (least, {*k.tolist()}) for ring, least, k in J.cell_keys(J.shingle_set(t))} for t in (a, b))
+        ring = J.rings_of(5)[0]
+        assert len(x[ring][1] & y[ring][1]) >= max(x[ring][0], y[ring][0])
+
+
 def test_components_against_union_find(spark):
     rng = random.Random(8)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)] + [(500, i) for i in range(501, 560)]
