@@ -8,11 +8,16 @@ removed (``i.d.i.o.t`` is one word, and so are single letters set apart), long
 ones in overlapping windows.
 
 Only documents are labelled.  A toxic one holds some toxic sentence, and a
-sentence is as toxic as its worst word; words that explain most toxic training
-documents, and are rare in the others, label the sentences that hold them.  The
-machine is trained on words of sentences of both labels in the space of Nystrom
-landmarks, then again with the highest-scoring words of clean documents added.
-The kernel is a product of explicit subsequence weights, so the trained machine
+sentence is as toxic as its worst word or phrase; all sentences of clean documents
+are clean.  Words that explain most toxic training documents, and are rare in the
+others, are the toxic side of the machine, which is trained on words in the space
+of Nystrom landmarks, then again with the highest-scoring words of clean documents
+added.  Toxic documents below its border hold some other toxic sentence: a second
+machine is trained in the same way on the phrases (``PHRASE`` words in a row) of
+their sentences that no clean sentence, or hardly one, holds, against phrases of
+clean sentences.  Without such phrases there is no second machine; with them, words
+found in fewer than three toxic documents that the phrases leave unexplained go.
+The kernel is a product of explicit subsequence weights, so a trained machine
 is one bounded table, and a text is scored whole at a few lookups per letter.
 
 Training takes a sample of labelled documents of bounded size (``SAMPLE``);
@@ -28,6 +33,7 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from dataclasses import dataclass
 from itertools import combinations
@@ -50,12 +56,17 @@ CANDIDATES = 1_500
 CLEAN_WORDS = 3_000
 LANDMARKS = 128
 HARD = 1_500
+#: Words of a phrase; longer sentences are read in overlapping pieces.
+PHRASE = (2, 3)
+PIECE = 2_000
 
 _CLASS = np.zeros(256, dtype=np.uint32)
 _CLASS[97:123] = np.arange(1, 27)
 _CLASS[48:58] = 27
 _CLASS[128:] = 28 + (np.arange(128) % 32)
 _EDGE = 63
+_CLASS[32] = _EDGE      # between the words of a phrase
+_ENDS = re.compile(r"[.!?\u2026]+(?=\s)|[\n\r\u3002\uff01\uff1f]+")
 _DROP = bytes(b for b in range(128) if not (97 <= b < 123 or 48 <= b < 58 or b in (9, 10, 11, 12, 13, 32)))
 _STEPS = [(a, b, c) for a, b, c in combinations(range(1, SPAN), ORDER - 1)]
 
@@ -82,6 +93,21 @@ def words_of(text: str | None) -> set[bytes]:
     return out
 
 
+def sentences_of(text: str | None) -> list[list[bytes]]:
+    """Sentences of two or more words without punctuation, long words cut."""
+    out = []
+    for sentence in _ENDS.split((text or "").lower()):
+        words = [w[:LONGEST] for w in sentence.encode("utf-8", "surrogatepass").translate(None, _DROP).split()]
+        step = PIECE - max(PHRASE) + 1
+        out += [words[i:i + PIECE] for i in range(0, max(1, len(words) - max(PHRASE) + 1), step) if len(words) > 1]
+    return out
+
+
+def phrases_of(text: str | None) -> set[bytes]:
+    """Distinct phrases of the sentences."""
+    return {b" ".join(s[i:i + q]) for s in sentences_of(text) for q in PHRASE for i in range(len(s) - q + 1)}
+
+
 def _slots(words: list[bytes]):
     """For words of one length: (slot matrix, weight) per subsequence shape."""
     n, size = len(words), len(words[0])
@@ -186,12 +212,13 @@ def train_machine(words: list[bytes], y: np.ndarray, weight: np.ndarray, landmar
 @dataclass
 class ToxicityModel:
     """Table and bias of the machine, and the line that turns the margin of a
-    text's worst word into a probability."""
+    text's worst word into a probability; and the machine of phrases, if any."""
 
     table: np.ndarray
     bias: float
     line: tuple[float, float] = (4.0, 0.0)
     lowest: float = -2.0
+    phrases: ToxicityModel | None = None
 
     def __post_init__(self):
         self.cache: dict[bytes, float] = {}
@@ -211,9 +238,62 @@ class ToxicityModel:
             cache.update(zip(new, np.clip(table_scores(new, self.table) + self.bias, self.lowest, 2.0).tolist(), strict=True))
         return [max((cache[w], w) for w in words) if words else (self.lowest, b"") for words in found]
 
+    def worst_phrase(self, texts: list[str | None]) -> list[tuple[float, bytes]]:
+        """Per text the margin of its worst phrase, and that phrase."""
+        best = [(self.lowest, b"")] * len(texts)
+        block, size = [], 0
+        for i, text in enumerate(texts):
+            for sentence in sentences_of(text):
+                block.append((i, sentence))
+                size += len(sentence)
+                if size >= 20_000:
+                    self._phrases_of_block(block, best)
+                    block, size = [], 0
+        if block:
+            self._phrases_of_block(block, best)
+        return best
+
+    def _phrases_of_block(self, block: list[tuple[int, list[bytes]]], best: list[tuple[float, bytes]]) -> None:
+        """Table sums of all phrases out of running sums, one for each span."""
+        words = [w for _, s in block for w in s]
+        raw = b" " + b" ".join(words) + b" "
+        codes = _CLASS[np.frombuffer(raw, dtype=np.uint8)]
+        sums = {c: np.zeros(len(codes) + 1) for c in range(ORDER - 1, SPAN)}
+        for a, b, c in _STEPS:
+            m = len(codes) - c
+            if m > 0:
+                key = ((codes[:m] * np.uint32(64) + codes[a:a + m]) * np.uint32(64) + codes[b:b + m]) * np.uint32(64) + codes[c:c + m]
+                sums[c][1:m + 1] += DECAY ** (c + 1) * self.table[(key * np.uint32(2654435761)) >> np.uint32(12)]
+        sums = {c: np.cumsum(v) for c, v in sums.items()}
+        norms = np.array([_norm(n) for n in range(max(PHRASE) * (LONGEST + 1) + 1)])
+        lengths = np.array([len(w) for w in words])
+        end = np.cumsum(lengths + 1) + 1                      # behind the border after each word
+        start = end - lengths - 2
+        sentence = np.repeat(np.arange(len(block)), [len(s) for _, s in block])
+        owner = np.array([i for i, _ in block])[sentence]
+        for q in PHRASE:
+            at = np.flatnonzero(sentence[:len(words) - q + 1] == sentence[q - 1:])
+            if not len(at):
+                continue
+            left, right = start[at], end[at + q - 1]
+            total = sum(v[np.maximum(right - c, left)] - v[left] for c, v in sums.items())
+            margins = np.clip(total / norms[right - left - 2] + self.bias, self.lowest, 2.0)
+            mine = owner[at]
+            borders = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+            tops = np.maximum.reduceat(margins, borders)
+            for k, top in zip(borders.tolist(), tops.tolist(), strict=True):
+                i = int(mine[k])
+                if top > best[i][0]:
+                    w = k + int(np.argmax(margins[k:] == top))
+                    best[i] = (top, raw[left[w] + 1:right[w] - 1])
+
     def scores(self, texts: list[str | None]) -> list[float]:
         slope, shift = self.line
-        return [1 / (1 + math.exp(-max(-30.0, min(30.0, slope * m + shift)))) for m, _ in self.worst(texts)]
+        lines = [slope * m + shift for m, _ in self.worst(texts)]
+        if self.phrases is not None:
+            slope, shift = self.phrases.line
+            lines = [max(x, slope * m + shift) for x, (m, _) in zip(lines, self.phrases.worst_phrase(texts), strict=True)]
+        return [1 / (1 + math.exp(-max(-30.0, min(30.0, x)))) for x in lines]
 
     def score(self, text: str | None) -> float:
         return self.scores([text])[0]
@@ -266,30 +346,99 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxi
     top = (counts.where((F.col("t") >= 3) & lift).orderBy(F.desc("t"), "word").limit(CANDIDATES).select("word").collect())
     candidates = [bytes(r["word"]) for r in top]
     if not candidates:
+        phrases = train_phrases(rows, n, None)
+        if phrases is not None:
+            unstage(rows, counts)
+            return _without_words(phrases)
         candidates = [bytes(r["word"]) for r in counts.where("t > 0").orderBy("c", F.desc("t"), "word").limit(50).select("word").collect()]
-    inside = {*candidates}
-    found = lambda d, text: ((d, w) for w in words_of(text) & inside)
-    found.many = True
-    hits = [(r["doc_id"], bytes(r["word"])) for r in
-            map_rows(rows.where("toxic = 1").select("doc_id", "text"), found, "doc_id long, word binary").collect()]
+    hits = _hits(rows.where("toxic = 1"), candidates, words_of)
     bad = witnesses(hits, n[1]) or witnesses(hits, n[1], 1)
     if not bad:
         return None
     clean = [bytes(r["word"]) for r in counts.where("c > 0").orderBy(F.desc("c"), "word").limit(CLEAN_WORDS // 2).select("word").collect()]
     clean += [bytes(r["word"]) for r in counts.where("c > 0").orderBy(F.xxhash64("word")).limit(CLEAN_WORDS // 2).select("word").collect()]
     clean = [w for w in dict.fromkeys(clean) if w not in bad]
-    model = None
+    model = _harden(rows, bad, clean, ToxicityModel.worst)
+    _calibrate(rows, model, ToxicityModel.worst)
+    phrases = train_phrases(rows, n, model)
+    if phrases is not None:
+        # words that explain hardly a document beside those of the phrases came by chance
+        rest = stage(_below(rows.where("toxic = 1"), _without_words(phrases)), "toxic-rest")
+        left = {r["doc_id"] for r in rest.select("doc_id").collect()}
+        alone = defaultdict(set)
+        for doc, word in hits:
+            if doc in left:
+                alone[word].add(doc)
+        kept = {w: c for w, c in bad.items() if len(alone[w]) >= 3}
+        if not kept:
+            model = _without_words(phrases)
+        elif len(kept) < len(bad):
+            model = _harden(rows, kept, clean, ToxicityModel.worst)
+            _calibrate(rest.unionByName(rows.where("toxic = 0").select("doc_id", "text", "toxic")), model, ToxicityModel.worst)
+        unstage(rest)
+        model.phrases = phrases
+    unstage(rows, counts)
+    return model
+
+
+def _without_words(phrases: ToxicityModel) -> ToxicityModel:
+    return ToxicityModel(np.zeros(SLOTS, dtype=np.float32), ToxicityModel.lowest, phrases=phrases)
+
+
+def _below(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows ``doc_id, text, toxic`` that score under 0.5."""
+    shared = Shared(rows.sparkSession, model)
+    run = lambda d, t, y: [r for r, s in zip(zip(d, t, y, strict=True), shared.value.scores(t), strict=True) if s < 0.5]
+    return map_slices(rows.select("doc_id", "text", "toxic"), run, "doc_id long, text string, toxic int")
+
+
+def _hits(rows: DataFrame, candidates: list[bytes], parts) -> list[tuple[int, bytes]]:
+    """(document, candidate) pairs of the rows."""
+    inside = {*candidates}
+    found = lambda d, text: ((d, w) for w in parts(text) & inside)
+    found.many = True
+    return [(r["doc_id"], bytes(r["word"])) for r in map_rows(rows.select("doc_id", "text"), found, "doc_id long, word binary").collect()]
+
+
+def _harden(rows: DataFrame, bad: dict[bytes, int], clean: list[bytes], worst) -> ToxicityModel:
+    """Machine trained again and again with its worst errors on clean documents."""
+    clean = [*clean]
     for _ in range(3):
-        model = _machine(bad, clean)
-        hard = _hard_words(rows, model, bad)
+        hard = _hard_words(rows, _machine(bad, clean), bad, worst)
         fresh = [w for w in hard if w not in clean]
         if not fresh:
             break
         clean += fresh
-    model = _machine(bad, clean)
-    _calibrate(rows, model)
-    unstage(rows, counts)
-    return model
+    return _machine(bad, clean)
+
+
+def train_phrases(rows: DataFrame, n: dict[int, int], model: ToxicityModel | None) -> ToxicityModel | None:
+    """Machine of phrases, from the sentences of toxic documents that the machine
+    of words finds clean (all toxic ones without it); None without such phrases."""
+    missed = rows.where("toxic = 1").select("doc_id", "text", "toxic")
+    if model is not None:
+        missed = _below(missed, model)
+    missed = stage(missed, "toxic-missed")
+    split = lambda text: ((p,) for p in phrases_of(text))
+    split.many = True
+    phrases = lambda df: map_rows(df.select("text"), split, "phrase binary", 8192)
+    often = stage(phrases(missed).groupBy("phrase").agg(F.count("*").alias("t")).where("t >= 3"), "toxic-phrases")
+    if often.isEmpty():
+        unstage(missed, often)
+        return None
+    clean_rows = rows.where("toxic = 0")
+    c = phrases(clean_rows).join(F.broadcast(often.select("phrase")), "phrase").groupBy("phrase").agg(F.count("*").alias("c"))
+    lift = (F.col("t") / n[1]) > 10 * (F.coalesce("c", F.lit(0)) + 0.5) / n[0]
+    top = often.join(c, "phrase", "left").where(lift).orderBy(F.desc("t"), "phrase").limit(CANDIDATES).select("phrase").collect()
+    bad = witnesses(_hits(missed, [bytes(r["phrase"]) for r in top], phrases_of), n[1])
+    machine = None
+    if bad:
+        drawn = phrases(clean_rows).where(F.pmod(F.xxhash64("phrase"), F.lit(16)) == 0).distinct()
+        clean = [bytes(r["phrase"]) for r in drawn.orderBy(F.xxhash64("phrase")).limit(CLEAN_WORDS).collect()]
+        machine = _harden(rows, bad, [p for p in clean if p not in bad], ToxicityModel.worst_phrase)
+        _calibrate(missed.unionByName(clean_rows.select("doc_id", "text", "toxic")), machine, ToxicityModel.worst_phrase)
+    unstage(missed, often)
+    return machine
 
 
 def _machine(bad: dict[bytes, int], clean: list[bytes]) -> ToxicityModel:
@@ -302,18 +451,18 @@ def _machine(bad: dict[bytes, int], clean: list[bytes]) -> ToxicityModel:
     return ToxicityModel(*train_machine(words, y, weight, [*first, *dict.fromkeys(rest)]))
 
 
-def _hard_words(rows: DataFrame, model: ToxicityModel, bad) -> list[bytes]:
-    """Worst words of clean documents with the highest margins."""
+def _hard_words(rows: DataFrame, model: ToxicityModel, bad, worst_of) -> list[bytes]:
+    """Worst words (or phrases) of clean documents with the highest margins."""
     shared = Shared(rows.sparkSession, model)
-    worst = map_slices(rows.where("toxic = 0").select("text"), lambda t: shared.value.worst(t), "margin double, word binary")
+    worst = map_slices(rows.where("toxic = 0").select("text"), lambda t: worst_of(shared.value, t), "margin double, word binary")
     got = worst.where("margin > -0.5").groupBy("word").agg(F.max("margin").alias("margin")).orderBy(F.desc("margin"), "word").limit(HARD).collect()
     return [bytes(r["word"]) for r in got if bytes(r["word"]) not in bad]
 
 
-def _calibrate(rows: DataFrame, model: ToxicityModel) -> None:
+def _calibrate(rows: DataFrame, model: ToxicityModel, worst_of) -> None:
     """Sets score 0.5 where the sample errs least (one number a document)."""
     shared = Shared(rows.sparkSession, model)
-    got = map_slices(rows.select("text", "toxic"), lambda t, y: [(m, label) for (m, _), label in zip(shared.value.worst(t), y, strict=True)],
+    got = map_slices(rows.select("text", "toxic"), lambda t, y: [(m, label) for (m, _), label in zip(worst_of(shared.value, t), y, strict=True)],
                      "margin double, toxic int").collect()
     border = boundary(np.array([r["margin"] for r in got]), np.array([r["toxic"] for r in got]))
     model.line = (4.0, -4.0 * border)

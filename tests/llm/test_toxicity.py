@@ -113,6 +113,50 @@ def test_machine_separates(model):
     assert model.table.shape == (X.SLOTS,) and np.isfinite(model.table).all()
 
 
+def test_sentences_and_phrases():
+    assert X.sentences_of("Kick the b*ucket. Now!  go\nhome you") == [[b"kick", b"the", b"bucket"], [b"home", b"you"]]
+    assert X.phrases_of("Kick the b*ucket. Now go") == {b"kick the", b"the bucket", b"kick the bucket", b"now go"}
+    assert X.phrases_of(None) == X.phrases_of("one") == set()
+    words = [f"w{i}" for i in range(5001)]
+    assert len(X.phrases_of(" ".join(words))) == 5000 + 4999
+
+
+def test_running_sums_against_phrases_one_by_one():
+    rng = np.random.default_rng(3)
+    m = X.ToxicityModel(rng.normal(size=X.SLOTS).astype(np.float32) / 50, 0.1)
+    texts = ["purple ladder of rain. it is", None, "a", "a b", "so it goes " * 9000 + "purple ladder", "x" * 50 + " yes no"]
+    for text, (margin, phrase) in zip(texts, m.worst_phrase(texts), strict=True):
+        ps = sorted(X.phrases_of(text))
+        want = np.clip(X.table_scores(ps, m.table) + m.bias, m.lowest, 2.0) if ps else [m.lowest]
+        assert margin == pytest.approx(max(want), abs=1e-6)
+        assert not ps or want[ps.index(phrase)] == pytest.approx(margin, abs=1e-6)
+
+
+@pytest.mark.parametrize("insults", [False, True])
+def test_toxic_phrases_of_clean_words(spark, tables, insults):
+    """Documents that are toxic through words which clean sentences hold as well."""
+    clean = [r["text"] for r in tables[0].orderBy("doc_id").collect() if r["doc_id"] % 3]
+    rows, labels = [], []
+    for i, t in enumerate(clean):
+        words = t.split()[:100]
+        half, toxic = len(words) // 2, i % 3 == 0
+        parts = [["purple", "ladder"], ["eat", "your", "boots"]][i % 2] if toxic else ["purple rain", "your ladder", "boots", "eat"]
+        if insults and toxic and i % 4 == 0:
+            parts = [INSULTS[i % 3]]
+        words[half:half] = parts if toxic else [parts[i % 4], "and", parts[(i + 1) % 4]]
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = by_id(X.op4_toxicity(docs, marks))
+    held = [(i, y) for i, y in labels if got[i]["held_out"]]
+    right = [got[i]["predicted"] == y for i, y in held]
+    assert any(y for _, y in held) and sum(right) >= 0.95 * len(right)
+    model = X.train_on_open_rows(docs, marks)
+    assert model.score("quiet hills and purple ladder of rain") >= 0.5
+    assert model.score("quiet hills and pur-ple laadder of rain") >= 0.5
+    assert model.score("quiet ladder and hills purple") < 0.5 and model.score("it was purple. Ladder and rain") < 0.5
+
+
 def test_boundary():
     assert X.boundary(np.array([0.0, 0.2, 1.0, 1.2]), np.array([0, 0, 1, 1])) == pytest.approx(0.4)
     assert X.boundary(np.array([0.0, 0.2, 0.3, 1.0, 1.2]), np.array([0, 1, 0, 1, 1])) == pytest.approx(0.475)
