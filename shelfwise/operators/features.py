@@ -193,13 +193,13 @@ def guarded_corr(a: str, b: str):
     """Pearson correlation over the rows that have both values; null (not an
     error) where one of them is constant there.
 
-    The merged variance of a constant column can be a tiny non-zero number, so a
-    deviation below 1e-9 of the column's largest value counts as none; double
-    precision holds no correlation there.
+    The merged variance of a constant column can be a tiny non-zero number, so
+    constancy is tested as min = max.
     """
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    sx, sy = F.stddev_pop(F.when(y.isNotNull(), x)), F.stddev_pop(F.when(x.isNotNull(), y))
-    constant = (sx <= F.max(F.abs(x)) * 1e-9) | (sy <= F.max(F.abs(y)) * 1e-9)
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    sx, sy = F.stddev_pop(x), F.stddev_pop(y)
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
     return F.when(constant, F.lit(None).cast("double")).otherwise(F.try_divide(F.covar_pop(x, y), sx * sy))
 
 

@@ -127,6 +127,20 @@ def test_duplicate_plans_shuffle_keys_only(spark):
     assert dict(rows(P.distinct_counts(df))) == {"t": 2, "v": 2}
 
 
+def test_correlation_of_a_column_with_a_large_offset(spark):
+    """Nanosecond times within a second vary; a column constant where both have values does not."""
+    from pyspark.sql import functions as F
+
+    from shelfwise.operators import features as FE
+
+    df = spark.createDataFrame([(1_700_000_000_000_000_000 + i * 5_000_000, float(i), 7.1 if i < 90 else None) for i in range(100)],
+                               "t long, y double, c double").withColumn("d", F.expr("if(c is null, 1.0D, 3.3D)"))
+    assert rows(P.target_correlations(df, "y", ["t", "c"]), "corr") == [(pytest.approx(1.0, abs=1e-6),), (None,)]
+    got = {(r["column_a"], r["column_b"]): r["corr"] for r in P.correlation_matrix(df, ["t", "y", "c", "d"]).collect()}
+    assert got[("t", "y")] == pytest.approx(1.0, abs=1e-6) and got[("c", "d")] is None and got[("y", "d")] < 0
+    assert FE.feature_selection(df, "y", ["t", "c"])[1] == ["t"]
+
+
 def test_correlation_uses_rows_with_both_values(spark):
     """Constants and nulls: numpy over the complete pairs."""
     data = [(1.0, 2.0, 5.0), (2.0, None, 5.0), (3.0, 1.0, 5.0), (None, 7.0, 5.0), (4.0, 9.0, None), (6.0, 3.0, 5.0)]
