@@ -240,7 +240,8 @@ def _with_root(rows: DataFrame, labels: DataFrame, node: str, root: str) -> Data
 
 
 def link_documents(documents: DataFrame, width: int = WIDTH, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
-    """``doc_id, n_shingles, component_id, node`` of every document."""
+    """``doc_id, n_shingles, component_id, node, root, text_key`` of every document;
+    the root is a node that names the component."""
     members = stage(map_rows(documents.select("doc_id", "text", F.xxhash64("text").alias("text_key")),
                              lambda d, t, k: (d, k, node_of(shingle_set(t, width))), "doc_id long, text_key long, node binary"), "members")
     rows = region_rows(documents, width, num, den)
@@ -265,10 +266,11 @@ def link_documents(documents: DataFrame, width: int = WIDTH, num: int = NUMERATO
     # smallest id by node, then by component
     nodes = members.groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = nodes.join(least, "root").select("node", "component_id")
+    by_node = nodes.join(least, "root").select("node", "root", "component_id")
     blank = F.col("node") == F.lit(EMPTY)
     return (members.join(by_node, "node")
-            .select("doc_id", node_size("node").alias("n_shingles"), F.when(blank, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "node"))
+            .select("doc_id", node_size("node").alias("n_shingles"), F.when(blank, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "node", "root",
+                    "text_key"))
 
 
 def op3_jaccard_join(documents: DataFrame) -> DataFrame:
@@ -276,11 +278,16 @@ def op3_jaccard_join(documents: DataFrame) -> DataFrame:
 
 
 def one_per_group(documents: DataFrame, width: int = WIDTH, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
-    """The documents with the smallest doc_id of each group, one row each; rows
-    without doc_id stay."""
+    """One row of each group: of its smallest doc_id, or without any of its first
+    text by hash.  A text without shingles is a group of its own, and rows of it
+    without doc_id all stay."""
     linked = link_documents(documents, width, num, den)
-    kept = linked.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    rows = documents.join(kept, documents["doc_id"] == kept["__id"], "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    rows = rows.withColumn("__row", F.row_number().over(first)).where("__row = 1").drop("__row")
-    return rows.unionByName(documents.where("doc_id IS NULL"))
+    blank = F.col("node") == F.lit(EMPTY)
+    groups = linked.groupBy("root", F.when(blank, F.col("doc_id")).alias("i"), F.when(blank, F.col("text_key")).alias("t"))
+    first = groups.agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", blank.alias("blank"))).alias("f"))
+    kept = first.select(F.col("f.doc_id").alias("__id"), F.col("f.text_key").alias("__key"), (F.col("f.none") & F.col("f.blank")).alias("__all"))
+    rows = documents.withColumn("__text", F.xxhash64("text"))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__text"] == kept["__key"]))
+    rows = rows.withColumn("__own", F.when(F.col("__all"), F.monotonically_increasing_id()))
+    same = Window.partitionBy("doc_id", "__text", "__own").orderBy(F.xxhash64("text"))
+    return rows.withColumn("__row", F.row_number().over(same)).where("__row = 1").select(*documents.columns)

@@ -99,6 +99,18 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in want.values()})
 
 
+def test_one_row_of_each_group_whatever_its_ids(spark):
+    a, near = " ".join(f"a{i}" for i in range(40)), " ".join(f"a{i}" for i in range(39))
+    c, d, e = "other words that nothing else is linked to", "text without any id at all", "d e f g h i"
+    rows = [(1, a), (1, a), (1, c), (2, near), (None, a), (None, d), (None, d), (None, ""), (None, ""), (3, ""), (3, None), (3, ""), (2, e), (4, e)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    got = J.one_per_group(docs)
+    assert got.columns == docs.columns
+    key = lambda r: (r[0] or 0, r[1] or "-")
+    want = [(1, a), (1, c), (None, d), (None, ""), (None, ""), (3, ""), (3, None), (2, e)]
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=key) == sorted(want, key=key)
+
+
 def test_linked_sets_share_enough_keys():
     """The bound on common keys holds for random linked pairs of all sizes."""
     rng = np.random.default_rng(6)
