@@ -13,16 +13,21 @@ from shelfwise.llm.secret_ledger import op2_secret_scan
 from shelfwise.llm.sharding import op9_sharding
 from shelfwise.llm.suffix_dedup import op8_suffix_dedup
 from shelfwise.llm.toxicity import op4_toxicity
+from shelfwise.llm.whitening import op11_whitening
 
 
-def _on_documents(op):
+def _on(table, op):
     def run(spark, sf_dir):
-        return op(read_table(spark, sf_dir, "documents"))
+        return op(read_table(spark, sf_dir, table))
     run.__doc__ = op.__doc__
     run.__name__ = op.__name__
     return run
 
 
+def _on_documents(op):
+    return _on("documents", op)
+
+
 def _toxicity(spark, sf_dir):
     return op4_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -38,6 +43,7 @@ LLM_QUERIES = {
     "op8_suffix_dedup": _on_documents(op8_suffix_dedup),
     "op9_sharding": _on_documents(op9_sharding),
     "op10_fingerprints": _on_documents(op10_fingerprints),
+    "op11_whitening": _on("embeddings", op11_whitening),
 }
 
 LLM_SQL: dict[str, str] = {}
