@@ -12,6 +12,7 @@ from shelfwise.llm.quality_rules import op1_quality_rules
 from shelfwise.llm.secret_ledger import op2_secret_scan
 from shelfwise.llm.sharding import op9_sharding
 from shelfwise.llm.suffix_dedup import op8_suffix_dedup
+from shelfwise.llm.token_counts import op12_token_counts
 from shelfwise.llm.toxicity import op4_toxicity
 from shelfwise.llm.whitening import op11_whitening
 
@@ -44,6 +45,7 @@ LLM_QUERIES = {
     "op9_sharding": _on_documents(op9_sharding),
     "op10_fingerprints": _on_documents(op10_fingerprints),
     "op11_whitening": _on("embeddings", op11_whitening),
+    "op12_token_counts": _on_documents(op12_token_counts),
 }
 
 LLM_SQL: dict[str, str] = {}
