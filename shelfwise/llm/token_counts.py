@@ -15,6 +15,9 @@ start in both and provably stable:
   reaches at least ``margin`` code points beyond the offset: whatever could cover
   it has been seen whole.
 
+A file whose normaliser or pattern is another than the one this was proven for is
+refused.
+
 By induction from the first chunk, whose start is that of the text, every splice is
 a boundary of the whole text, and a document's count is the sum of its pieces'.  Only
 counts and the boundaries of the overlaps are brought together by document.  Where an
@@ -22,6 +25,10 @@ overlap holds no common boundary (a run without spaces longer than it), its
 document is encoded anew with overlaps eight times as wide and chunks to fit, until
 all its neighbours meet; at the latest one chunk holds the whole text.
 
+Short texts need only their counts.  No pre-token or special token holds a space and
+no code point merges with one, so the words between spaces are counted by the library
+once and remembered, within ``MEMO`` code points a worker.
+
 Defined cases: a null text is empty and has no tokens; equal long texts are encoded
 once; repeated rows and null doc_ids keep their rows; an empty table gives an empty
 result; other columns are ignored.
@@ -33,6 +40,7 @@ import json
 import os
 import unicodedata
 from bisect import bisect_left
+from itertools import chain
 
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,6 +52,11 @@ CHUNK = 1 << 14
 OVERLAP = 256
 WIDEN = 8
 LIMIT = 2048
+MEMO = 1 << 23
+# The steps the proof above holds for
+_NORMALISE = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"})
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
 # Ranges of code points at which a splice may lie if stable_start agrees
 _RANGES = ((0x21, 0x2FF), (0x370, 0x482), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
 
@@ -60,18 +73,27 @@ class TokenCounter:
 
     def __init__(self, source: Broadcast, margin: int):
         self.source, self.margin, self._built = source, margin, None
+        self._known, self._held = {}, 0
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TokenCounter":
         with open(path, encoding="utf-8") as f:
             text = f.read()
-        added = [t["content"] for t in json.loads(text).get("added_tokens") or []]
+        spec = json.loads(text)
+        added = spec.get("added_tokens") or []
+        split = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
+        if (spec.get("normalizer") != {"type": "Sequence", "normalizers": list(_NORMALISE)}
+                or spec.get("pre_tokenizer") != {"type": "Sequence", "pretokenizers": [split, _BYTES]}):
+            raise ValueError("no splice is proven for this normaliser or pre-tokenizer")
+        if any(t[k] for t in added for k in ("lstrip", "rstrip", "single_word", "normalized")) or any(" " in t["content"] for t in added):
+            raise ValueError("no splice is proven for special tokens that depend on what is around them")
+        added = [t["content"] for t in added]
         if any(a[1:].find(b[0]) >= 0 for a in added for b in added):
             raise ValueError("special tokens that can overlap make no provable splice")
         return cls(spark.sparkContext.broadcast(text), 2 + max([8, *map(len, added)]))
 
     def __getstate__(self):
-        return {"source": self.source, "margin": self.margin, "_built": None}
+        return {"source": self.source, "margin": self.margin, "_built": None, "_known": {}, "_held": 0}
 
     @property
     def tokenizer(self):
@@ -85,7 +107,14 @@ class TokenCounter:
         return self._built
 
     def counts(self, texts: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        words = [t.split(" ") for t in texts]
+        new = list(set(chain.from_iterable(words)).difference(self._known))
+        self._known.update(zip(new, map(len, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        counts = [sum(map(self._known.__getitem__, w)) for w in words]
+        self._held += sum(map(len, new))
+        if self._held > MEMO:
+            self._known, self._held = {}, 0
+        return counts
 
     def boundaries(self, text: str, spans: list[tuple[int, int]]) -> tuple[int, list[list[tuple[int, int]]]]:
         """Number of tokens, and for each span of offsets its stable pre-token

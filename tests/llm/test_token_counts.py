@@ -1,5 +1,6 @@
 """op12 against the tokenizer library on whole texts."""
 
+import json
 import random
 import re
 
@@ -95,8 +96,23 @@ def test_repeated_rows_null_ids_empty_table(spark, counter, library):
     assert T.op12_token_counts(empty(spark)).collect() == []
 
 
-def test_overlapping_special_tokens_are_refused(spark, tmp_path):
-    path = tmp_path / "t.json"
-    path.write_text('{"added_tokens": [{"content": "<a<"}]}')
-    with pytest.raises(ValueError):
-        T.TokenCounter.load(spark, str(path))
+def test_files_without_a_proof_are_refused(spark, tmp_path):
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="normaliser"):
+        T.public_counter(spark, "byte_bpe_50k.json")
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    for change, said in (({"content": "<a<"}, "overlap"), ({"lstrip": True}, "around")):
+        spec["added_tokens"][0].update(change)
+        path = tmp_path / "t.json"
+        path.write_text(json.dumps(spec))
+        with pytest.raises(ValueError, match=said):
+            T.TokenCounter.load(spark, str(path))
+
+
+def test_remembered_words_are_forgotten_beyond_the_bound(spark, counter, library, monkeypatch):
+    monkeypatch.setattr(T, "MEMO", 50)
+    docs = [" ".join(f"word{i} it's{i}" for i in range(n)) for n in range(30)]
+    assert [counter.counts([d])[0] for d in docs] == [expected(library, d)[1] for d in docs]
+    assert sum(map(len, counter._known)) <= 50
