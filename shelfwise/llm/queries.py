@@ -8,6 +8,7 @@ from shelfwise.llm.fingerprints import op10_fingerprints
 from shelfwise.llm.jaccard_join import op3_jaccard_join
 from shelfwise.llm.langid import op7_language_id
 from shelfwise.llm.mixing import op5_source_mix
+from shelfwise.llm.prefix_trie import op13_prefix_trie
 from shelfwise.llm.quality_rules import op1_quality_rules
 from shelfwise.llm.secret_ledger import op2_secret_scan
 from shelfwise.llm.sharding import op9_sharding
@@ -46,6 +47,7 @@ LLM_QUERIES = {
     "op10_fingerprints": _on_documents(op10_fingerprints),
     "op11_whitening": _on("embeddings", op11_whitening),
     "op12_token_counts": _on_documents(op12_token_counts),
+    "op13_prefix_trie": _on("conversations", op13_prefix_trie),
 }
 
 LLM_SQL: dict[str, str] = {}
