@@ -1,10 +1,5 @@
-"""Regex-based HTML field extraction on a string column.
-
-Stored pages are a table; a page's records come from
-``explode(regexp_extract_all(html, block_re, 1))`` and each field from a
-``regexp_extract`` on the block, so extraction runs in the JVM, page by
-page, on every executor.
-"""
+"""Character references of HTML as column expressions (see ``functions.markup`` for
+tags and elements)."""
 
 from __future__ import annotations
 
@@ -29,8 +24,6 @@ _BARE_RE = "^(" + "|".join(sorted((k for k in html5 if not k.endswith(";")), key
 # numbers 128 to 159 mean the Windows-1252 characters
 _WINDOWS = _table({str(i): c for i in range(128, 160) if (c := bytes([i]).decode("cp1252", "replace")) != "\ufffd"})
 
-TAG_RE = r"(?s)<[^>]*>"
-
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -39,6 +32,11 @@ def _c(col: Column | str) -> Column:
 def decode_entities(col: Column | str) -> Column:
     """Character references decoded once, from left to right: named ones,
     decimal and hexadecimal ones; what is no reference stays."""
+    return decode_all(F.array(_c(col)))[0]      # the input is computed once
+
+
+def decode_all(texts: Column) -> Column:
+    """:func:`decode_entities` of each text of an array: one expression for many fields."""
     def look_up(table: str, name: Column) -> Column:
         at = F.instr(F.lit(table), F.concat(F.lit(_END), name, F.lit(_IS)))
         value = F.substring_index(F.substr(F.lit(table), at + F.length(name) + 2, F.lit(4)), _END, 1)
@@ -64,34 +62,4 @@ def decode_entities(col: Column | str) -> Column:
         return F.when(F.contains(t, F.lit("&")),
                       F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), after), ""))).otherwise(t)
 
-    return F.transform(F.array(_c(col)), whole)[0]      # the input is computed once
-
-
-def node_text(col: Column | str) -> Column:
-    """Text of a fragment: tags removed, entities decoded, outer blanks trimmed."""
-    no_tags = F.regexp_replace(_c(col), TAG_RE, "")
-    return F.regexp_replace(decode_entities(no_tags), r"^\s+|\s+$", "")
-
-
-def first_match(col: Column | str, pattern: str, group: int = 1) -> Column:
-    """First capture of ``pattern``, null when it does not match.  Matching
-    stops at the first one; only an empty capture needs the second test."""
-    c = _c(col)
-    found = F.regexp_extract(c, pattern, group)
-    return F.when(found != "", found).when(c.rlike(pattern), F.lit(""))
-
-
-def first_text(col: Column | str, pattern: str, group: int = 1) -> Column:
-    """First capture of ``pattern``, null when it does not match or is empty."""
-    return F.nullif(F.regexp_extract(_c(col), pattern, group), F.lit(""))
-
-
-def element_inner(tag: str, cls: str | None = None) -> str:
-    """Regex capturing the inner HTML of the first ``<tag class="... cls ...">``."""
-    if cls is None:
-        return rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
-    return rf"(?s)<{tag}\s[^>]*class=\"(?:[^\"]*\s)?{cls}(?:\s[^\"]*)?\"[^>]*>(.*?)</{tag}>"
-
-
-def attribute(tag: str, attr: str) -> str:
-    return rf"(?s)<{tag}\s[^>]*\b{attr}=\"([^\"]*)\""
+    return F.transform(texts, whole)

@@ -751,6 +751,17 @@ def q_url_extension(spark, sf):
     return t(spark, sf, "pages").select("page_id", U.url_extension("url").alias("extension"))
 
 
+@register("extension_by_content_type", """SELECT page_id, CASE page_id % 8 WHEN 0 THEN '.png' WHEN 1 THEN '.jpg' WHEN 2 THEN '.gif'
+  WHEN 3 THEN '.webp' WHEN 4 THEN '.svg' WHEN 5 THEN '.tar' ELSE '.jpg' END AS extension FROM pages""")
+def q_extension_by_content_type(spark, sf):
+    """The address of each page without its suffix, and what a server might have sent with it."""
+    kind = F.get(F.array(*map(F.lit, ["image/png", "IMAGE/JPEG; charset=x", " image/gif ;q=1", "image/webp", "image/svg+xml", "image/png", "text/unknown", ""])),
+                 (F.col("page_id") % 8).cast("int"))
+    bare = F.concat(F.regexp_extract("url", "^([a-z]+://[^/]+)", 1), F.lit("/a.b/c"), F.when(F.col("page_id") % 8 == 5, F.lit(".TAR")).otherwise(F.lit("")), F.lit("?x=1.gif#y.png"))
+    pages = t(spark, sf, "pages").select("page_id", bare.alias("url"), kind.alias("kind"))
+    return pages.select("page_id", U.url_extension("url", "kind").alias("extension"))
+
+
 @register("url_sha1", "SELECT page_id, sha1(url) AS url_key FROM pages")
 def q_url_sha1(spark, sf):
     return t(spark, sf, "pages").select("page_id", U.url_sha1("url").alias("url_key"))
@@ -795,7 +806,7 @@ def q_extract_links(spark, sf):
   {S.node_text(S.first_match('html', '(?s)<h1>(.*?)</h1>'))} AS heading,
   {S.first_match('html', '<html lang="([^"]*)"')} AS lang,
   CAST(len(regexp_extract_all(html, '<a href="')) AS BIGINT) AS n_links,
-  CAST(length({S.node_text('html')}) AS BIGINT) AS text_length FROM pages""")
+  CAST(length({S.page_text('html')}) AS BIGINT) AS text_length FROM pages""")
 def q_extract_page_fields(spark, sf):
     return X.extract_page_fields(t(spark, sf, "pages", spread_rows=True))
 
@@ -817,6 +828,41 @@ def q_enrich_from_pages(spark, sf):
     return enriched(spark, sf)
 
 
+# Pages that people wrote in six ways (tables.HANDWRITTEN).  Their oracles read no page: they
+# say what the part behind it must give.
+_HAND = f"'{TB.SITE}/hand/' || "
+
+
+@register("handwritten_records", f"""SELECT p_partkey AS page_id, CAST(1 AS BIGINT) AS position, p_name AS title, p_retailprice AS price,
+  CAST(p_size % 5 + 1 AS BIGINT) AS rating, p_type AS category, {_HAND}lower(p_type) || '/cache/' || p_partkey || '.jpg' AS image,
+  {_HAND}'item-' || p_partkey || '/i.html' || CASE WHEN p_partkey % 6 = 5 THEN '?' ELSE '' END AS product_page FROM part""")
+def q_handwritten_records(spark, sf):
+    return X.extract_listing_records(TB.handwritten_pages(spark, sf))
+
+
+@register("sidebar_categories", f"""SELECT p_partkey AS page_id, CAST(1 AS BIGINT) AS position, p_type AS name, '../' || p_type || '_' || p_size || '/index.html' AS href,
+  {_HAND}p_type || '_' || p_size || '/index.html' AS link_url FROM part""")
+def q_sidebar_categories(spark, sf):
+    return X.extract_links(TB.handwritten_pages(spark, sf), path=X.SIDEBAR_LINKS)
+
+
+@register("handwritten_next_links", f"SELECT p_partkey AS page_id, {_HAND}lower(p_type) || '/page-' || p_size || '.html' AS next_url FROM part")
+def q_handwritten_next_links(spark, sf):
+    return X.extract_next_url(TB.handwritten_pages(spark, sf))
+
+
+@register("handwritten_products", f"""SELECT {_HAND}lower(p_type) || '/index.html' AS url, TRUE AS in_stock, CAST(p_size AS BIGINT) AS stock,
+  {_HAND}lower(p_type) || '/full/' || p_partkey || '.png' AS page_image FROM part""")
+def q_handwritten_products(spark, sf):
+    return X.extract_product_fields(TB.handwritten_pages(spark, sf))
+
+
+@register("handwritten_fields", """SELECT p_partkey AS page_id, p_type || ' books' AS title, p_type AS heading, 'en' AS lang,
+  CAST(CASE p_partkey % 6 WHEN 0 THEN 5 WHEN 3 THEN 3 WHEN 4 THEN 5 WHEN 5 THEN 3 ELSE 4 END AS BIGINT) AS n_links FROM part""")
+def q_handwritten_fields(spark, sf):
+    return X.extract_page_fields(TB.handwritten_pages(spark, sf)).select("page_id", "title", "heading", "lang", "n_links")
+
+
 @register("extract_summary", f"""{WITH_RECS}SELECT count(DISTINCT category) AS categories, count(*) AS records FROM recs""")
 def q_extract_summary(spark, sf):
     return X.extract_summary(records(spark, sf))

@@ -45,6 +45,13 @@ def node_text(x: str) -> str:
     return strip_ws(decode_entities(rr(x, "(?s)<[^>]*>")))
 
 
+def page_text(x: str) -> str:
+    """Text of a whole page: the pieces between tags, each without outer blanks."""
+    shown = rr(x, "(?s)<!--.*?-->|<script>.*?</script>|<style>.*?</style>", "<x>")
+    pieces = f"regexp_split_to_array({shown}, '(?s)<[^>]*>')"
+    return f"array_to_string(list_transform({pieces}, lambda p: {strip_ws(decode_entities('p'))}), '')"
+
+
 def band(x: str, bands: Bands) -> str:
     parts = " ".join(f"WHEN {x} <= {float(u)!r} THEN {q(lab)}" for u, lab in bands.bounds)
     tail = f" ELSE {q(bands.top_label)}" if bands.top_label is not None else ""

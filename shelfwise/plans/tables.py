@@ -14,6 +14,8 @@ per part), so their size grows with the data.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,3 +122,59 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('<html><body><div class="item active"><img src="../../media/full/'),
                  F.col("p_partkey").cast("string"), F.lit('.jpg" alt="cover"></div>'), block,
                  F.lit("</body></html>")).alias("html"))
+
+
+# Six ways in which people write the same page.  {k}: part key, {n}: name, {t}: type, {p}: price,
+# {w}: rating word, {z}: size.
+HANDWRITTEN = (
+    # plain
+    """<!DOCTYPE html><html lang="en"><head><title>{t} books</title></head><body>
+<ul class="nav nav-list"><li><a href="index.html">All</a><ul><li><a href="../{t}_{z}/index.html"> {t} </a></li>
+<li><a href="">none</a></li></ul></li></ul><h1>{t}</h1><div class="item"><img src="full/{k}.png"></div>
+<article class="product_pod"><img src="cache/{k}.jpg"><p class="star-rating {w}"></p><h3><a href="../item-{k}/i.html#top" title="{n}">{n} ...</a></h3>
+<p class="price_color">£{p}</p></article><p class="instock availability">In stock ({z} available)</p><ul><li class="next"><a href="page-{z}.html">next</a></li></ul></body></html>""",
+    # upper case, single quotes, blanks around '=', self-closed tags
+    """<HTML LANG='en'><HEAD><TITLE>
+  {t} books </TITLE></HEAD><BODY CLASS = 'x'><UL CLASS = 'first nav nav-list'><LI><A HREF = 'index.html'>All</A><UL><LI><A
+  HREF = '../{t}_{z}/index.html'>{t}</A></LI></UL></LI></UL><H1 >{t}</H1 ><DIV CLASS='big item'><IMG ALT='a "cover"' SRC='full/{k}.png' /></DIV>
+<ARTICLE id='a' CLASS='product_pod'><IMG SRC='cache/{k}.jpg'/><P CLASS='star-rating {w}'/><H3><A TITLE='{n}' HREF='../item-{k}/i.html'>x</A></H3><P CLASS='price_color'>
+  £{p}
+</P></ARTICLE><P CLASS='instock availability'><I CLASS='icon'/>
+ In stock <B>({z} available)</B></P><LI CLASS='next'><A HREF='page-{z}.html'>next</A></LI></BODY></HTML>""",
+    # bare values, '>' in values, unclosed paragraphs and list items
+    """<html lang=en><head><title>{t} books</title><body data-x="a > b"><ul class="nav nav-list" title='> >'><li><a href=index.html>All</a><ul><li><a href=../{t}_{z}/index.html title="1 > 0">{t}</a></ul></ul>
+<h1 title="<h1>no</h1>">{t}</h1><div class=item><p>cover:<img alt='>' src=full/{k}.png></div><p>text<article class=product_pod title="a > b"><img src=cache/{k}.jpg><p class="star-rating {w}"><h3><a href=../item-{k}/i.html title="{n}">more ></a></h3>
+<p class=price_color>£{p}</article><p class="instock  availability">In stock ({z} available)<ul><li class=next><a href=page-{z}.html>next</a></ul>""",
+    # comments, scripts and styles that hold markup
+    """<!-- <html lang="no"><h1>no</h1> --><html lang="en"><head><title>{t} books</title><style>p > a { color: red } /* <h1>no</h1> */</style>
+<script>document.write('<article class="product_pod"><h1>no</h1></article><ul class="nav nav-list"><ul><li><a href="no">no</a>');</script></head><body><!-- <article class="product_pod"><h3><a href="no" title="no">no</a></h3></article> -->
+<ul class="nav nav-list"><!--<li><ul><li><a href="no">no</a></li></ul></li>--><li><ul><li><a href="../{t}_{z}/index.html"><!-- no -->{t}</a></li></ul></li></ul><h1><!-- no -->{t}<script>"no"</script></h1>
+<div class="item"><!--<img src="no.png">--><img src="full/{k}.png"></div><article class="product_pod"><!--><img src="cache/{k}.jpg"><script>var a = "</article>";</script><p class="star-rating {w}"></p>
+<h3><!-- <a href="no">no</a> --><a href="../item-{k}/i.html"><b>{n}</b></a></h3><p class="price_color">£<!-- 0 -->{p}</p></article>
+<!-- <p class="instock availability">In stock (0 available)</p> --><p class="instock availability"><!-- Out of stock -->In stock ({z} available)</p><li class="next"><!--<a href="no">--><a href="page-{z}.html">next</a></li></body></html>""",
+    # elements within elements of the same name
+    """<html lang="en"><head><title>{t} books</title></head><body><div><ul class="nav nav-list"><li><div><ul><li><span><a href="../{t}_{z}/index.html"><i>{t}</i></a></span></li></ul></div></li></ul></div><ul><li><a href="no">no</a></li></ul>
+<div><div><h1><span>{t}</span></h1></div></div><div class="item"><div><div></div><img src="full/{k}.png"></div></div><div class="product_pod"><article>no</article></div>
+<article class="product_pod"><div><div><img src="cache/{k}.jpg"></div></div><div><p class="star-rating {w}"><span><i></i></span></p></div><h3><span><a href="../item-{k}/i.html"><b> {n} </b></a></span><a href="no" title="no">no</a></h3>
+<div><p class="price_color"><span>£</span><span>{p}</span></p></div></article><p class="instock availability"><span><b>In stock</b></span> <span>({z} available)</span></p><ul><li><ul><li class="last next"><b><a href="page-{z}.html">next</a></b></li></ul></li></ul></body></html>""",
+    # references, repeated attributes, stray tags and signs
+    """<html lang="no" lang="en"></b><head><title>{t}&#32;books</title></head></p><body></div></span><ul class="nav&#32;no" class="nav nav-list"><li></b><ul></i><li><a href="&#46;./{t}_{z}/index.html">{t}</a></li></ul></li></ul>
+1 < 2 <3 & <> </> <? no ?><h1>{t}</h1></h1></article><div class="item"><img src="no" src="full/{k}.png"></div><article class="product_pod"></ul><img src="cache/{k}&period;jpg"><p class="star-rating {w}"></p></h3>
+<h3><a title="" href="../item-{k}/i.html?">{n}</a></h3><p class="price_color">&pound;{p}</p></article></article><p class="instock availability">In stock &lpar;{z} available&rpar;</p><li class="next"></ul><a href="page-{z}.html">next</a></li><a """,
+)
+
+
+def handwritten_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, url, html): one page a part, written in one of six ways."""
+    p = spread(table(spark, sf_dir, "part"))
+    values = {"k": F.col("p_partkey").cast("string"), "n": F.col("p_name"), "t": F.col("p_type"), "p": F.col("p_retailprice").cast("string"),
+              "w": F.expr(RATING_WORD_EXPR), "z": F.col("p_size").cast("string")}
+
+    def written(way: str) -> F.Column:
+        parts = re.split(r"\{(\w)\}", way)
+        return F.concat(*(values[x] if i % 2 else F.lit(x) for i, x in enumerate(parts)))
+
+    html = F.lit(None).cast("string")
+    for i, way in enumerate(HANDWRITTEN):
+        html = F.when(F.col("p_partkey") % len(HANDWRITTEN) == i, written(way)).otherwise(html)
+    return p.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit(SITE + "/hand/"), F.lower("p_type"), F.lit("/index.html")).alias("url"), html.alias("html"))

@@ -3,77 +3,78 @@
 Listing pages give one row per ``article.product_pod``; product pages give
 availability, stock and the large image; the two are joined on the
 canonical product URL.  Navigation links, the next-page link and page-level
-fields come from the same page table.  Everything is regex column
-expressions plus ``posexplode`` and an equi-join.
+fields come from the same page table.  Pages are taken apart by
+``functions.markup``; everything is column expressions plus ``posexplode`` and an
+equi-join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.config import BASE64_MIN_LENGTH, RATING_WORDS
-from shelfwise.functions import html as H
+from shelfwise.functions import markup as M
 from shelfwise.functions import text as TX
 from shelfwise.functions import urls as U
 
-ARTICLE_RE = H.element_inner("article", "product_pod")
-H1_RE = H.element_inner("h1")
-TITLE_TAG_RE = H.element_inner("title")
-H3_LINK_TITLE_RE = r"(?s)<h3[^>]*>\s*<a\s[^>]*\btitle=\"([^\"]*)\""
-H3_LINK_HREF_RE = r"(?s)<h3[^>]*>\s*<a\s[^>]*\bhref=\"([^\"]*)\""
-H3_LINK_TEXT_RE = r"(?s)<h3[^>]*>\s*<a[^>]*>(.*?)</a>"
-PRICE_RE = H.element_inner("p", "price_color")
-RATING_RE = r"<p\s[^>]*class=\"((?:[^\"]*\s)?star-rating(?:\s[^\"]*)?)\""    # all classes of the element
-RATING_WORD_RE = r"\b(" + "|".join(w for w, _ in RATING_WORDS) + r")\b"
-IMG_SRC_RE = r"(?s)<img\s[^>]*\bsrc=\"([^\"]*)\""
-AVAILABILITY_RE = r"(?s)<p\s[^>]*class=\"instock availability\"[^>]*>(.*?)</p>"    # exactly these classes
-def _image_inside(cls: str) -> str:
-    """First image after the start of an element (no image itself) of a class."""
-    return rf"(?s)<(?!img\b)[a-z0-9]+\s[^>]*class=\"(?:[^\"]*\s)?{cls}(?:\s[^\"]*)?\"[^>]*>.*?<img\s[^>]*\bsrc=\"([^\"]*)\""
-
-
-THUMBNAIL_IMG_RE = _image_inside("thumbnail")       # looked for first
-ITEM_IMG_RE = _image_inside("item")
-NAV_RE = r"(?s)<nav[^>]*>(.*?)</nav>"
-SIDEBAR_RE = r"(?s)<ul\s[^>]*class=\"nav nav-list\"[^>]*>.*?<ul[^>]*>(.*?)</ul>"
-LINK_RE = r"(?s)<a\s[^>]*\bhref=\"([^\"]*)\"[^>]*>(.*?)</a>"
-NEXT_RE = r"(?s)<li\s[^>]*class=\"next\"[^>]*>\s*<a\s[^>]*\bhref=\"([^\"]*)\""
-LANG_RE = r"<html[^>]*\blang=\"([^\"]*)\""
+NAV_LINKS = "nav a"
+SIDEBAR_LINKS = "ul.nav.nav-list ul li a"
 BASE64_TEXT_RE = r"^[A-Za-z0-9+/=\s]{" + str(BASE64_MIN_LENGTH) + r",}$"
 
 
-def rating_word(html):
-    """The rating word among the classes of the rating element, in any order."""
-    return H.first_text(H.first_text(html, RATING_RE), RATING_WORD_RE)
+def _parsed(pages: DataFrame, html: str, *keep: Column) -> DataFrame:
+    """``keep`` with the page's tokens and elements, each worked out once."""
+    cut = pages.select(*keep, M.tokens(html).alias("_tok"))
+    return cut.select("*", M.elements("_tok").alias("_el"))
+
+
+def _arrays() -> tuple[Column, Column]:
+    return F.col("_tok"), F.col("_el")
+
+
+def rating_word(tok: Column, el: Column) -> Column:
+    """The rating word among the classes of the first rating element, in their order;
+    without one there, of another element that has just it and ``star-rating``."""
+    words = [w for w, _ in RATING_WORDS]
+    ratings = M.select(tok, el, "p.star-rating")
+    own = M.first(F.filter(M.classes(M.tag(tok, M.first(ratings))), lambda c: c.isin(*words)))
+    both = F.transform(ratings, lambda e: F.array_join(M.classes(M.tag(tok, e)), " "))
+    other = M.first(F.filter(F.array(*map(F.lit, words)), lambda w: F.array_contains(both, F.concat(F.lit("star-rating "), w))))
+    return F.coalesce(own, other)
 
 
 def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "url",
                             html: str = "html") -> DataFrame:
     """(key, position, title, price, rating, category, image, product_page)."""
-    base = (pages.select(F.col(key), F.col(url).alias("_url"),
-                         H.node_text(H.first_match(html, H1_RE)).alias("category"),
-                         F.regexp_extract_all(F.col(html), F.lit(ARTICLE_RE), 1).alias("_arts"))
-            # the outer form avoids the optimizer re-running the page regex in
+    tok, el = _arrays()
+    page = _parsed(pages, html, F.col(key), F.col(url).alias("_url"))
+    articles = F.transform(M.select(tok, el, "article.product_pod"), lambda e: M.inside(tok, el, e))
+    base = (page.select(key, "_url", M.text(tok, M.first(M.select(tok, el, "h1"))).alias("category"), articles.alias("_arts"))
+            # the outer form avoids the optimizer re-running the page's work in
             # an inferred size(...) > 0 filter; pages without articles are dropped here
             .select(key, "_url", "category", F.posexplode_outer("_arts").alias("_pos", "_a"))
             .where(F.col("_a").isNotNull()))
-    a = F.col("_a")
-    title_attr = H.first_text(a, H3_LINK_TITLE_RE)
-    # raw fields first (one projection), URL resolution in the next one, so
-    # every regex runs once per article
-    matches = base.select(
-        F.col(key), (F.col("_pos") + 1).cast("int").alias("position"), "category", "_url",
-        title_attr.alias("_tattr"), H.first_text(a, H3_LINK_TEXT_RE).alias("_ttext"),
-        H.first_text(a, PRICE_RE).alias("_price"), rating_word(a).alias("_rating"),
-        H.decode_entities(H.first_text(a, IMG_SRC_RE)).alias("_img"),
-        H.decode_entities(H.first_text(a, H3_LINK_HREF_RE)).alias("_href"))
-    fields = matches.select(
+    own = F.col("_a.tok"), F.col("_a.el")
+    heading = M.inside(*own, M.first(M.select(*own, "h3")))
+    # lookups first, texts and attributes next, URL resolution last: each once per article
+    found = base.select(
+        F.col(key), (F.col("_pos") + 1).cast("int").alias("position"), "category", "_url", own[0].alias("_tok"),
+        heading.alias("_h3"), M.first(M.select(*own, "p.price_color")).alias("_price"),
+        rating_word(*own).alias("_rating"), M.first(M.select(*own, "img")).alias("_image"))
+    linked = found.select("*", M.first(M.select(F.col("_h3.tok"), F.col("_h3.el"), "a")).alias("_link"))
+    link = M.tag(F.col("_h3.tok"), F.col("_link"))
+    raw = linked.select(
+        key, "position", "category", "_url", "_rating",
+        M.decoded(title=M.raw_attribute(link, "title"), name=M.raw_text(M.content(F.col("_h3.tok"), F.col("_link"))),
+                  price=M.raw_text(M.content(tok, F.col("_price"))), img=M.raw_attribute(M.tag(tok, F.col("_image")), "src"),
+                  href=M.raw_attribute(link, "href")).alias("_f"))
+    fields = raw.select(
         key, "position",
-        F.coalesce(H.decode_entities(F.col("_tattr")), H.node_text(F.col("_ttext"))).alias("title"),
-        TX.parse_price(H.node_text(F.col("_price"))).alias("price"),
-        TX.rating_from_word(F.col("_rating")).alias("rating"),
-        "category", "_url", "_img", "_href")
+        F.coalesce(F.nullif("_f.title", F.lit("")), M.clean_text(F.col("_f.name"))).alias("title"),
+        TX.parse_price(M.clean_text(F.col("_f.price"))).alias("price"),
+        TX.rating_from_word(F.col("_rating")).alias("rating"), "category", "_url",
+        F.nullif("_f.img", F.lit("")).alias("_img"), F.nullif("_f.href", F.lit("")).alias("_href"))
     with_img = U.with_resolved_url(fields, "_url", "_img", "image")
     with_page = U.with_resolved_url(with_img, "_url", "_href", "product_page", canonical=True)
     return with_page.select(key, "position", "title", "price", "rating", "category", "image", "product_page")
@@ -81,18 +82,18 @@ def extract_listing_records(pages: DataFrame, key: str = "page_id", url: str = "
 
 def extract_product_fields(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(url, in_stock, stock, page_image) of product pages; a page without
-    the availability block gives (false, null).
-
-    Three projections (raw matches, parsed block, resolved image) so each
-    regex runs once per page and the generated code stays small.
-    """
-    raw = pages.select(
-        U.drop_fragment(F.col(url)).alias("url"), F.col(url).alias("_u"),
-        H.first_match(html, AVAILABILITY_RE).alias("_block"),
-        H.decode_entities(F.coalesce(H.first_text(html, THUMBNAIL_IMG_RE),
-                                     H.first_text(html, ITEM_IMG_RE))).alias("_img"))
-    parsed = raw.select("url", "_u", "_img", "_block",
-                        TX.parse_availability(H.node_text(F.col("_block"))).alias("_p"))
+    the availability block gives (false, null)."""
+    tok, el = _arrays()
+    page = _parsed(pages, html, U.drop_fragment(F.col(url)).alias("url"), F.col(url).alias("_u"))
+    # exactly these classes, in this order
+    block = M.first(F.filter(M.select(tok, el, "p.instock.availability"),
+                             lambda e: F.array_join(M.classes(M.tag(tok, e)), " ") == "instock availability"))
+    image = F.coalesce(M.first(M.select(tok, el, ".thumbnail img")), M.first(M.select(tok, el, "div.item img")))
+    found = page.select("url", "_u", "_tok", block.alias("_block"), image.alias("_image"))
+    raw = found.select("url", "_u", "_block", M.decoded(
+        text=M.raw_text(M.content(tok, F.col("_block"))), img=M.raw_attribute(M.tag(tok, F.col("_image")), "src")).alias("_f"))
+    parsed = raw.select("url", "_u", "_block", TX.parse_availability(M.clean_text(F.col("_f.text"), " ")).alias("_p"),
+                        F.nullif("_f.img", F.lit("")).alias("_img"))
     fields = parsed.select(
         "url", "_u", "_img",
         F.when(F.col("_block").isNull(), F.lit(False)).otherwise(F.col("_p.in_stock")).alias("in_stock"),
@@ -121,39 +122,41 @@ def enrich_from_pages(listing: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def extract_links(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-                  block_re: str = NAV_RE) -> DataFrame:
-    """(key, position, name, href, link_url) for every link with an href
-    inside the navigation blocks of each page, numbered through all of them.
-    ``block_re`` is ``SIDEBAR_RE`` for a category sidebar."""
-    nav = F.array_join(F.regexp_extract_all(F.col(html), F.lit(block_re), 1), " ")
-    hrefs = F.regexp_extract_all(nav, F.lit(LINK_RE), 1)
-    names = F.regexp_extract_all(nav, F.lit(LINK_RE), 2)
-    z = pages.select(F.col(key), F.col(url).alias("_url"),
-                     F.posexplode(F.arrays_zip(hrefs.alias("href"), names.alias("name"))).alias("_pos", "_l"))
-    links = (z.where(F.col("_l.href") != "")
-             .select(F.col(key), (F.col("_pos") + 1).cast("int").alias("position"),
-                     H.node_text(F.col("_l.name")).alias("name"), H.decode_entities(F.col("_l.href")).alias("href"), "_url"))
-    return (U.with_resolved_url(links, "_url", "href", "link_url", canonical=True)
+                  path: str = NAV_LINKS) -> DataFrame:
+    """(key, position, name, href, link_url) of the links with an address that ``path``
+    leads to, numbered through the page.  ``SIDEBAR_LINKS`` are the categories of a
+    side navigation."""
+    tok, el = _arrays()
+    page = _parsed(pages, html, F.col(key), F.col(url).alias("_url"))
+    found = F.transform(M.select(tok, el, path), lambda e: F.struct(M.raw_attribute(M.tag(tok, e), "href").alias("href"), M.raw_text(M.content(tok, e)).alias("name")))
+    each = (page.select(key, "_url", F.posexplode_outer(F.filter(found, lambda x: x["href"].isNotNull())).alias("_pos", "_l"))
+            .where(F.col("_l.href") != "")
+            .select(key, "_url", (F.col("_pos") + 1).cast("int").alias("position"), M.decoded(href=F.col("_l.href"), name=F.col("_l.name")).alias("_l"))
+            .select(key, "_url", "position", F.col("_l.href").alias("href"), M.clean_text(F.col("_l.name")).alias("name")))
+    return (U.with_resolved_url(each, "_url", "href", "link_url", canonical=True)
             .select(key, "position", "name", "href", "link_url"))
 
 
 def extract_next_url(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    nxt = pages.select(F.col(key), F.col(url).alias("_u"), H.first_match(html, NEXT_RE).alias("_n"))
+    tok, el = _arrays()
+    page = _parsed(pages, html, F.col(key), F.col(url).alias("_u"))
+    nxt = page.select(key, "_u", F.nullif(M.attribute(M.tag(tok, M.first(M.select(tok, el, "li.next a"))), "href"), F.lit("")).alias("_n"))
     return U.with_resolved_url(nxt, "_u", "_n", "next_url").select(key, "next_url")
 
 
 def extract_page_fields(pages: DataFrame, key: str = "page_id", url: str = "url",
                         html: str = "html") -> DataFrame:
-    """Per page: title, h1 text, language, number of links, text length."""
-    raw = pages.select(
-        F.col(key), U.drop_fragment(F.col(url)).alias("canonical_url"),
-        H.first_match(html, TITLE_TAG_RE).alias("_title"), H.first_match(html, H1_RE).alias("_h1"),
-        H.first_match(html, LANG_RE).alias("lang"),
-        F.size(F.regexp_extract_all(F.col(html), F.lit(LINK_RE), 1)).cast("bigint").alias("n_links"),
-        H.node_text(F.col(html)).alias("_text"))
-    return raw.select(key, "canonical_url", H.node_text(F.col("_title")).alias("title"),
-                      H.node_text(F.col("_h1")).alias("heading"), "lang", "n_links",
-                      F.char_length("_text").cast("bigint").alias("text_length"))
+    """Per page: title, h1 text, language, number of links, length of its text."""
+    tok, el = _arrays()
+    page = _parsed(pages, html, F.col(key), U.drop_fragment(F.col(url)).alias("canonical_url"))
+    one = lambda path: M.first(M.select(tok, el, path))
+    raw = page.select(
+        key, "canonical_url",
+        M.decoded(title=M.raw_text(M.content(tok, one("title"))), heading=M.raw_text(M.content(tok, one("h1"))),
+                  lang=M.raw_attribute(M.tag(tok, one("html")), "lang"), text=M.raw_text(tok)).alias("_f"),
+        F.size(F.filter(M.select(tok, el, "a"), lambda e: M.raw_attribute(M.tag(tok, e), "href").isNotNull())).cast("bigint").alias("n_links"))
+    return raw.select(key, "canonical_url", M.clean_text(F.col("_f.title")).alias("title"), M.clean_text(F.col("_f.heading")).alias("heading"),
+                      F.col("_f.lang").alias("lang"), "n_links", F.char_length(M.clean_text(F.col("_f.text"))).cast("bigint").alias("text_length"))
 
 
 def extract_summary(records: DataFrame, category: str = "category") -> DataFrame:

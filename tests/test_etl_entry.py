@@ -1,5 +1,6 @@
 """Pipelines, step runner, config, driver contract and plan properties."""
 
+import importlib.util
 import os
 
 import duckdb
@@ -10,6 +11,7 @@ import __spark_entry__ as ENTRY
 from shelfwise.config import Bands, PipelineConfig
 from shelfwise.operators import profile as P
 from shelfwise.plans import etl as E
+from shelfwise.plans.registry import REGISTRY
 from shelfwise.schema import RAW_SCHEMA
 from tests.conftest import rows
 
@@ -88,8 +90,12 @@ def test_config_from_dict():
 
 def test_contract_keys():
     q, o = ENTRY.queries(), ENTRY.oracle_sql()
-    assert set(o) <= set(q) and len(q) >= 70
-    assert not any(k.startswith("op") or k == "pipeline" for k in q)
+    assert set(o) <= set(q)
+    assert set(REGISTRY) <= set(q) and len(REGISTRY) >= 85 and all(sql for _, sql in REGISTRY.values())
+    # whatever else there is comes from the optional llm package and its pipeline
+    assert all(k.startswith("op") or k == "pipeline" for k in set(q) - set(REGISTRY))
+    assert any(k.startswith("op") for k in q) == ENTRY.HAS_LLM
+    assert ("pipeline" in q) == (ENTRY.HAS_LLM and importlib.util.find_spec("corpus_pipeline") is not None)
 
 
 @needs_data

@@ -4,10 +4,13 @@ import html
 import os
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.schema import RAW_SCHEMA, SchemaError, require_columns
 from shelfwise.sources import csv_io
 from shelfwise.functions import html as H
+from shelfwise.functions import markup as M
 from shelfwise.sources import extract as X
 from tests.conftest import rows
 
@@ -108,7 +111,7 @@ def test_listing_extraction_and_enrichment(spark):
     assert enr.first()["image"] == "http://books.example.com/media/cache/full/a.jpg"
     nxt = X.extract_next_url(pages).first()["next_url"]
     assert nxt == "http://books.example.com/catalogue/category/books/poetry_23/page-2.html"
-    links = X.extract_links(pages, block_re=r'(?s)<ul class="nav nav-list">(.*?)</ul>\s*</li>\s*</ul>')
+    links = X.extract_links(pages, path=X.SIDEBAR_LINKS)
     assert rows(links, "name", "link_url") == [
         ("Travel", "http://books.example.com/catalogue/category/books/poetry_23/catalogue/category/books/"
                    "travel_2/index.html")]
@@ -142,14 +145,15 @@ def test_entities_decode_as_the_standard_library_does(spark):
 
 def test_sidebar_availability_rating_and_images(spark):
     side = '<ul class="nav nav-list"><li><a href="i.html">All</a><ul><li><a href="t.html"> Travel </a></li></ul></li></ul>'
-    assert rows(X.extract_links(one(spark, side), block_re=X.SIDEBAR_RE), "name") == [("Travel",)]
+    assert rows(X.extract_links(one(spark, side), path=X.SIDEBAR_LINKS), "name") == [("Travel",)]
     cases = {'<p class="outofstock availability">Out of stock (3 available)</p>': (False, None),
              '<p class="instock availability">In stock (99999999999 available)</p>': (True, 99999999999),
              '<p class="instock availability"></p>': (False, None)}
     for markup, want in cases.items():
         assert rows(X.extract_product_fields(one(spark, markup)), "in_stock", "stock") == [want]
     for cls, want in {"star-rating Three": "Three", "Three star-rating": "Three", "big Five star-rating x": "Five", "star-rating Seven": None}.items():
-        got = spark.createDataFrame([(f'<p class="{cls}"></p>',)], "t string").select(X.rating_word("t").alias("r")).first()["r"]
+        got = spark.createDataFrame([(f'<p class="{cls}"></p>',)], "t string").select(M.tokens("t").alias("k")).select("k", M.elements("k").alias("e")).select(
+            X.rating_word(F.col("k"), F.col("e")).alias("r")).first()["r"]
         assert got == want
     images = '<div class="item"><img src="item.jpg"></div><a class="thumbnail"><span><i></i></span><img class="thumbnail" src="thumb.jpg"></a>'
     assert X.extract_product_fields(one(spark, images)).first()["page_image"] == "http://h.example.com/a/thumb.jpg"
