@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.session import staging_path
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet under the shared checkpoint folder and read again, and
+    its path (for ``session.remove_path``)."""
+    path = staging_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row global aggregate to every row.
 

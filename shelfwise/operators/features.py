@@ -13,6 +13,7 @@ from shelfwise.config import (IQR_FACTOR, WIDE_ONE_HOT, POPULARITY_RATING_WEIGHT
 from shelfwise.functions import bands as B
 from shelfwise.functions import text as TX
 from shelfwise.operators.common import r6, with_one_row
+from shelfwise.operators.gramian import pair_correlations
 from shelfwise.operators.quantiles import exact_quantiles
 
 
@@ -189,44 +190,24 @@ def with_split_label(df: DataFrame, key_cols: Sequence[str], train_percent: int
     return df.withColumn(out, F.when(b < train_percent, F.lit("train")).otherwise(F.lit("test")))
 
 
-def guarded_corr(a: str, b: str):
-    """Pearson correlation over the rows that have both values; null (not an
-    error) where one of them is constant there.
-
-    The merged variance of a constant column can be a tiny non-zero number, so
-    constancy is tested as min = max.
-    """
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    sx, sy = F.stddev_pop(x), F.stddev_pop(y)
-    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
-    return F.when(constant, F.lit(None).cast("double")).otherwise(F.try_divide(F.covar_pop(x, y), sx * sy))
-
-
-def target_correlation_row(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
-    return df.agg(*[r6(guarded_corr(c, target)).alias(c) for c in cols])
-
-
 def feature_selection(df: DataFrame, target: str, candidates: Sequence[str] | None = None,
                       threshold: float = 0.1) -> tuple[DataFrame, list[str]]:
     """Keep numeric columns whose |corr with target| >= threshold, plus target.
 
-    One aggregate computes all correlations; only one number per candidate
-    column reaches the driver.
+    Only the sums of ``gramian.pair_correlations`` reach the driver.
     """
     numeric = {"int", "bigint", "double", "float", "smallint", "tinyint", "boolean"}
     if candidates is None:
         candidates = [c for c, t in df.dtypes if t in numeric and c != target]
-    row = target_correlation_row(df, target, candidates).first()
-    keep = [c for c in candidates if row[c] is not None and abs(row[c]) >= threshold]
+    corr = pair_correlations(df, [(c, target) for c in candidates])
+    keep = [c for c in candidates if (v := corr[c, target]) is not None and round(abs(v), 6) >= threshold]
     return df.select(*keep, target), keep
 
 
 def selection_report(df: DataFrame, target: str, candidates: Sequence[str],
                      threshold: float = 0.1) -> DataFrame:
-    """(column, corr, selected) for each candidate, all in the plan."""
-    row = target_correlation_row(df, target, candidates)
-    long = row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("corr")) for c in candidates]))
-        .alias("_r")).select("_r.*")
-    return long.withColumn("selected", F.coalesce(F.abs("corr") >= threshold, F.lit(False)))
+    """(column, corr, selected) for each candidate."""
+    corr = pair_correlations(df, [(c, target) for c in candidates])
+    long = df.sparkSession.createDataFrame([(c, corr[c, target]) for c in candidates], "column string, corr double")
+    return (long.withColumn("corr", r6(F.col("corr")))
+            .withColumn("selected", F.coalesce(F.abs("corr") >= threshold, F.lit(False))))

@@ -17,7 +17,7 @@ from shelfwise.config import (FEATURE_GROUP_PREFIXES, FEATURE_GROUP_WORDS, IMAGE
                               MEDIA_PATH_MARK)
 from shelfwise.functions import text as TX
 from shelfwise.operators.common import cols_or_all, r6, with_one_row
-from shelfwise.operators.features import guarded_corr
+from shelfwise.operators.gramian import pair_correlations
 from shelfwise.operators.quantiles import exact_quantiles
 
 
@@ -208,26 +208,21 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 # --- correlations (D13, D14, M13) ----------------------------------------------
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True) -> DataFrame:
-    """(column_a, column_b, corr) for pairs a before b (or all ordered pairs),
-    all correlations in one aggregate; null for a constant column."""
+    """(column_a, column_b, corr) for pairs a before b (or all ordered pairs); null
+    where a column is constant."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[r6(guarded_corr(a, b)).alias(f"_c{k}") for k, (a, b) in enumerate(pairs)])
-    items = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"_c{k}").alias("corr"))
-             for k, (a, b) in enumerate(pairs)]
+    corr = pair_correlations(df, [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]])
+    found = [(a, b, v) for (a, b), v in corr.items()]
     if not lower_only:
-        items += [F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"),
-                           F.col(f"_c{k}").alias("corr")) for k, (a, b) in enumerate(pairs)]
-        items += [F.struct(F.lit(a).alias("column_a"), F.lit(a).alias("column_b"),
-                           F.lit(1.0).alias("corr")) for a in cols]
-    return row.select(F.explode(F.array(*items)).alias("_x")).select("_x.*")
+        found += [(b, a, v) for (a, b), v in corr.items()] + [(a, a, 1.0) for a in cols]
+    return (df.sparkSession.createDataFrame(found, "column_a string, column_b string, corr double")
+            .withColumn("corr", r6(F.col("corr"))))
 
 
 def target_correlations(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
-    row = df.agg(*[r6(guarded_corr(c, target)).alias(f"_c{i}") for i, c in enumerate(cols)])
-    return row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(target).alias("target"), F.col(f"_c{i}").alias("corr"))
-        for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
+    corr = pair_correlations(df, [(c, target) for c in cols])
+    return (df.sparkSession.createDataFrame([(c, target, corr[c, target]) for c in cols], "column string, target string, corr double")
+            .withColumn("corr", r6(F.col("corr"))))
 
 
 def numeric_feature_columns(df: DataFrame, fixed: Sequence[str],
