@@ -18,7 +18,8 @@ from shelfwise.config import (FEATURE_GROUP_PREFIXES, FEATURE_GROUP_WORDS, IMAGE
 from shelfwise.functions import text as TX
 from shelfwise.operators.common import cols_or_all, r6, with_one_row
 from shelfwise.operators.gramian import pair_correlations
-from shelfwise.operators.quantiles import exact_quantiles
+from shelfwise.operators.quantiles import (INTERPOLATIONS, brackets, exact_quantiles, is_integral, number, quantiles_of,
+                                           sketch_aggregates, value_type)
 
 
 IMAGE_EXTENSION_RE = r"\.(" + "|".join(IMAGE_URL_EXTENSIONS) + r")$"
@@ -96,46 +97,45 @@ def limit_first_n(df: DataFrame, order_by: Sequence[str], n: int = 5) -> DataFra
 
 # --- numeric summaries (D8-D11, M12) -----------------------------------------
 
-def _quartile_wide(df: DataFrame, cols: Sequence[str], probs=(0.25, 0.5, 0.75),
-                   interpolation: str = "linear") -> DataFrame:
-    q = exact_quantiles(df, cols, probs, interpolation=interpolation)
-    return q.groupBy("column").agg(*[
-        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"q{round(p * 100):d}") for p in probs])
+def _summarised(df: DataFrame, cols: Sequence[str], probs: Sequence[float], interpolation: str):
+    """One pass for counts, moments, extremes and the brackets of the quantiles, one
+    more for these: (row, quantiles by column and probability, type of the extremes)."""
+    if interpolation not in INTERPOLATIONS:
+        raise ValueError(f"interpolation must be one of {INTERPOLATIONS}")
+    once = df.agg(*sketch_aggregates(df, cols), *(a for i, c in enumerate(cols) for a in (
+        F.count(f"`{c}`").alias(f"_n{i}"), F.count_if(F.col(f"`{c}`").isNull()).alias(f"_z{i}"), F.avg(number(df, c)).alias(f"_av{i}"),
+        F.stddev_samp(number(df, c)).alias(f"_sd{i}"), F.min(number(df, c)).alias(f"_mn{i}"), F.max(number(df, c)).alias(f"_mx{i}"))))
+    row = brackets(df, cols, probs, once).first()
+    found = {(c, p): v for c, p, v in quantiles_of(df, cols, probs, row, interpolation)}
+    return row, found, "bigint" if all(is_integral(df, c) for c in cols) else "double"
+
+
+def _as(kind: str, value):
+    return value if value is None or kind == "bigint" else float(value)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], interpolation: str = "linear") -> DataFrame:
-    """(column, min, max, mean, median, std) per numeric column."""
-    row = df.agg(*[a for i, c in enumerate(cols) for a in (
-        F.min(F.col(c).cast("double")).alias(f"_mn{i}"), F.max(F.col(c).cast("double")).alias(f"_mx{i}"),
-        F.avg(c).alias(f"_av{i}"), F.stddev_samp(c).alias(f"_sd{i}"))])
-    long = row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_mn{i}").alias("min"), F.col(f"_mx{i}").alias("max"),
-                 r6(F.col(f"_av{i}")).alias("mean"), r6(F.col(f"_sd{i}")).alias("std"))
-        for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
-    med = (exact_quantiles(df, cols, [0.5], interpolation=interpolation)
-           .select("column", r6(F.col("value")).alias("median")))
-    return long.join(F.broadcast(med), "column").select("column", "min", "max", "mean", "median", "std")
+    """(column, min, max, mean, median, std) per numeric column; ``min`` and ``max``
+    are longs if all columns hold integers, else doubles."""
+    row, found, kind = _summarised(df, cols, [0.5], interpolation)
+    rows = [(c, _as(kind, row[f"_mn{i}"]), _as(kind, row[f"_mx{i}"]), row[f"_av{i}"], _as("double", found[c, 0.5]), row[f"_sd{i}"])
+            for i, c in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, f"column string, min {kind}, max {kind}, mean double, median double, std double")
+    return out.select("column", "min", "max", *(r6(F.col(c)).alias(c) for c in ("mean", "median", "std")))
 
 
 def describe(df: DataFrame, cols: Sequence[str], interpolation: str = "linear") -> DataFrame:
-    """(column, count, null_count, mean, std, min, q25, q50, q75, max);
-    quartiles exact, by the chosen interpolation rule."""
-    row = df.agg(*[a for i, c in enumerate(cols) for a in (
-        F.count(c).cast("bigint").alias(f"_n{i}"),
-        F.count_if(F.col(c).isNull()).cast("bigint").alias(f"_z{i}"),
-        F.avg(c).alias(f"_av{i}"), F.stddev_samp(c).alias(f"_sd{i}"),
-        F.min(F.col(c).cast("double")).alias(f"_mn{i}"), F.max(F.col(c).cast("double")).alias(f"_mx{i}"))])
-    long = row.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("count"),
-                 F.col(f"_z{i}").alias("null_count"), r6(F.col(f"_av{i}")).alias("mean"),
-                 r6(F.col(f"_sd{i}")).alias("std"), F.col(f"_mn{i}").alias("min"),
-                 F.col(f"_mx{i}").alias("max"))
-        for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
-    qs = _quartile_wide(df, cols, interpolation=interpolation)
-    return (long.join(F.broadcast(qs), "column")
-            .select("column", "count", "null_count", "mean", "std", "min",
-                    r6(F.col("q25")).alias("q25"), r6(F.col("q50")).alias("q50"),
-                    r6(F.col("q75")).alias("q75"), "max"))
+    """(column, count, null_count, mean, std, min, q25, q50, q75, max); quartiles exact,
+    by the chosen interpolation rule; ``min``, ``max`` and quartiles that lie on a value
+    are longs if all columns hold integers, else doubles."""
+    row, found, kind = _summarised(df, cols, [0.25, 0.5, 0.75], interpolation)
+    picked = value_type(df, cols, interpolation)
+    rows = [(c, row[f"_n{i}"], row[f"_z{i}"], row[f"_av{i}"], row[f"_sd{i}"], _as(kind, row[f"_mn{i}"]),
+             *(_as(picked, found[c, p]) for p in (0.25, 0.5, 0.75)), _as(kind, row[f"_mx{i}"])) for i, c in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, f"column string, count bigint, null_count bigint, mean double, std double, min {kind}, "
+                                                f"q25 {picked}, q50 {picked}, q75 {picked}, max {kind}")
+    return out.select("column", "count", "null_count", *(r6(F.col(c)).alias(c) for c in ("mean", "std")), "min",
+                      *(r6(F.col(c)).alias(c) for c in ("q25", "q50", "q75")), "max")
 
 
 def table_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -491,7 +491,7 @@ NUM_COLS = ("l_extendedprice", "l_quantity", "l_discount")
   round(avg({c}), 6) AS mean, round(quantile_cont({c}, 0.5), 6) AS median, round(stddev_samp({c}), 6) AS std
 FROM lineitem""" for c in NUM_COLS]))
 def q_numeric_summary(spark, sf):
-    return P.numeric_summary(t(spark, sf, "lineitem"), list(NUM_COLS))
+    return P.numeric_summary(TB.spread(t(spark, sf, "lineitem").select(*NUM_COLS)), list(NUM_COLS))
 
 
 DESC_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -503,7 +503,22 @@ DESC_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
   round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
   round(quantile_cont({c}, 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem""" for c in DESC_COLS]))
 def q_describe(spark, sf):
-    return P.describe(t(spark, sf, "lineitem"), list(DESC_COLS))
+    return P.describe(TB.spread(t(spark, sf, "lineitem").select(*DESC_COLS)), list(DESC_COLS))
+
+
+# longs that no double tells apart from their neighbours
+BIG_KEY = "l_orderkey * 4 + l_linenumber + 9007199254740993"
+
+
+def _rank(p: float) -> str:
+    return f"list_sort(list({BIG_KEY}))[CAST(floor((count(*) - 1) * CAST({p} AS DOUBLE) + 0.5) AS BIGINT) + 1]"
+
+
+@register("integer_quartiles", f"""SELECT 'key' AS column, count(*) AS count, min({BIG_KEY}) AS min, {_rank(0.25)} AS q25,
+  {_rank(0.5)} AS q50, {_rank(0.75)} AS q75, max({BIG_KEY}) AS max FROM lineitem""")
+def q_integer_quartiles(spark, sf):
+    keys = t(spark, sf, "lineitem").select(F.expr(BIG_KEY).alias("key"))
+    return P.describe(keys, ["key"], interpolation="nearest").select("column", "count", "min", "q25", "q50", "q75", "max")
 
 
 IQR_FENCES = """f AS (SELECT quantile_cont(value, 0.25) - 1.5 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) AS lo,
