@@ -59,6 +59,13 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         for i, c in enumerate(cols)])).alias("_x")).select("_x.*")
 
 
+def refuse_nulls(counts: dict[str, int], report=None) -> None:
+    """Raise with the columns that hold nulls and how many."""
+    total = sum(counts.values())
+    if total:
+        raise QualityError(f"{total} null values found: " + ", ".join(f"{c}={n}" for c, n in counts.items() if n), report)
+
+
 def check_nulls(df: DataFrame, on_null: str = "fail", cols: Sequence[str] | None = None
                 ) -> tuple[DataFrame, int, DataFrame]:
     """Null gate.  Returns ``(df, total_nulls, report)``; raises in "fail"
@@ -66,9 +73,8 @@ def check_nulls(df: DataFrame, on_null: str = "fail", cols: Sequence[str] | None
     report = null_counts(df, cols)
     rows = report.collect()  # one row per column: bounded by the schema
     total = sum(r["nulls"] for r in rows)
-    if total and on_null == "fail":
-        detail = ", ".join(f"{r['column']}={r['nulls']}" for r in rows if r["nulls"])
-        raise QualityError(f"{total} null values found: {detail}", report)
+    if on_null == "fail":
+        refuse_nulls({r["column"]: r["nulls"] for r in rows}, report)
     return df, total, report
 
 
@@ -82,32 +88,38 @@ def processed_rules(price: str = "price", rating: str = "rating", stock: str = "
     ]
 
 
+def processed_fixed(columns: Sequence[str], required: Sequence[str] = PROCESSED_COLUMNS) -> list[tuple[str, int]]:
+    return [("columns_present", len([c for c in required if c not in columns]))]
+
+
+def id_violations(df: DataFrame, rows: int, id_col: str = "id") -> list[tuple[str, int]]:
+    """``id_unique``: rows less distinct ids (a null id counts as none).
+
+    Decided on 16-byte digests, so ids of any length shuffle 16 bytes a row; only where
+    some are equal are the ids themselves counted."""
+    digests = df.agg(F.count_distinct(F.unhex(F.md5(id_col)))).first()[0]
+    if digests == rows:
+        return [("id_unique", 0)]
+    return [("id_unique", rows - df.agg(F.count_distinct(id_col)).first()[0])]
+
+
 def gate_processed(df: DataFrame, required: Sequence[str] = PROCESSED_COLUMNS, id_col: str = "id",
                    **names) -> DataFrame:
-    """Processed-data gate report ``(rule, violations, passed)``.
-
-    The range rules and the id check share one pass.  Id uniqueness
-    (violations = rows - distinct ids; a null id counts) is first decided on
-    8-byte hashes: as many distinct hashes as rows and no null id proves the
-    ids unique.  Only otherwise (a repeat, a collision or a null) the exact
-    count of distinct id strings runs, so the common case shuffles 8 bytes
-    per row instead of the id text.  The report is a small local table.
+    """Processed-data gate report ``(rule, violations, passed)`` of a table that exists
+    already; a run checks the same rules while it writes (``sources.publish``).
+
+    The range rules and the digests of the id share one pass (:func:`id_violations`).
+    The report is a small local table.
     """
     spark = df.sparkSession
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        return evaluate(df, [], [("columns_present", len(missing))])
+    fixed = processed_fixed(df.columns, required)
+    if fixed[0][1]:
+        return evaluate(df, [], fixed)
     rules = processed_rules(**names)
     row = df.agg(*[r.violations.cast("bigint").alias(f"_r{i}") for i, r in enumerate(rules)],
-                 F.count(F.lit(1)).alias("_n"),
-                 F.count_distinct(F.xxhash64(F.col(id_col))).alias("_hd"),
-                 F.count_if(F.col(id_col).isNull()).alias("_nn")).first()
-    if row["_hd"] == row["_n"] and row["_nn"] == 0:
-        id_violations = 0
-    else:
-        id_violations = df.agg(F.count(F.lit(1)) - F.count_distinct(F.col(id_col))).first()[0]
-    items = [("columns_present", 0), ("id_unique", int(id_violations))]
-    items += [(r.name, int(row[f"_r{i}"])) for i, r in enumerate(rules)]
+                 F.count(F.lit(1)).alias("_n"), F.count_distinct(F.unhex(F.md5(id_col))).alias("_d")).first()
+    unique = [("id_unique", 0)] if row["_d"] == row["_n"] else id_violations(df, row["_n"], id_col)
+    items = [*fixed, *unique, *((r.name, int(row[f"_r{i}"])) for i, r in enumerate(rules))]
     return (spark.createDataFrame(items, "rule string, violations bigint")
             .withColumn("passed", F.col("violations") == 0))
 
@@ -132,10 +144,13 @@ def feature_rules(df: DataFrame, title_length: str = "title_length",
     return rules, fixed
 
 
+def feature_fixed(columns: Sequence[str], required: Sequence[str] = FEATURE_COLUMNS) -> list[tuple[str, int]]:
+    return [("features_present", len([c for c in required if c not in columns]))]
+
+
 def gate_features(df: DataFrame, required: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    missing = [c for c in required if c not in df.columns]
-    fixed = [("features_present", len(missing))]
-    if missing:
+    fixed = feature_fixed(df.columns, required)
+    if fixed[0][1]:
         return evaluate(df, [], fixed)
     rules, more = feature_rules(df)
     return evaluate(df, rules, fixed + more)

@@ -2,13 +2,13 @@
 (D20) and the step runner (M14).
 
 Jobs per full run: (optionally) the staged raw input, the intake aggregate
-(row count, nulls, replaced categories, duplicate titles), the shared-key
-check of the id, the staged processed table, the processed gate on it, max
-stock, the one-hot vocabulary, the staged feature table and the feature
-gate on it.  Every stage is written to the shared checkpoint folder, so
-lineage is cut between phases: a lost executor in phase 2 never recomputes
-phase 1, and each gate reads a few columns of a written table instead of
-re-running the plan.
+(row count, nulls, replaced categories, duplicate titles, distinct keys), the
+shared-key check of the id, the write of the processed table, the count of its
+distinct ids, max stock, the one-hot vocabulary and the write of the feature
+table.  Each table is written once, beside its place or to the shared checkpoint
+folder; the rules of its gate are metrics of that write, and it is renamed into
+place once they have passed (``sources.publish``).  Lineage is cut between phases:
+a lost executor in phase 2 never recomputes phase 1.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.config import FEATURE_COLUMNS, PROCESSED_COLUMNS, RAW_COLUMNS, PipelineConfig
@@ -25,10 +25,10 @@ from shelfwise.operators import clean as C
 from shelfwise.operators import features as FE
 from shelfwise.operators import profile as P
 from shelfwise.operators import quality as Q
-from shelfwise.operators.common import with_one_row
+from shelfwise.operators.common import staged, with_one_row
 from shelfwise.schema import require_columns
-from shelfwise.session import remove_path, staging_path
-from shelfwise.sources import csv_io
+from shelfwise.session import remove_path
+from shelfwise.sources import publish
 
 
 @dataclass
@@ -51,7 +51,8 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
     """One row: total_records, null_records_found, categories_cleaned,
     duplicate_titles (rows whose title occurs more than once), and with
     ``key_cols`` the number of distinct keys as the id writes them
-    (``distinct_id_keys``): as many as rows means that no id is shared."""
+    (``distinct_id_keys``): as many as rows means that no id is shared; and the
+    nulls of each column (``nulls``)."""
     nulls = None
     for c in cols:
         t = F.count_if(F.col(c).isNull())
@@ -61,7 +62,8 @@ def intake_row(raw: DataFrame, config: PipelineConfig, cols: Sequence[str] = RAW
                    C.replaced_count(category, config.problematic_categories).cast("bigint")
                    .alias("categories_cleaned"),
                    *([F.count_distinct(F.unhex(F.lpad(C.id_key(key_cols, config.id_hex_len), 32, "0"))).cast("bigint")
-                      .alias("distinct_id_keys")] if key_cols else []))
+                      .alias("distinct_id_keys"), F.struct(*(F.count_if(F.col(c).isNull()).alias(c) for c in cols)).alias("nulls")]
+                     if key_cols else []))
     dup = (raw.groupBy(title).agg(F.count(F.lit(1)).alias("_n"))
            .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")
                 .alias("duplicate_titles")))
@@ -85,22 +87,6 @@ def cleaning_plan(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str
     return df.select(*PROCESSED_COLUMNS)
 
 
-def stage(df: DataFrame, path: str | None, name: str) -> DataFrame:
-    """Write ``df`` as Parquet (to ``path`` or the shared staging folder)
-    and continue from the written table: lineage is cut, so later jobs and
-    retries read columns from the table instead of recomputing the plan."""
-    return _stage(df, path, name)[0]
-
-
-def _stage(df: DataFrame, path: str | None, name: str,
-           observation: Observation | None = None) -> tuple[DataFrame, str]:
-    path = path or staging_path(df.sparkSession, f"{name}-{time.time_ns()}")
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
-    csv_io.write_parquet(df, path)
-    return df.sparkSession.read.parquet(path), path
-
-
 def _clean(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str], output: str | None,
            stage_input: bool) -> tuple[DataFrame, dict, str | None]:
     """Cleaning run; returns the processed table, the statistics and the
@@ -110,26 +96,18 @@ def _clean(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str], outp
     spark = raw.sparkSession
     raw_path = None
     if stage_input:
-        raw, raw_path = _stage(raw.select(*RAW_COLUMNS, *[k for k in key_cols if k not in RAW_COLUMNS]),
-                               None, "raw")
-    intake = intake_row(raw, config, key_cols=key_cols).first().asDict()
-    if intake["null_records_found"] and config.on_null == "fail":
-        Q.check_nulls(raw.select(*RAW_COLUMNS), "fail")
+        raw, raw_path = staged(raw.select(*RAW_COLUMNS, *[k for k in key_cols if k not in RAW_COLUMNS]), "raw")
+    intake = intake_row(raw, config, key_cols=key_cols).first().asDict(True)
+    nulls = intake.pop("nulls")
+    if config.on_null == "fail":
+        Q.refuse_nulls(nulls)
     unique = intake.pop("distinct_id_keys") == intake["total_records"]
-    written = Observation("processed")   # rows counted by the write job itself
-    processed, proc_path = _stage(cleaning_plan(raw, config, key_cols, keys_known_unique=unique),
-                                  None, "processed", written)
-    Q.assert_passed(Q.gate_processed(processed), "processed-data gate")
-    if output:
-        csv_io.write_parquet(processed, output)
-        processed = spark.read.parquet(output)
-        remove_path(spark, proc_path)
-        proc_path = None
+    plan = cleaning_plan(raw, config, key_cols, keys_known_unique=unique)
+    processed, proc_path, found = publish.write_checked(
+        plan, output, "processed", Q.processed_rules(), Q.processed_fixed(plan.columns), [Q.id_violations])
     if raw_path:
         remove_path(spark, raw_path)   # nothing reads the staged input any more
-    stats = dict(intake)
-    stats["processed_records"] = int(written.get["rows"])
-    return processed, stats, proc_path
+    return processed, dict(intake) | {"processed_records": found["rows"]}, proc_path
 
 
 def run_cleaning(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str],
@@ -140,10 +118,10 @@ def run_cleaning(raw: DataFrame, config: PipelineConfig, key_cols: Sequence[str]
     ``stage_input`` writes the raw input once first; use it when the input
     is itself an expensive plan (a join) rather than a file scan, since the
     intake aggregate, the id and the cleaning pass all read it.  The
-    processed table is always written before the gate runs, so the gate
-    reads a few columns of the written table; it is copied to ``output``
-    only when the gate passed.  Staged copies that nothing reads any more
-    are removed; on a failed gate they stay for inspection.
+    processed table is written once, the gate's range rules being counted by that
+    write, and takes the place of ``output`` only when the gate has passed.
+    Staged copies that nothing reads any more are removed; what a gate refused
+    stays for inspection.
     """
     processed, stats, _ = _clean(raw, config, key_cols, output, stage_input)
     return processed, stats
@@ -164,16 +142,12 @@ def feature_plan(processed: DataFrame, config: PipelineConfig,
 
 def run_features(processed: DataFrame, config: PipelineConfig,
                  output: str | None = None) -> tuple[DataFrame, dict]:
-    """L2.  Jobs: max stock (popularity), one-hot vocabulary, the feature
-    write to the staging folder, the gate on the written table, and, when
-    ``output`` is given and the gate passed, the copy to ``output``."""
+    """L2.  Jobs: max stock (popularity), one-hot vocabulary and the feature write,
+    which counts the gate's rules; ``output`` is replaced if they all passed."""
     require_columns(processed, PROCESSED_COLUMNS, "processed table")
-    feats, feat_path = _stage(feature_plan(processed, config), None, "features")
-    Q.assert_passed(Q.gate_features(feats), "feature gate")
-    if output:
-        csv_io.write_parquet(feats, output)
-        feats = feats.sparkSession.read.parquet(output)
-        remove_path(feats.sparkSession, feat_path)
+    plan = feature_plan(processed, config)
+    rules, fixed = Q.feature_rules(plan)
+    feats, _, _ = publish.write_checked(plan, output, "features", rules, Q.feature_fixed(plan.columns) + fixed)
     stats = {"features_created": len(feats.columns) - len(PROCESSED_COLUMNS),
              "category_columns": len([c for c in feats.columns if c.startswith("category_")])}
     return feats, stats
@@ -264,8 +238,7 @@ def run_catalogue_steps(spark: SparkSession, raw: DataFrame, config: PipelineCon
     at = lambda name: f"{base}/{name}"
 
     def put(df: DataFrame, name: str) -> DataFrame:
-        csv_io.write_parquet(df, at(name))
-        return spark.read.parquet(at(name))
+        return publish.replace_table(df, at(name))
 
     def cleaning():
         put(Q.null_counts(raw), "nulls")

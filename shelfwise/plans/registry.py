@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.config import BASE64_MIN_LENGTH, TITLE_LENGTH_BINS, TITLE_WORD_BINS, Bands, PipelineConfig
-from shelfwise.functions import html as H
+from shelfwise.functions import markup as M
 from shelfwise.functions import text as TX
 from shelfwise.functions import urls as U
 from shelfwise.operators import clean as C
 from shelfwise.operators import features as FE
 from shelfwise.operators import profile as P
 from shelfwise.operators import quality as Q
+from shelfwise.operators.common import staged as stage_table
 from shelfwise.plans import etl as E
 from shelfwise.plans import sqltext as S
 from shelfwise.plans import tables as TB
@@ -739,8 +740,8 @@ RATING_TAG = f"CASE WHEN o_orderkey % 3 = 0 THEN replace(replace({RATING_TAG}, '
   WHEN contains(tag, 'Three') THEN 3 WHEN contains(tag, 'Four') THEN 4 END AS BIGINT) AS rating
 FROM (SELECT o_orderkey, {RATING_TAG} AS tag FROM orders)""")
 def q_parse_rating_word(spark, sf):
-    o = t(spark, sf, "orders").select("o_orderkey", F.expr(RATING_TAG).alias("tag"))
-    return o.select("o_orderkey", TX.rating_from_word(X.rating_word("tag")).alias("rating"))
+    o = t(spark, sf, "orders").select("o_orderkey", M.tokens(F.expr(RATING_TAG)).alias("tok")).select("*", M.elements("tok").alias("el"))
+    return o.select("o_orderkey", TX.rating_from_word(X.rating_word(F.col("tok"), F.col("el"))).alias("rating"))
 
 
 AVAIL_TEXT = ("CASE p_size % 4 WHEN 0 THEN 'In stock (' || CAST(p_size AS STRING) || ' available)' "
@@ -961,7 +962,7 @@ def q_clean_stage(spark, sf):
 def q_feature_stage(spark, sf):
     """L2 as the reference runs it: phase 2 starts from the written
     processed table (staged here), not from the phase-1 plan."""
-    staged, path = E._stage(processed(spark, sf), None, "processed")
+    staged, path = stage_table(processed(spark, sf), "processed")
     df, _ = E.run_features(staged, CFG)
     remove_path(spark, path)   # the feature table is written; the phase-1 copy is done
     return df

@@ -134,16 +134,10 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 
 @needs_data
-def test_no_python_udf_in_any_query(spark):
-    for name, fn in ENTRY.queries().items():
-        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
-        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
-
-
-@needs_data
-def test_no_cartesian_or_nested_loop_join(spark):
-    for name, fn in ENTRY.queries().items():
-        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+def test_no_python_udf_and_no_nested_loop_in_any_query(spark):
+    for name in REGISTRY:
+        plan = ENTRY.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "PythonUDF" not in plan and "InArrow" not in plan and "InPandas" not in plan, name
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
 
 
