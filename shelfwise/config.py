@@ -91,6 +91,10 @@ class PipelineConfig:
     stock_bands: Bands = field(default_factory=Bands.stock)
     # what the null gate does: "fail" raises, "report" only reports
     on_null: str = "fail"
+    # what a line that does not fit the schema does: "fail" the run, or go to the
+    # table at quarantine_path while the others go on
+    bad_rows: str = "fail"
+    quarantine_path: str | None = None
     id_prefix: str = "book_"
     id_hex_len: int = 32
     wide_one_hot: int = WIDE_ONE_HOT
@@ -99,6 +103,10 @@ class PipelineConfig:
     def __post_init__(self):
         if self.on_null not in ("fail", "report"):
             raise ValueError("on_null must be 'fail' or 'report'")
+        if self.bad_rows not in ("fail", "quarantine"):
+            raise ValueError("bad_rows must be 'fail' or 'quarantine'")
+        if self.bad_rows == "quarantine" and not self.quarantine_path:
+            raise ValueError("bad_rows='quarantine' needs quarantine_path")
         if not 1 <= self.id_hex_len <= 32:
             raise ValueError("id_hex_len must be in 1..32")
         if self.wide_one_hot < 1:

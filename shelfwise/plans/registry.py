@@ -7,6 +7,7 @@ appear only where the limit is the operator (first-n, top-k, paging).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -918,6 +919,38 @@ def q_scan_round_trip(spark, sf):
     return csv_io.read_csv(spark, path, d.schema, multiline=True)
 
 
+# A CSV in which every ninth price is no number and every eleventh line is cut short.
+_LINE = """CASE WHEN p_partkey % 11 = 0 THEN p_partkey || ',"' || p_name || '"'
+  ELSE p_partkey || ',"' || p_name || '",' || CASE WHEN p_partkey % 9 = 0 THEN 'n/a' ELSE CAST(p_retailprice AS STRING) END || ',' || p_size END"""
+_FITS = "p_partkey % 11 <> 0 AND p_partkey % 9 <> 0"
+
+
+@register("csv_quarantine", f"""SELECT p_partkey, p_name, p_retailprice, p_size, NULL AS line FROM part WHERE {_FITS}
+UNION ALL SELECT NULL, NULL, NULL, NULL, {_LINE} AS line FROM part WHERE NOT ({_FITS})""")
+def q_csv_quarantine(spark, sf):
+    """Good rows, and the lines of the quarantine table, of a CSV with bad lines."""
+    lines = t(spark, sf, "part").select(F.expr(_LINE).alias("value"))
+    opens = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    base = staging_path(spark, f"quarantine-{uuid.uuid4().hex}")
+    (lines.select(F.when(opens, F.concat(F.lit("p_partkey,p_name,p_retailprice,p_size\n"), F.col("value"))).otherwise(F.col("value")).alias("value"))
+     .write.text(f"{base}/in.csv"))
+    schema = T.StructType.fromDDL("p_partkey bigint, p_name string, p_retailprice double, p_size int")
+    good, _, _ = csv_io.read_quarantined(spark, f"{base}/in.csv", f"{base}/bad", schema)
+    refused = spark.read.parquet(f"{base}/bad").select("line")
+    return good.unionByName(refused, allowMissingColumns=True)
+
+
+@register("export_round_trip", f"""{WITH_ENR}SELECT coalesce(title, '') AS title, coalesce(CAST(price AS VARCHAR), '') AS price,
+  CASE WHEN availability THEN 'yes' WHEN NOT availability THEN 'no' ELSE '' END AS availability,
+  coalesce(CAST(stock AS VARCHAR), '') AS stock, '' AS image_base64 FROM enr""")
+def q_export_round_trip(spark, sf):
+    """The written export, with its byte-order marks, read back as text."""
+    path = staging_path(spark, f"export-{uuid.uuid4().hex}.csv")
+    csv_io.write_export(enriched(spark, sf).withColumn("image_base64", F.lit(None).cast("string")), path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in csv_io.EXPORT_COLUMNS])
+    return csv_io.read_csv(spark, path, schema, multiline=True).select("title", "price", "availability", "stock", "image_base64")
+
+
 # =================================================================================
 # 2.K / 2.L  gates and pipelines
 # =================================================================================

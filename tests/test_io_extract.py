@@ -32,7 +32,7 @@ def test_csv_empty_vs_null_and_quotes(spark):
 
 
 def test_write_read_round_trip(spark):
-    src = spark.createDataFrame([(1, "x, \"y\"\nz"), (2, ""), (3, None)], "k int, t string")
+    src = spark.createDataFrame([(1, "x, \"y\"\nz"), (2, ""), (3, None), (4, "  blanks\t ")], "k int, t string")
     path = scratch("out.csv")
     csv_io.write_csv(src, path)
     back = csv_io.read_csv(spark, path, src.schema, multiline=True)
@@ -165,3 +165,101 @@ def test_enrichment_keeps_each_listing_row_once(spark):
                                      "url string, in_stock boolean, stock bigint, page_image string")
     got = sorted(rows(X.enrich_from_pages(listing, products), "n", "image", "availability", "stock"))
     assert got == [(1, "i", True, 3), (2, "j", False, None), (3, "k", False, None)]
+
+
+HEADER = ",".join(f.name for f in RAW_SCHEMA.fields) + "\n"
+GOOD = ['"A, 1",1.5,3,c,i,p,yes,4,\n', 'B,2.5,4,c,i,q,no,5,\n']
+BAD = ['C,cheap,3,c,i,p,yes,4,\n', 'D,1.0\n', 'E,1.0,3,c,i,p,yes,4,,extra,fields\n', 'F,1.0,3,c,i,p,yes,"4 left",\n']
+
+
+def csv_folder(*files):
+    place = scratch("in.csv")
+    os.makedirs(place)
+    for i, lines in enumerate(files):
+        with open(os.path.join(place, f"{i}.csv"), "w", encoding="utf-8-sig" if i % 2 else "utf-8") as fh:
+            fh.write(HEADER + "".join(lines))
+    return place
+
+
+def test_bad_lines_go_to_quarantine_and_the_others_go_on(spark):
+    place, bad_path = csv_folder([GOOD[0], BAD[0], BAD[1]], [BAD[2], GOOD[1], BAD[3]]), scratch("bad")
+    good, counts, _ = csv_io.read_quarantined(spark, place, bad_path)
+    assert counts == {"rows": 6, "bad_rows": 4} and good.schema.names == RAW_SCHEMA.names
+    assert sorted(rows(good, "title", "price", "stock")) == [("A, 1", 1.5, 4), ("B", 2.5, 5)]
+    held = rows(spark.read.parquet(bad_path), "line", "file")
+    assert sorted(x for x, _ in held) == sorted(x.rstrip("\n") for x in BAD) and {os.path.basename(f) for _, f in held} == {"0.csv", "1.csv"}
+    with pytest.raises(Exception):
+        csv_io.read_csv(spark, place).collect()         # strict as before
+    # a file without bad lines empties the quarantine table; one without any line is no error
+    good, counts, _ = csv_io.read_quarantined(spark, csv_folder(GOOD), bad_path)
+    assert counts == {"rows": 2, "bad_rows": 0} and good.count() == 2 and spark.read.parquet(bad_path).count() == 0
+    good, counts, _ = csv_io.read_quarantined(spark, csv_folder([]), bad_path)
+    assert counts == {"rows": 0, "bad_rows": 0} and good.count() == 0
+    good, counts, _ = csv_io.read_quarantined(spark, csv_folder(BAD), bad_path)
+    assert counts == {"rows": 4, "bad_rows": 4} and good.count() == 0
+
+
+def test_quarantine_of_columns_with_its_own_names(spark):
+    from pyspark.sql import types as T
+
+    place = scratch("in.csv")
+    with open(place, "w") as fh:
+        fh.write("line,bad,file\n1,x,y\nz,x,y\n")
+    schema = T.StructType.fromDDL("line int, bad string, file string")
+    good, counts, _ = csv_io.read_quarantined(spark, place, scratch("bad"), schema)
+    assert rows(good) == [(1, "x", "y")] and counts == {"rows": 2, "bad_rows": 1}
+
+
+def test_admission_of_a_first_line_that_does_not_parse(spark):
+    place = csv_folder([BAD[0], GOOD[0]])
+    assert csv_io.validate_input(spark, place)[0] is False
+    assert csv_io.validate_input(spark, place, bad_rows="quarantine") == (True, "ok")
+
+
+def test_command_line_with_quarantine(spark, tmp_path):
+    from shelfwise import cli
+    from shelfwise.schema import SchemaError
+
+    good = ['"A, 1",1.5,3,c,i,p,yes,4,""\n', 'B,2.5,4,c,i,q,no,5,""\n']
+    args = ["--processed", str(tmp_path / "p"), "--features", str(tmp_path / "f"), "--quarantine", str(tmp_path / "bad"), "--full"]
+    stats = cli.main(["--input", csv_folder([BAD[0], *good]), *args], spark)
+    assert stats["bad_rows"] == 1 and stats["processed_records"] == 2 and spark.read.parquet(str(tmp_path / "f")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
+    with pytest.raises(SchemaError, match="no line fits"):
+        cli.main(["--input", csv_folder(BAD), *args], spark)
+    with pytest.raises(Exception):
+        cli.main(["--input", csv_folder([*good, BAD[0]]), *args[:4], "--full"], spark)
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 2      # the failed run published nothing
+
+
+def test_export_bytes_equal_the_csv_writers(spark):
+    """Byte-order mark, header, quotes and line ends in every file."""
+    import csv
+    import glob
+    import io
+
+    data = [("a \"b\", c", 51.77, 3, "x\ny", "i", "p", True, 2, None), (None, None, None, None, None, None, None, None, None),
+            ("é 漢", 0.5, 1, "", "i", "p", False, 0, "QUJD"), (" edge ", 100.0, 5, "tab\t", "\\", "p", True, 7, "")]
+    df = spark.createDataFrame(data, "title string, price double, rating int, category string, image string, product_page string, "
+                                     "availability boolean, stock int, image_base64 string")
+    for parts in (1, 3):
+        place = scratch("export.csv")
+        assert csv_io.write_export(df.repartition(parts), place)["rows"] == 4
+        files = [open(f, "rb").read() for f in glob.glob(place + "/part-*") if os.path.getsize(f)]
+        assert files and all(f.startswith(b"\xef\xbb\xbf\"title\",") and f.endswith(b"\r\n") for f in files)
+        lines = []
+        for f in files:
+            out = io.StringIO(newline="")
+            got = list(csv.reader(io.StringIO(f.decode("utf-8-sig"), newline="")))
+            csv.writer(out, quoting=csv.QUOTE_ALL).writerows(got)
+            assert out.getvalue().encode("utf-8-sig") == f
+            assert got[0] == list(csv_io.EXPORT_COLUMNS)
+            lines += got[1:]
+        text = lambda v: "yes" if v is True else "no" if v is False else "" if v is None else str(v)
+        assert sorted(lines) == sorted([[text(v) for v in r] for r in data])
+        back = csv_io.read_csv(spark, place, schema=spark.createDataFrame([], ", ".join(f"{c} string" for c in csv_io.EXPORT_COLUMNS)).schema, multiline=True)
+        assert sorted(map(list, rows(back))) == sorted(lines)
+    place = scratch("export.csv")
+    assert csv_io.write_export(df.limit(0), place) == {"missing_availability": 0, "missing_stock": 0, "rows": 0}
+    files = [f for f in (open(f, "rb").read() for f in glob.glob(place + "/part-*")) if f]
+    assert files == [b"\xef\xbb\xbf" + ",".join(f'"{c}"' for c in csv_io.EXPORT_COLUMNS).encode() + b"\r\n"]
