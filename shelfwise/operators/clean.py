@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import DEFAULT_CATEGORY, PROBLEMATIC_CATEGORIES
 from shelfwise.functions import text as TX
+from shelfwise.operators.repeats import maybe_repeated
 
 # exact copies of one row are regenerated in chunks of this many rows, so a
 # hot duplicate set is spread over many tasks
@@ -121,8 +122,10 @@ def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 def duplicates_report(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Each duplicated row (over ``subset``, default all columns) once, with
-    its number of copies, from one count that combines before the shuffle."""
-    return (df.groupBy(*list(subset or df.columns)).agg(F.count(F.lit(1)).alias("copies"))
+    its number of copies, from one count that combines before the shuffle.  Single
+    rows are dropped before, by a bitmap of repeated hashes (``repeats``)."""
+    cols = list(subset or df.columns)
+    return (maybe_repeated(df.select(*(F.col(f"`{c}`") for c in cols)), cols).groupBy(*(F.col(f"`{c}`") for c in cols)).agg(F.count(F.lit(1)).alias("copies"))
             .where(F.col("copies") > 1))
 
 

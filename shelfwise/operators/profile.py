@@ -18,6 +18,7 @@ from shelfwise.config import (FEATURE_GROUP_PREFIXES, FEATURE_GROUP_WORDS, IMAGE
 from shelfwise.functions import text as TX
 from shelfwise.operators.common import cols_or_all, r6, with_one_row
 from shelfwise.operators.gramian import pair_correlations
+from shelfwise.operators.repeats import maybe_repeated
 from shelfwise.operators.quantiles import (INTERPOLATIONS, brackets, exact_quantiles, is_integral, number, quantiles_of,
                                            sketch_aggregates, value_type)
 
@@ -304,20 +305,15 @@ def duplicate_rows(df: DataFrame, col: str) -> DataFrame:
     """Every row whose ``col`` value occurs more than once (all copies kept;
     nulls form one group).
 
-    Counting combines before the shuffle, so a hot value is one row per task.
-    Text is counted by an 8-byte hash; only rows of repeated hashes are then
-    grouped on the whole value (a collision cannot make a false duplicate).  The
-    semi-joins are left to the planner, which can split skewed partitions.
+    A bitmap of repeated hashes drops nearly all single rows before anything but
+    8-byte hashes is shuffled (``repeats``); the rest is counted by the whole value, so
+    a collision cannot make a false duplicate.  Counting combines before the shuffle, so
+    a hot value is one row per task; the semi-join is left to the planner, which can
+    split skewed partitions.
     """
-    def repeated(frame: DataFrame, key) -> DataFrame:
-        return (frame.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1).select("_key"))
-
-    if dict(df.dtypes).get(col) != "string":
-        return df.join(repeated(df, F.col(col)), F.col(col).eqNullSafe(F.col("_key")), "left_semi")
-    digest = F.xxhash64(F.col(col))
-    cand = df.join(repeated(df, digest), digest == F.col("_key"), "left_semi")
-    return cand.join(repeated(cand, F.col(col)), F.col(col).eqNullSafe(F.col("_key")), "left_semi")
+    left = maybe_repeated(df, [col])
+    repeated = (left.groupBy(F.col(col).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_key"))
+    return left.join(repeated, F.col(col).eqNullSafe(F.col("_key")), "left_semi")
 
 
 # --- stage comparison (D19) ---------------------------------------------------------

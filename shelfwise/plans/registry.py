@@ -22,6 +22,7 @@ from shelfwise.operators import clean as C
 from shelfwise.operators import features as FE
 from shelfwise.operators import profile as P
 from shelfwise.operators import quality as Q
+from shelfwise.operators import sketches as SK
 from shelfwise.operators.common import staged as stage_table
 from shelfwise.plans import etl as E
 from shelfwise.plans import sqltext as S
@@ -633,6 +634,29 @@ def q_histogram_words(spark, sf):
     return P.histogram(d, "title_word_count", TITLE_WORD_BINS)
 
 
+MERGED_COLS = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+@register("merged_profile", _union([f"""SELECT '{c}' AS column, count({c}) AS count, count_if({c} IS NULL) AS nulls, TRUE AS distinct_near,
+  {f"CAST(CAST(min({c}) AS DOUBLE) AS VARCHAR)" if c != "o_orderpriority" else f"min({c})"} AS min,
+  {f"round(avg({c}), 4)" if c != "o_orderpriority" else "CAST(NULL AS DOUBLE)"} AS mean,
+  {f"round(stddev_samp({c}), 4)" if c != "o_orderpriority" else "CAST(NULL AS DOUBLE)"} AS std
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_totalprice, o_orderpriority FROM orders)""" for c in MERGED_COLS]))
+def q_merged_profile(spark, sf):
+    """Profile of a table from the stored states of its four parts; the distinct counts
+    of the sketches are held against exact ones."""
+    orders = t(spark, sf, "orders").select("o_orderkey", F.expr("CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END").alias("o_custkey"),
+                                           "o_totalprice", "o_orderpriority")
+    path = staging_path(spark, f"states-{uuid.uuid4().hex}")
+    for i in range(4):
+        SK.profile_states(orders.where(F.col("o_orderkey") % 4 == i), f"part{i}").write.mode("append").parquet(path)
+    merged = SK.merged_profile(spark.read.schema(SK.STATE).parquet(path))
+    exact = P.distinct_counts(orders).select(F.col("column").alias("_c"), F.col("distinct").alias("_exact"))
+    near = F.abs(F.col("distinct") - F.col("_exact")) <= 0.05 * F.col("_exact")
+    return (merged.join(exact, F.col("column") == F.col("_c"))
+            .select("column", "count", "nulls", near.alias("distinct_near"), "min", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std")))
+
+
 @register("duplicate_rows_title", """SELECT doc_id, lang FROM documents
 WHERE text IN (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""")
 def q_duplicate_rows_title(spark, sf):
