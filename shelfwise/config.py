@@ -53,7 +53,8 @@ FEATURE_GROUP_PREFIXES = {"category": "category_"}
 # -----------------------------------------------------------------------------
 
 #: More categories than this are encoded as one sparse map column.
-WIDE_ONE_HOT = 500
+ONE_HOT_FORMS = ("columns", "map")
+ONE_HOT_COLUMNS = 500
 
 
 @dataclass(frozen=True)
@@ -97,7 +98,10 @@ class PipelineConfig:
     quarantine_path: str | None = None
     id_prefix: str = "book_"
     id_hex_len: int = 32
-    wide_one_hot: int = WIDE_ONE_HOT
+    # one column per category, or one map column; more categories than one_hot_columns
+    # are an error in the first form
+    one_hot_form: str = "columns"
+    one_hot_columns: int = ONE_HOT_COLUMNS
     one_hot_vocabulary: tuple[str, ...] | None = None
 
     def __post_init__(self):
@@ -109,8 +113,10 @@ class PipelineConfig:
             raise ValueError("bad_rows='quarantine' needs quarantine_path")
         if not 1 <= self.id_hex_len <= 32:
             raise ValueError("id_hex_len must be in 1..32")
-        if self.wide_one_hot < 1:
-            raise ValueError("wide_one_hot must be positive")
+        if self.one_hot_form not in ONE_HOT_FORMS:
+            raise ValueError(f"one_hot_form must be one of {ONE_HOT_FORMS}")
+        if self.one_hot_columns < 1:
+            raise ValueError("one_hot_columns must be positive")
 
     @staticmethod
     def from_dict(d: dict) -> "PipelineConfig":

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.config import (IQR_FACTOR, WIDE_ONE_HOT, POPULARITY_RATING_WEIGHT, POPULARITY_STOCK_WEIGHT, RATING_LABELS,
+from shelfwise.config import (IQR_FACTOR, ONE_HOT_COLUMNS, ONE_HOT_FORMS, POPULARITY_RATING_WEIGHT, POPULARITY_STOCK_WEIGHT, RATING_LABELS,
                               RATING_SCALE, Bands)
 from shelfwise.functions import bands as B
 from shelfwise.functions import text as TX
@@ -54,13 +54,14 @@ def add_popularity_score(df: DataFrame, rating: str = "rating", stock: str = "st
     return with_one_row(df, mx).withColumn(out, score).drop("_max_stock")
 
 
-def category_vocabulary(df: DataFrame, col: str = "category", most: int = WIDE_ONE_HOT) -> list[str] | None:
-    """Sorted distinct non-null values, or None when there are more than
-    ``most``: then the encoding is sparse and needs no vocabulary on the
-    driver.  At most ``most + 1`` values are read."""
+def category_vocabulary(df: DataFrame, col: str = "category", most: int = ONE_HOT_COLUMNS) -> list[str]:
+    """Sorted distinct non-null values; at most ``most + 1`` of them are read, and more
+    than ``most`` are an error, for they would become as many columns."""
     vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
             .orderBy(col).limit(most + 1).collect()]
-    return None if len(vals) > most else vals
+    if len(vals) > most:
+        raise VocabularyError(f"more than {most} values in {col}: take form='map', or raise the limit")
+    return vals
 
 
 def one_hot_names(vocabulary: Sequence[str], prefix: str = "category_") -> list[str]:
@@ -74,21 +75,23 @@ def one_hot_names(vocabulary: Sequence[str], prefix: str = "category_") -> list[
 
 
 def add_one_hot(df: DataFrame, col: str = "category", vocabulary: Sequence[str] | None = None,
-                prefix: str = "category_", most: int = WIDE_ONE_HOT) -> DataFrame:
-    """One 0/1 int column per vocabulary value, in sorted order; null -> all 0.
-
-    Beyond ``most`` values a table of columns is no use: the encoding is then
-    one map column ``<prefix>one_hot`` with the single entry {column name: 1}
-    (empty for null), whatever the number of categories.
+                prefix: str = "category_", form: str = "columns", most: int = ONE_HOT_COLUMNS) -> DataFrame:
+    """``form="columns"``: one 0/1 int column per vocabulary value, in sorted order;
+    null -> all 0.  ``form="map"``: one map column ``<prefix>one_hot`` with the single
+    entry {column name: 1} (empty for null, or outside a given vocabulary), whatever
+    the number of categories.  The form is the caller's; the data never change it.
     """
-    vocab = list(vocabulary) if vocabulary is not None else category_vocabulary(df, col, most)
-    if vocab is None:
+    if form not in ONE_HOT_FORMS:
+        raise ValueError(f"form must be one of {ONE_HOT_FORMS}")
+    if form == "map":
         name = F.concat(F.lit(prefix), TX.column_slug_of(col))
-        clash = df.where(F.col(col).isNotNull()).groupBy(name.alias("n")).agg(F.min(col).alias("a"), F.max(col).alias("b")).where("a <> b").first()
+        held = F.col(col).isNotNull() if vocabulary is None else F.col(col).isin(*vocabulary)
+        clash = df.where(held).groupBy(name.alias("n")).agg(F.min(col).alias("a"), F.max(col).alias("b")).where("a <> b").first()
         if clash is not None:
             raise VocabularyError(f"values {clash['a']!r} and {clash['b']!r} give the same column {clash['n']}")
-        entry = F.when(F.col(col).isNotNull(), F.create_map(name, F.lit(1))).otherwise(F.create_map().cast("map<string,int>"))
+        entry = F.when(held, F.create_map(name, F.lit(1))).otherwise(F.create_map().cast("map<string,int>"))
         return df.select("*", entry.alias(f"{prefix}one_hot"))
+    vocab = list(vocabulary) if vocabulary is not None else category_vocabulary(df, col, most)
     names = one_hot_names(vocab, prefix)
     c = F.col(col)
     return df.select("*", *[F.coalesce((c == F.lit(v)).cast("int"), F.lit(0)).alias(n)

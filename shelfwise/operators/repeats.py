@@ -15,34 +15,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLOTS = 1 << 27
+SLOTS = 1 << 27         # a power of two
+_BITS = 15              # a bucket of the bitmap functions has 2^15 bits
 
 
-def _hash(cols: Sequence[str]) -> Column:
-    return F.xxhash64(*(F.col(f"`{c}`") for c in cols))
-
-
-def _slot(digest: Column) -> Column:
-    """1 to ``SLOTS``, as the bitmap functions count."""
-    return F.pmod(digest, F.lit(SLOTS)) + 1
+def _slot(cols: Sequence[str]) -> Column:
+    """0 to SLOTS - 1.  Written without nullable steps: a join key that could be null
+    would be tested once more, with all that the compared columns are made of."""
+    return F.xxhash64(*(F.col(f"`{c}`") for c in cols)).bitwiseAND(F.lit(SLOTS - 1))
 
 
 def repeated_slots(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(bucket, bits) of the hashes that occur more than once: at most SLOTS / 32,768
     rows of 4 KiB."""
-    twice = df.groupBy(_hash(cols).alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    slot = _slot(F.col("_h"))
-    return (twice.groupBy(F.bitmap_bucket_number(slot).alias("_bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("_bits")))
+    twice = (df.groupBy(F.xxhash64(*(F.col(f"`{c}`") for c in cols)).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > 1).select(F.col("_h").bitwiseAND(F.lit(SLOTS - 1)).alias("_slot")))
+    return (twice.groupBy(F.shiftright("_slot", _BITS).alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.col("_slot").bitwiseAND(F.lit((1 << _BITS) - 1))).alias("_bits")))
 
 
 def maybe_repeated(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``df`` without rows that have no partner for sure; ``cols`` (all by default) are
     compared, a null being equal to a null."""
     cols = list(cols or df.columns)
-    slot = _slot(_hash(cols))
-    probed = df.withColumn("_at", F.bitmap_bit_position(slot)).withColumn("_in", F.bitmap_bucket_number(slot))
-    met = probed.join(F.broadcast(repeated_slots(df, cols)), F.col("_in") == F.col("_bucket"))
-    byte = F.conv(F.hex(F.substring("_bits", (F.col("_at") / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    probed = df.withColumn("_slot", _slot(cols))
+    met = probed.join(F.broadcast(repeated_slots(df, cols)), F.shiftright("_slot", _BITS) == F.col("_bucket"))
+    at = F.col("_slot").bitwiseAND(F.lit((1 << _BITS) - 1))
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3).cast("int") + 1, 1)), 16, 10).cast("int")
     # a power of two stands for the bit; the lowest bit comes first
-    return met.where(byte.bitwiseAND(F.pow(F.lit(2), F.col("_at") % 8).cast("int")) != 0).select(*(F.col(f"`{c}`") for c in df.columns))
+    return met.where(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0).select(*(F.col(f"`{c}`") for c in df.columns))

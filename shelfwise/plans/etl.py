@@ -137,7 +137,7 @@ def feature_plan(processed: DataFrame, config: PipelineConfig,
     base = list(PROCESSED_COLUMNS) + list(FEATURE_COLUMNS)
     df = df.select(*base)
     vocab = vocabulary if vocabulary is not None else config.one_hot_vocabulary
-    return FE.add_one_hot(df, "category", vocab, most=config.wide_one_hot)
+    return FE.add_one_hot(df, "category", vocab, form=config.one_hot_form, most=config.one_hot_columns)
 
 
 def run_features(processed: DataFrame, config: PipelineConfig,

@@ -735,8 +735,9 @@ def q_table_profile(spark, sf):
 UNION ALL SELECT 'processed', count(*), CAST(10 AS BIGINT) FROM proc
 UNION ALL SELECT 'features', count(*), CAST({20 + len(CAT_VOCAB)} AS BIGINT) FROM feat""")
 def q_stage_comparison(spark, sf):
-    return P.stage_comparison([("raw", catalogue(spark, sf)), ("processed", processed(spark, sf)),
-                               ("features", features(spark, sf))])
+    raw, _ = stage_table(catalogue(spark, sf), "raw")       # the join runs once
+    proc = E.cleaning_plan(raw, CFG, KEY, with_id=False)
+    return P.stage_comparison([("raw", raw), ("processed", proc), ("features", E.feature_plan(proc, CFG))])
 
 
 # =================================================================================
@@ -1039,10 +1040,10 @@ def q_full_etl(spark, sf):
   (SELECT count(*) FROM proc) AS processed_records,
   CAST({10 + len(CAT_VOCAB)} AS BIGINT) AS features_created FROM cat""")
 def q_run_stats(spark, sf):
-    raw = catalogue(spark, sf)
+    raw, _ = stage_table(catalogue(spark, sf), "raw")       # the join runs once
     # row and column counts do not depend on the id values
-    proc = processed(spark, sf, with_id=False)
-    return E.stats_frame(raw, proc, features(spark, sf, with_id=False), CFG)
+    proc = E.cleaning_plan(raw, CFG, KEY, with_id=False)
+    return E.stats_frame(raw, proc, E.feature_plan(proc, CFG), CFG)
 
 
 # =================================================================================

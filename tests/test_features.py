@@ -50,16 +50,28 @@ def test_one_hot(spark):
         FE.add_one_hot(clash)
 
 
-def test_one_hot_of_many_categories_is_sparse(spark):
+def test_one_hot_as_a_map_holds_any_number_of_categories(spark):
     many = spark.range(5000).select(F.concat(F.lit("Kind "), F.col("id").cast("string")).alias("category"))
-    out = FE.add_one_hot(many.unionByName(spark.createDataFrame([(None,)], "category string")))
+    out = FE.add_one_hot(many.unionByName(spark.createDataFrame([(None,)], "category string")), form="map")
     assert out.columns == ["category", "category_one_hot"]
     got = dict(rows(out))
     assert len(got) == 5001 and got["Kind 42"] == {"category_kind_42": 1} and got[None] == {}
     assert FE.one_hot_sums(out).count() == 5000
     clash = many.unionByName(spark.createDataFrame([("kind 3",)], "category string"))
     with pytest.raises(FE.VocabularyError):
-        FE.add_one_hot(clash)
+        FE.add_one_hot(clash, form="map")
+
+
+def test_the_data_never_change_the_form_of_one_hot(spark):
+    values = lambda n: spark.range(n).select(F.concat(F.lit("v"), F.col("id")).alias("category"))
+    assert len(FE.add_one_hot(values(500)).columns) == 501
+    with pytest.raises(FE.VocabularyError, match="form='map'"):
+        FE.add_one_hot(values(501))
+    assert FE.add_one_hot(values(3), form="map").columns == FE.add_one_hot(values(501), form="map").columns
+    few = FE.add_one_hot(values(3), vocabulary=["v1"], form="map")
+    assert dict(rows(few)) == {"v0": {}, "v1": {"category_v1": 1}, "v2": {}}
+    with pytest.raises(ValueError):
+        FE.add_one_hot(values(3), form="rows")
 
 
 FEAT_ROWS = [(10, 5, "a"), (11, 6, "b"), (12, 7, "a"), (13, 8, "b"), (14, 9, "a"), (1000, 10, "b")]
