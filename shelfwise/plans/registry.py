@@ -243,8 +243,8 @@ def q_title_features(spark, sf):
 
 
 @register("title_pattern_counts", f"""SELECT
-  count_if(regexp_matches(text, {S.q(TX.DIGIT_RE)})) AS with_numbers,
-  count_if(regexp_matches(text, {S.q(TX.SPECIAL_RE)})) AS with_special,
+  count_if(regexp_matches(text, '[0-9]')) AS with_numbers,
+  count_if(regexp_replace(text, '[\\p{{L}}\\p{{M}}\\p{{N}}_ \\r\\n\\t\\f\\v]', '', 'g') <> '') AS with_special,
   count_if(starts_with(text, 'The ')) AS starts_with_the,
   count_if(contains(text, ':')) AS with_colon,
   count_if(contains(text, '(')) AS with_paren
@@ -355,7 +355,7 @@ B64_IMAGE = "CASE WHEN doc_id % 2 = 0 THEN text ELSE 'http://img.example.com/' |
 
 @register("base64_passthrough", f"""SELECT doc_id,
   CASE WHEN length(b64) > {BASE64_MIN_LENGTH} THEN b64
-       WHEN length(image) > {BASE64_MIN_LENGTH} AND regexp_matches(image, {S.q(X.BASE64_TEXT_RE)}) THEN image
+       WHEN length(image) > 200 AND regexp_matches(image, '^[A-Za-z0-9+/=]+$') THEN image
        ELSE '' END AS image_base64
 FROM (SELECT doc_id, {B64_IMAGE} AS image,
              CASE WHEN doc_id % 3 = 0 THEN to_base64(encode(text)) ELSE '' END AS b64 FROM documents)""")
@@ -494,7 +494,7 @@ NUM_COLS = ("l_extendedprice", "l_quantity", "l_discount")
   round(avg({c}), 6) AS mean, round(quantile_cont({c}, 0.5), 6) AS median, round(stddev_samp({c}), 6) AS std
 FROM lineitem""" for c in NUM_COLS]))
 def q_numeric_summary(spark, sf):
-    return P.numeric_summary(TB.spread(t(spark, sf, "lineitem").select(*NUM_COLS)), list(NUM_COLS))
+    return P.numeric_summary(t(spark, sf, "lineitem"), list(NUM_COLS))
 
 
 DESC_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -506,7 +506,7 @@ DESC_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
   round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
   round(quantile_cont({c}, 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem""" for c in DESC_COLS]))
 def q_describe(spark, sf):
-    return P.describe(TB.spread(t(spark, sf, "lineitem").select(*DESC_COLS)), list(DESC_COLS))
+    return P.describe(t(spark, sf, "lineitem"), list(DESC_COLS))
 
 
 # longs that no double tells apart from their neighbours
@@ -823,6 +823,38 @@ def q_canonical_url(spark, sf):
     return U.with_resolved_url(p, "url", "href", "resolved", canonical=True).select("page_id", "href", "resolved")
 
 
+# Texts and what they must become, written out; {k} is the part's key.  One row a case:
+# slug in, out; price in, out; availability in, flag, stock; link in, resolved link.
+LITERALS = (
+    ("  Hello,  World {k}! ", "hello-world-{k}", "R$ {k},99", "{k}.99", "In stock ({k} available)", "TRUE", "{k}", "x{k}.html", "http://h.example.com/a/b/x{k}.html"),
+    ("A--B__C {k}", "a-b__c-{k}", "1.234,5", "1234.5", "Out of stock", "FALSE", None, "../{k}", "http://h.example.com/a/{k}"),
+    ("{k}", "{k}", "12.50", "12.5", "in STOCK", "TRUE", None, "/r/../s/./{k}#z", "http://h.example.com/s/{k}"),
+    ("", "unknown", "free", None, "{k} left", "FALSE", "{k}", "https://o.example.org/{k}", "https://o.example.org/{k}"),
+    ("!!{k}!!", "{k}", "1,234.56", "1234.56", "", "FALSE", None, "?p={k}", "http://h.example.com/a/b/c.html?p={k}"),
+    ("\u00dcn\u00ef c\u00f6d\u00e9 {k}", "\u00fcn\u00ef-c\u00f6d\u00e9-{k}", "-{k}", "-{k}", "Only (7 available)", "TRUE", "7", "//n.example.org/{k}", "http://n.example.org/{k}"),
+)
+
+
+def _literal(column: int, kind: str | None = None) -> str:
+    """SQL of a column of LITERALS, by the part's key."""
+    def value(text):
+        return "NULL" if text is None else S.q(text).replace("{k}", "' || p_partkey || '")
+    cases = " ".join(f"WHEN {i} THEN {value(row[column])}" for i, row in enumerate(LITERALS))
+    text = f"CASE p_partkey % {len(LITERALS)} {cases} END"
+    return f"CAST({text} AS {kind})" if kind else text
+
+
+@register("text_literals", f"""SELECT p_partkey, {_literal(1)} AS slug, {_literal(3, "DOUBLE")} AS price, {_literal(5, "BOOLEAN")} AS in_stock,
+  {_literal(6, "BIGINT")} AS stock, {_literal(8)} AS link, 'a9993e364706816aba3e25717850c26c9cd0d89d' AS sha1_of_abc FROM part""")
+def q_text_literals(spark, sf):
+    p = t(spark, sf, "part").select("p_partkey", *(F.expr(_literal(i)).alias(n) for i, n in ((0, "_slug"), (2, "_price"), (4, "_stock"), (7, "_href"))),
+                                    F.lit("http://h.example.com/a/b/c.html?q=1#f").alias("_base"))
+    found = p.select("p_partkey", "_base", "_href", TX.slug("_slug").alias("slug"), TX.parse_price_locale("_price").alias("price"),
+                     TX.parse_availability(F.col("_stock")).alias("_a"), U.url_sha1(F.lit("abc")).alias("sha1_of_abc"))
+    return (U.with_resolved_url(found, "_base", "_href", "link", canonical=True)
+            .select("p_partkey", "slug", "price", F.col("_a.in_stock").alias("in_stock"), F.col("_a.stock").alias("stock"), "link", "sha1_of_abc"))
+
+
 # =================================================================================
 # 2.A / 2.C  sources, extraction, joins
 # =================================================================================
