@@ -1,8 +1,12 @@
 """Sharding by a two-pass external shuffle.
 
-Pass 1 scatters the rows by seeded hashes into buckets that fit in memory.
-Pass 2 lays the rows of a bucket out in a fixed order and Fisher-Yates shuffles
-them (Spark's seeded ``shuffle`` of an array draws one swap per position).  The
+Pass 1 scatters the rows by seeded hashes into buckets that fit in memory: as many
+as the rows and their bytes ask for.  Pass 2 lays the rows of a bucket out in a fixed
+order and Fisher-Yates shuffles them (Spark's seeded ``shuffle`` of an array draws one
+swap per position, from the seed, the number of the task's partition and the arrays
+before it there).  Buckets are therefore dealt to partitions whose number follows the
+buckets and not the session, and stand in order within them: the permutation depends
+on rows and seed alone, not on shuffle partitions or adaptive execution.  The
 buckets one after another are a random permutation of the table; position p
 goes to shard ``p mod shards``, slot ``p div shards``, so shard sizes differ by
 one row at most (law ``rows``).
@@ -27,6 +31,12 @@ SHARDS = 40
 SEED = 20240607
 #: Rows of one bucket on average: what a task holds at once.
 BUCKET_ROWS = 4096
+#: Bytes of one bucket on average, where rows are long.
+BUCKET_BYTES = 64 << 20
+#: Partitions that the buckets are dealt to, if there are as many.
+PARTITIONS = 8192
+#: Slots of one shard that a task writes together.
+PIECE_ROWS = 1 << 16
 COPY_CHUNK = 100_000
 
 
@@ -39,18 +49,20 @@ def one_row_per_copy(rows: DataFrame) -> DataFrame:
             .drop("__most", "__chunk", "__first"))
 
 
-def shuffle_rows(rows: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def shuffle_rows(rows: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS,
+                 bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``rows`` with ``__position``, their place in a seeded random permutation
     of the whole table, gapless from 0.  The result is a staged table."""
     columns = rows.columns
     copies = one_row_per_copy(rows)
-    n = rows.count()
-    buckets = max(1, -(-n // bucket_rows))
+    long = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in rows.dtypes if t in ("string", "binary")]
+    n, held = rows.agg(F.count("*"), F.coalesce(F.sum(sum(long, F.lit(0)).cast("long") + 8 * len(columns)), F.lit(0))).first()
+    buckets = max(1, -(-n // bucket_rows), -(-held // bucket_bytes))
     # pass 1: scatter
     bucket = F.pmod(F.xxhash64(F.lit(seed), *columns, "__copy"), F.lit(buckets)).cast("long")
     scattered = copies.withColumn("__bucket", bucket)
     # pass 2: a fixed order inside the bucket, then Fisher-Yates
-    gathered = (scattered.groupBy("__bucket")
+    gathered = (scattered.repartition(min(buckets, PARTITIONS), "__bucket").groupBy("__bucket")
                 .agg(F.array_sort(F.collect_list(F.struct(F.xxhash64(F.lit(seed + 1), *columns, "__copy").alias("__h"),
                                                           "__copy", *columns))).alias("__rows"))
                 .sortWithinPartitions("__bucket"))
@@ -81,10 +93,12 @@ def assign_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, bucke
 
 
 def write_shards(rows: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> None:
-    """Write the shuffled rows, whole, one folder per shard and in slot order
-    within a file."""
-    (assign_shards(rows, shards, seed, bucket_rows).repartition(shards, "shard")
-     .sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+    """Write the shuffled rows, whole, one folder per shard and in slot order within a
+    file.  A shard is written in pieces of ``PIECE_ROWS`` slots, so there are as many
+    tasks as pieces and not only as shards."""
+    placed = assign_shards(rows, shards, seed, bucket_rows).withColumn("__piece", F.floor(F.col("slot") / PIECE_ROWS))
+    (placed.repartition("shard", "__piece").sortWithinPartitions("shard", "slot").drop("__piece")
+     .write.partitionBy("shard").parquet(path))
 
 
 def op9_sharding(documents: DataFrame, shards: int = SHARDS) -> DataFrame:

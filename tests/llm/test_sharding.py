@@ -39,6 +39,33 @@ def test_reruns_agree_and_seed_matters(spark):
     assert a == b != c
 
 
+def test_the_permutation_does_not_depend_on_the_session(spark):
+    """Other numbers of shuffle partitions, adaptive execution on and off, other splits of the input."""
+    rows = spark.range(3000).toDF("doc_id")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    seen = set()
+    try:
+        for partitions, adaptive, split in ((3, "true", 2), (7, "true", 5), (7, "false", 1), (3, "false", 9)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            seen.add(tuple(sorted(map(tuple, SH.assign_shards(rows.repartition(split), 7, bucket_rows=100).collect()))))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(seen) == 1
+
+
+def test_long_rows_make_more_buckets(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id AS doc_id", "repeat('x', 1000) AS text")
+    sizes = []
+    real = SH._offsets
+    monkeypatch.setattr(SH, "_offsets", lambda s: (sizes.append(s.count()), real(s))[1])
+    for most in (1 << 30, 20_000):
+        got = SH.shuffle_rows(docs, bucket_rows=1000, bucket_bytes=most)
+        assert sorted(r["__position"] for r in got.collect()) == list(range(300))
+    assert sizes[0] == 1 and sizes[1] >= 14
+
+
 def test_positions_look_uniform(spark):
     """Mean rank correlation between id and position is near zero."""
     import numpy as np
