@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import toxicity as tox
 from shelfwise.llm.bpe_codec import op6_byte_bpe
-from shelfwise.llm.common import read_table, stage
+from shelfwise.llm.common import read_table, stage, unstage
 from shelfwise.llm.jaccard_join import one_per_group
 from shelfwise.llm.mixing import mix_documents
 from shelfwise.llm.secret_ledger import redact_documents
@@ -62,6 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        unstage(before)     # the next corpus is written: nothing reads this one any more
     return STAGES[-1][1](spark, docs, sf_dir)
 
