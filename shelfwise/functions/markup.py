@@ -175,9 +175,14 @@ def content(tokens_: Column, element: Column) -> Column:
     return F.slice(tokens_, element["at"] + 2, F.greatest(element["end"] - element["at"] - 1, F.lit(0)))
 
 
+def text_of(texts: Column, separator: str = "") -> Column:
+    """Text tokens among ``texts``, decoded, each without outer blanks, joined."""
+    return clean_text(decode_entities(raw_text(texts)), separator)
+
+
 def text(tokens_: Column, element: Column, separator: str = "") -> Column:
     """Text of an element, without scripts, styles and comments; null for no element."""
-    return clean_text(decode_entities(raw_text(content(tokens_, element))), separator)
+    return text_of(content(tokens_, element), separator)
 
 
 def decoded(**fields: Column) -> Column:

@@ -5,7 +5,7 @@ from urllib.parse import urldefrag, urljoin
 
 from pyspark.sql import functions as F
 
-from shelfwise.functions import html as H
+from shelfwise.functions import markup as M
 from shelfwise.functions import text as TX
 from shelfwise.functions import urls as U
 
@@ -86,8 +86,9 @@ def test_canonical_url_matches_urljoin(spark):
 
 
 def test_node_text(spark):
-    assert one_col(spark, ["  <b>Tom &amp; Jerry</b> &lt;3 ", "<p>a<br>b</p>", "&amp;lt;"], H.node_text) == \
-        ["Tom & Jerry <3", "ab", "&lt;"]
+    """Each text without outer blanks, joined without a separator; scripts and comments apart."""
+    texts = ["  <b>Tom &amp; Jerry</b> &lt;3 ", "<p>a<br>b</p>", "&amp;lt;", "x<!-- no --><script>no</script> y", " ", ""]
+    assert one_col(spark, texts, lambda x: M.text_of(M.tokens(x))) == ["Tom & Jerry<3", "ab", "&lt;", "xy", "", ""]
 
 
 def test_with_resolved_url_equals_expression(spark):
