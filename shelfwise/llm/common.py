@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -71,6 +72,22 @@ def _released_shuffles(spark: SparkSession):
             spark.conf.set(_CLEANUP, before)
 
 
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``df`` and its whole rows as one struct ``row``: whatever their
+    columns are called, they meet no inner name.  ``select("row.*")`` gives them back."""
+    every = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    return df.select(*columns, F.struct(*every).alias("row"))
+
+
+def map_batches(df: DataFrame, run: Callable, keep: int | None = None) -> DataFrame:
+    """``mapInArrow`` of a function that returns the first ``keep`` (all) columns of
+    ``df`` in their order.  Inside, columns go by number, so a name may hold anything."""
+    fields = df.schema.fields
+    numbered = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
+    kept = fields[:keep]
+    return df.toDF(*numbered.names).mapInArrow(run, T.StructType(numbered.fields[:len(kept)])).toDF(*(f.name for f in kept))
+
+
 class Shared:
     """A broadcast object of this package, rebuilt once per task: pickled by
     value, so executors need no copy of the package."""

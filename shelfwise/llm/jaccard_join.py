@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import arrow_schema, map_rows, mix64, stage, unstage, window_hashes, word_hashes
+from shelfwise.llm.common import arrow_schema, map_rows, mix64, packed, stage, unstage, window_hashes, word_hashes
 from shelfwise.llm.graph import components
 
 WIDTH = 5
@@ -281,13 +281,13 @@ def one_per_group(documents: DataFrame, width: int = WIDTH, num: int = NUMERATOR
     """One row of each group: of its smallest doc_id, or without any of its first
     text by hash.  A text without shingles is a group of its own, and rows of it
     without doc_id all stay."""
-    linked = link_documents(documents, width, num, den)
+    linked = link_documents(documents.select("doc_id", "text"), width, num, den)
     blank = F.col("node") == F.lit(EMPTY)
     groups = linked.groupBy("root", F.when(blank, F.col("doc_id")).alias("i"), F.when(blank, F.col("text_key")).alias("t"))
     first = groups.agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", blank.alias("blank"))).alias("f"))
-    kept = first.select(F.col("f.doc_id").alias("__id"), F.col("f.text_key").alias("__key"), (F.col("f.none") & F.col("f.blank")).alias("__all"))
-    rows = documents.withColumn("__text", F.xxhash64("text"))
-    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__text"] == kept["__key"]))
-    rows = rows.withColumn("__own", F.when(F.col("__all"), F.monotonically_increasing_id()))
-    same = Window.partitionBy("doc_id", "__text", "__own").orderBy(F.xxhash64("text"))
-    return rows.withColumn("__row", F.row_number().over(same)).where("__row = 1").select(*documents.columns)
+    kept = first.select(F.col("f.doc_id").alias("id"), F.col("f.text_key").alias("key"), (F.col("f.none") & F.col("f.blank")).alias("every"))
+    rows = packed(documents, "doc_id", "text").withColumn("hash", F.xxhash64("text"))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["id"]) & (rows["hash"] == kept["key"]))
+    rows = rows.withColumn("own", F.when(F.col("every"), F.monotonically_increasing_id()))
+    same = Window.partitionBy("doc_id", "hash", "own").orderBy(F.xxhash64("text"))
+    return rows.withColumn("place", F.row_number().over(same)).where("place = 1").select("row.*")

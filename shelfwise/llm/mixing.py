@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stage
+from shelfwise.llm.common import packed, stage
 from shelfwise.llm.sharding import one_row_per_copy
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -156,15 +156,14 @@ def mix(sized: DataFrame, weights=WEIGHTS, most: float = MAX_COPIES, seed: int =
 
 def mix_documents(documents: DataFrame, weights=WEIGHTS, most: float = MAX_COPIES, seed: int = SEED) -> DataFrame:
     """The mix itself: every document as many times as it is taken."""
-    columns = documents.columns
-    numbered = Window.partitionBy("doc_id", "source", "__size").orderBy("text")
-    sized = (documents.withColumn("__size", F.regexp_count("text", F.lit(WORD))).withColumn("__size", F.coalesce("__size", F.lit(0)).cast("long")))
-    copies = mix(sized.select("doc_id", "source", F.col("__size").alias("size")), weights, most, seed).where("copies > 0").select(
-        F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("copy").alias("__c"), "copies")
-    rows = sized.withColumn("__copy", (F.row_number().over(numbered) - 1).cast("long"))
-    same = (F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z"))
-            & (F.col("__copy") == F.col("__c")))
-    return rows.join(copies, same).withColumn("__n", F.explode(F.expr("sequence(1, copies)"))).select(*columns)
+    rows = packed(documents, "doc_id", "source", "text").withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    copies = mix(rows.select("doc_id", "source", "size"), weights, most, seed).where("copies > 0").select(
+        F.col("doc_id").alias("d"), F.col("source").alias("s"), F.col("size").alias("z"), F.col("copy").alias("c"), "copies")
+    numbered = Window.partitionBy("doc_id", "source", "size").orderBy("text")
+    placed = rows.withColumn("place", (F.row_number().over(numbered) - 1).cast("long"))
+    same = (F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))
+            & (F.col("place") == F.col("c")))
+    return placed.join(copies, same).select("row", F.explode(F.expr("sequence(1, copies)"))).select("row.*")
 
 
 def op5_source_mix(documents: DataFrame) -> DataFrame:

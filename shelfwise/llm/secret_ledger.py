@@ -17,10 +17,11 @@ import hashlib
 import re
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import map_rows, stage
+from shelfwise.llm.common import map_batches, map_rows, packed, stage
 
 
 @dataclass(frozen=True)
@@ -160,16 +161,23 @@ def redact_documents(documents: DataFrame, rules=RULES) -> DataFrame:
     follows the new text.  Documents without findings pass unchanged: findings
     are joined by blob, and only rows that have some go through Python."""
     columns = documents.columns
-    found, _ = scan_documents(documents, rules=rules)
-    clean = found.where("__findings IS NULL").select(*columns)
-    kinds = "array<struct<kind:string,start:int,end:int>>"
-    dirty = found.where("__findings IS NOT NULL").select(*columns, F.col("__findings").cast("array<struct<start:int,rank:int,kind:string,end:int>>").alias("__findings"))
-    dirty = dirty.withColumn("__findings", F.expr(f"cast(transform(__findings, f -> named_struct('kind', f.kind, 'start', f.start, 'end', f.end)) AS {kinds})"))
-    at, last = columns.index("text"), len(columns)
-
-    def new_text(*row):
-        text = redact(row[at], row[last])
-        return tuple(text if i == at else len(text) if c == "n_chars" and text is not None else row[i] for i, c in enumerate(columns))
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return clean.unionByName(map_rows(dirty, new_text, ddl, 128))
+    found, _ = scan_documents(packed(documents, "text"), rules=rules)
+    clean = found.where("__findings IS NULL").select("row.*")
+    dirty = found.where("__findings IS NOT NULL").select("row.*", "__findings")
+    at = columns.index("text")
+    # a column of that name that holds no numbers is another column
+    length = columns.index("n_chars") if dict(documents.dtypes).get("n_chars") in ("int", "bigint") else None
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 128):
+                part = batch.slice(start, 128)
+                *kept, spans = part.columns
+                texts = [redact(t, f) for t, f in zip(kept[at].to_pylist(), spans.to_pylist(), strict=True)]
+                kept[at] = pa.array(texts, type=kept[at].type)
+                if length is not None:
+                    old = kept[length].to_pylist()
+                    kept[length] = pa.array([n if t is None else len(t) for n, t in zip(old, texts, strict=True)], type=kept[length].type)
+                yield pa.RecordBatch.from_arrays(kept, names=part.schema.names[:-1])
+
+    return clean.union(map_batches(dirty, run, len(columns)))

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Shared, map_rows, map_slices, stage, unstage
+from shelfwise.llm.common import Shared, map_batches, map_rows, map_slices, stage, unstage
 
 ORDER = 4
 SPAN = 7
@@ -506,7 +506,7 @@ def drop_toxic(documents: DataFrame, model: ToxicityModel | None, threshold: flo
                 part = batch.slice(start, 256)
                 yield part.filter(pa.array([s < threshold for s in shared.value.scores(part.column(at).to_pylist())], type=pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_batches(documents, run)
 
 
 def held_out():

@@ -69,13 +69,35 @@ def test_odd_rows_pass_every_stage(spark):
     assert {r["doc_id"] for r in docs.collect()} <= set(range(len(ODD)))
 
 
+def test_columns_of_any_name_and_type_pass_every_stage(spark):
+    """Names that the stages use inside, blanks, dots and quotes in names, nested and null values."""
+    names = ["copies", "copy", "size", "row", "place", "findings", "blob", "key", "node", "root", "hash", "own", "every", "id", "d", "s", "z", "c",
+             "__id", "__key", "__text", "__own", "__row", "__findings", "__blob", "__size", "__copy", "__n", "__d", "pending", "col", "n_chars"]
+    extra = ", ".join(f"concat('{n}', doc_id) AS `{n}`" for n in names)
+    docs = documents(spark, ODD).select("doc_id", "text", "lang", "source").selectExpr(
+        "*", extra.split(", concat")[0], *("concat" + x for x in extra.split(", concat")[1:]), "named_struct('a b', doc_id, 'x.y', null) AS `a b`",
+        "map('k', doc_id) AS `m.n`", "array(null, text) AS `t``u`", "cast(doc_id AS decimal(20,3)) AS dec", "timestamp_seconds(doc_id) AS at", "cast(null AS binary) AS bin")
+    before = {r["doc_id"]: r.asDict(True) for r in docs.collect()}
+    model = X.train_on_open_rows(sf_documents(spark), spark.read.parquet(f"{SF}/labels.parquet"))
+    for name, function in C.STAGES[:-1]:
+        out = (X.drop_toxic(docs, model) if name == "toxicity" else function(spark, docs, SF)).cache()
+        assert out.dtypes == docs.dtypes, name
+        got = [r.asDict(True) for r in out.collect()]
+        assert got or name == "toxicity"
+        for r in got:
+            changed = {"text"} if name in ("secrets", "mix") else set()
+            assert {k: v for k, v in r.items() if k not in changed} == {k: v for k, v in before[r["doc_id"]].items() if k not in changed}, name
+        docs = out
+    assert C.tokens(spark, docs, SF).count() == docs.count()
+
+
 def test_redacted_texts(spark):
     docs = spark.createDataFrame([(1, "token=abcdefgh end", "en", "s", 18, "b", "k", "n"), (2, None, "en", "s", None, "b", "k", "n")], DDL)
     got = by_id(S.redact_documents(docs))
     assert got[1]["text"] == "[assign] end" and got[1]["n_chars"] == 12 and got[2]["text"] is None
 
 
-@pytest.mark.parametrize("name", ["pipeline", *[f"op{n}_" for n in range(1, 11)]])
+@pytest.mark.parametrize("name", ["pipeline", *[f"op{n}_" for n in range(1, 14)]])
 def test_registered(name):
     import __spark_entry__ as E
 
