@@ -160,7 +160,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 # ---- word hashing -------------------------------------------------------------
-# Fixed odd multiplier and per-byte values of the polynomial word hash (mod 2^64).
+# Fixed odd multiplier and a number for each byte.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -223,11 +223,14 @@ def word_hashes(text: bytes) -> np.ndarray:
         starts, ends = word_bounds(data)
         if not len(starts):
             continue
-        up, down = _Tables.get(len(data) + 1)
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * up[:len(data)], out=sums[1:])
-        poly = (sums[ends] - sums[starts]) * down[starts]
-        out.append(mix64(poly + (ends - starts).astype(np.uint64) * _BASE))
+        lengths = ends - starts
+        firsts = np.cumsum(lengths) - lengths
+        inside = data[~_SPACE[data]]
+        place = np.arange(len(inside), dtype=np.int64) - np.repeat(firsts, lengths)
+        # one pseudo-random number for each byte at each place, added up: unlike a
+        # polynomial modulo 2^64, no structure of a long word cancels it
+        sums = np.add.reduceat(mix64(_BYTE[inside] + place.astype(np.uint64) * _BASE), firsts)
+        out.append(mix64(sums + lengths.astype(np.uint64) * _BASE))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 

@@ -173,3 +173,10 @@ def test_components_against_union_find(spark):
                     want[x] = start
                     todo += near[x]
     assert got == want
+
+
+def test_words_that_collide_as_polynomials_are_not_linked(spark):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    got = J.op3_jaccard_join(spark.createDataFrame([(1, word), (2, other), (3, word)], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {1: 1, 2: 2, 3: 1}

@@ -74,3 +74,22 @@ def test_a_rule_alone_does_not_decide(spark):
     rows = by_id(Q.quality(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
     names = [f"v_{r.name}" for r in Q.RULES]
     assert any(r["kept"] and 0 in [r[n] for n in names] for r in rows.values())
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_collide_as_polynomials_are_told_apart(spark):
+    """The Thue-Morse word and its complement: equal modulo 2^64 for any base."""
+    from shelfwise.llm.common import word_hashes
+
+    for n in (1024, 4096, 1 << 21):
+        word = thue_morse(n)
+        other = word.translate(str.maketrans("ab", "ba"))
+        assert len(set(word_hashes(f"{word} {other} {word}\n{other}x".encode()).tolist())) == 3
+    word = thue_morse(1024)
+    other = word.translate(str.maketrans("ab", "ba"))
+    text = " ".join([word] * 8 + [other] * 8)
+    got = Q.op1_quality_rules(spark.createDataFrame([(1, text), (2, " ".join([word, other] * 8))], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_repeat_words"] for r in got} == {1: 0, 2: 16}
