@@ -1,6 +1,7 @@
 """The tag tokeniser against the standard library's HTML parser."""
 
 import random
+import time
 from html import unescape
 from html.parser import HTMLParser
 
@@ -132,3 +133,20 @@ def test_last_of_repeated_attributes_and_bare_ones(spark):
     df = spark.createDataFrame([("<a href=x HREF='y' title hrefs=z data-title='q' class=\"a\tb\nc\">",)], "t string")
     row = df.select(M.attribute(F.col("t"), "href"), M.attribute(F.col("t"), "title"), M.attribute(F.col("t"), "rel"), M.classes(F.col("t"))).first()
     assert tuple(row) == ("y", "", None, ["a", "b", "c"])
+
+
+def test_steps_of_a_path_are_looked_up_once(spark):
+    """Each step within the one before: not again for every element of the next."""
+    n = 150
+    html = '<ul class="nav nav-list">' + '<ul><li><a href="x">y</a></li></ul>' * n + "</ul>" + "<ul><li><a>no</a></li></ul>" * n
+    df = spark.createDataFrame([(html,)], "html string").select(M.tokens("html").alias("t")).select("t", M.elements("t").alias("e"))
+    start = time.monotonic()
+    assert df.select(F.size(M.select(F.col("t"), F.col("e"), "ul.nav.nav-list ul li a"))).first()[0] == n
+    assert time.monotonic() - start < 30
+
+
+def test_all_classes_are_asked_for(spark):
+    tags = ['<ul class="nav-list nav">', '<ul class="nav">', '<ul class="nav-list">', '<ul id="nav nav-list">', '<ul class="nav navx-list" title="nav-list">', None]
+    df = spark.createDataFrame(list(enumerate(tags)), "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(M.has_classes(F.col("t"), "nav", "nav-list")).collect()]
+    assert got[:5] == [True, False, False, False, False] and not got[5]
