@@ -38,7 +38,9 @@ def test_one_row_group_of_many_splits_is_dealt_out(spark, one_row_group):
 def test_rows_of_a_task_stay_bounded(spark, one_row_group, monkeypatch):
     assert max(held(TB.spread(TB.table(spark, one_row_group, "part"), 100))) <= 100 + 50
     monkeypatch.setattr(TB, "PAGES_PER_TASK", 100)
-    assert TB.handwritten_pages(spark, one_row_group).rdd.getNumPartitions() == 60
+    for pages in (TB.handwritten_pages, TB.product_pages):
+        assert pages(spark, one_row_group).rdd.getNumPartitions() == 60
+    assert TB.listing_pages(spark, one_row_group).rdd.getNumPartitions() == 60
 
 
 def test_even_and_empty_inputs_are_left_as_they_are(spark):
