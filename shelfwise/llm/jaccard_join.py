@@ -18,14 +18,26 @@ non-empty cells, T being the largest d of a linked pair in the ring, a linked
 pair is at distance 0 in a cell and shares that region.  A region is a key, and
 only keys with two or more different sets go on.  A set with u non-empty cells
 even shares u - d of them (and at least one region) with a partner, so sets that share fewer with all
-others together leave their ring.
-
-*Regions* are joined recursively.  Each elects pivots among its documents and
-measures the others against them (exact Jaccard distance).  Documents within the
-bound are linked.  The pivots leave; of those known to be in the first pivot's
-component only the window stays whose distance to it is, by the triangle
-inequality, within the bound of some document of another component.  Regions
-with one component left are done; the others go on with four times as many pivots.
+others together leave their ring.  Of a shared keys that are left a set needs only
+the a - (u - d) + 1 rarest ones, for any u - d of them hold one of these: a passage
+of many documents is the first to go.  Regions of the same documents are one.
+
+*Regions* are joined recursively.  Each elects pivots among its documents, the one
+that shares most with others first, and measures the others against them (exact
+Jaccard distance).  Documents within the bound are linked, and the pivots leave.
+
+After the first round the documents A that one pivot P has met are known by their
+difference D = A xor P, and d(A, B) is the distance of two differences.  With one
+of them not linked to P, linked A and B share an element of their differences; more
+exactly |D| - d of the larger one's and |D| - d / 2 of the smaller one's elements.
+So the new regions are the elements (P, e), of which again each document keeps the
+rarest ones that suffice, in either role.  Copies with edits of their own, however
+many, share no region any more.  Only documents in the smaller role become pivots.
+
+Of those known to be in the first pivot's component only the window stays whose
+distance to it is, by the triangle inequality, within the bound of some document of
+another component.  Regions with one component left are done; the others go on with
+four times as many pivots.
 
 Equal sets are one node throughout, so copies are never paired.  A set is known
 by 96 bits of its digest and its size, a shingle by 64 bits.
@@ -55,7 +67,7 @@ WIDTH = 5
 #: Linked from 80 / 100 on.
 NUMERATOR, DENOMINATOR = 80, 100
 GROWTH = 1.6
-#: Pivots of a region in the first round, and their growth from round to round.
+#: Growth of the number of pivots of a region, one at first, from round to round.
 PIVOTS = 4
 EMPTY = b"\0" * 16
 
@@ -181,56 +193,125 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", "common", (F.col("both") - F.col("common")).alias("joined"))
 
 
+def rarest_regions(regions: DataFrame) -> DataFrame:
+    """``key, node, w`` rows of the keys that suffice of ``key, node, quota``: of a
+    set's keys in a ring all but ``least`` - 1, which are the most frequent ones by
+    an order that all sets have in common, so linked sets keep the rarest key that
+    they share.  Keys of the same nodes are reduced to one.  ``w`` is how often a
+    node meets others."""
+    frequent = regions.groupBy("key").agg(F.count("*").alias("n"))
+    ranked = (regions.join(frequent, "key").withColumn("w", F.sum("n").over(Window.partitionBy("node")))
+              .withColumn("a", F.count("*").over(Window.partitionBy("node", "quota")))
+              .withColumn("r", F.row_number().over(Window.partitionBy("node", "quota").orderBy("n", "key"))))
+    kept = stage(ranked.where("r <= a - (quota & 4294967295L) + 1").select("key", "node", "w"), "rarest")
+    held = kept.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    alone = held.where("m > 1").groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key")
+    out = stage(kept.join(alone, "key"), "regions")
+    unstage(kept)
+    return out
+
+
 def _linked(num: int, den: int):
     return F.col("common") * den >= F.col("joined") * num
 
 
 def join_regions(regions: DataFrame, sets: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR) -> tuple[DataFrame | None, DataFrame]:
-    """Recursive join of ``key, node`` regions: (edges, components)."""
-    bound = 1 - num / den
-    # documents in many regions make pivots that many regions share
-    active = stage(regions.withColumn("w", F.count("*").over(Window.partitionBy("node"))), "regions")
+    """Recursive join of ``key, node, w`` regions: (edges, components).  The nodes
+    of most weight ``w`` are the first pivots."""
+    active = regions.withColumn("away", F.lit(0).cast("long")).withColumn("small", F.lit(True))
     edges = measured = None
     labels = stage(regions.select("node", F.col("node").alias("root")).limit(0), "components")
-    pivots = PIVOTS
+    pivots = 1
+    size, other = node_size("node"), node_size("pivot")
     while True:
         # the first of each region by weight, then node, measure the others
         order = Window.partitionBy("key").orderBy(F.desc("w"), F.desc("node"))
-        chosen = active.withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
-        chosen = _with_root(chosen.select("key", "r", F.col("w").alias("pw"), F.col("node").alias("pivot")), labels, "pivot", "pivot_root")
-        met = (_with_root(active, labels, "node", "root").join(chosen, "key").where(F.struct("w", "node") < F.struct("pw", "pivot"))
+        chosen = active.where("small").withColumn("r", F.row_number().over(order)).where(F.col("r") <= pivots)
+        chosen = _with_root(chosen.select("key", "r", F.col("w").alias("pw"), F.col("away").alias("pivot_away"), F.col("node").alias("pivot")),
+                            labels, "pivot", "pivot_root")
+        met = (_with_root(active, labels, "node", "root").join(chosen, "key").where("node <> pivot")
+               .where(~F.col("small") | (F.struct("w", "node") < F.struct("pw", "pivot")))
                .where("root <> pivot_root"))        # one component needs no more links
-        size, other = node_size("node"), node_size("pivot")
-        near = (size * den >= other * num) & (other * den >= size * num)
-        pairs = met.where(near).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        if measured is not None:    # the first round needs all differences
+            met = met.where((size * den >= other * num) & (other * den >= size * num)
+                            & (F.abs(F.col("away") - F.col("pivot_away")) * (den + num) <= (size + other) * (den - num)))
+        pairs = met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         if measured is not None:
             pairs = pairs.join(measured.select("a", "b"), ["a", "b"], "left_anti")
         fresh = stage(distances(pairs, sets), "distances")
-        measured = fresh if measured is None else measured.unionByName(fresh)
         found = fresh.where(_linked(num, den)).select("a", "b")
         if not found.isEmpty():
             edges = found if edges is None else edges.unionByName(found)
             labels = stage(components(edges), "components")
-        # regions with several components go on, without this round's pivots
-        rooted = _with_root(active, labels, "node", "root")
-        several = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-        gone = chosen.select("key", F.col("pivot").alias("node"))
-        first = _with_root(chosen.where("r = 1").select("key", F.col("pivot").alias("p")), labels, "p", "p_root")
-        known = measured.select(F.col("a").alias("p"), F.col("b").alias("node"), (1 - F.col("common") / F.col("joined")).alias("d"))
-        rest = stage(rooted.join(several, "key").join(gone, ["key", "node"], "left_anti").join(first, "key")
-                     .join(known, ["p", "node"], "left").select("key", "node", "w", "root", "p_root", "d"), "rest")
-        unstage(active)
-        # an unmeasured distance (sizes too far apart, or one component before) excludes nothing
-        outside = F.col("root") != F.col("p_root")
-        per_key = rest.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"),
-                                          F.min(F.when(outside, F.coalesce("d", F.lit(0.0)))).alias("low"),
-                                          F.max(F.when(outside, F.coalesce("d", F.lit(1.0)))).alias("high"))
-        window = outside | F.col("d").isNull() | F.col("d").between(F.col("low") - bound - 1e-9, F.col("high") + bound + 1e-9)
-        active = stage(rest.join(per_key.where("r0 <> r1"), "key").where(window).select("key", "node", "w"), "regions")
-        unstage(rest)
+        if measured is None:
+            measured = fresh
+            active = difference_regions(fresh, sets, labels, num, den)
+            unstage(regions)
+        else:
+            measured, before = measured.unionByName(fresh), active
+            active = _others(active, chosen, measured, labels, 1 - num / den)
+            unstage(before)
+            pivots *= PIVOTS
         if active.isEmpty():
             return edges, labels
-        pivots *= PIVOTS
+
+
+def _others(active: DataFrame, chosen: DataFrame, measured: DataFrame, labels: DataFrame, bound: float) -> DataFrame:
+    """Regions with several components, without this round's pivots and without
+    what is too far from all other components."""
+    rooted = _with_root(active, labels, "node", "root")
+    several = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+    gone = chosen.select("key", F.col("pivot").alias("node"))
+    first = _with_root(chosen.where("r = 1").select("key", F.col("pivot").alias("p")), labels, "p", "p_root")
+    known = measured.select(F.col("a").alias("p"), F.col("b").alias("node"), (1 - F.col("common") / F.col("joined")).alias("d"))
+    rest = stage(rooted.join(several, "key").join(gone, ["key", "node"], "left_anti").join(first, "key")
+                 .join(known, ["p", "node"], "left").select("key", "node", "w", "away", "small", "root", "p_root", "d"), "rest")
+    # an unmeasured distance (sizes too far apart, or one component before) excludes nothing
+    outside = F.col("root") != F.col("p_root")
+    per_key = rest.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("small").alias("open"),
+                                      F.min(F.when(outside, F.coalesce("d", F.lit(0.0)))).alias("low"),
+                                      F.max(F.when(outside, F.coalesce("d", F.lit(1.0)))).alias("high"))
+    window = outside | F.col("d").isNull() | F.col("d").between(F.col("low") - bound - 1e-9, F.col("high") + bound + 1e-9)
+    out = stage(rest.join(per_key.where("open AND r0 <> r1"), "key").where(window).select("key", "node", "w", "away", "small"), "regions")
+    unstage(rest)
+    return out
+
+
+def difference_regions(met: DataFrame, sets: DataFrame, labels: DataFrame, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
+    """``key, node, w, away, small`` regions of the documents ``b`` that a pivot ``a``
+    has met: elements in which they differ from it.  ``away`` is the size of the
+    difference; ``small`` rows can be the smaller one of a linked pair."""
+    rooted = _with_root(met.select("a", "b", (F.col("joined") - F.col("common")).alias("away")), labels, "b", "root")
+    several = rooted.groupBy("a").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("a")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    differ = F.concat(F.array_except("x", "y"), F.array_except("y", "x"))
+    rows = stage(rooted.join(several, "a").join(left, "a").join(right, "b")
+                 .select(F.xxhash64("a").alias("p"), F.col("b").alias("node"), "root", "away", F.explode(differ).alias("e"))
+                 .select("p", F.xxhash64("p", "e").alias("key"), "node", "root", "away"), "differences")
+    # of the elements that a linked partner with a larger (smaller) difference must share
+    as_small = F.greatest(F.lit(1), F.col("away") - F.floor(node_size("node") * (den - num) / (2 * num)))
+    as_large = F.greatest(F.lit(1), F.col("away") - F.floor(node_size("node") * (den - num) / num))
+    own = Window.partitionBy("p", "node")
+
+    def met_in(rows):
+        """Rows of the elements that a pair can share, with their number by element and by document."""
+        held = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("small").alias("open"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+        return rows.join(held.where("open AND r0 <> r1").select("key", "n"), "key").withColumn("c", F.count("*").over(own))
+
+    # documents without enough of them make other elements lonely, as above
+    enough = stage(met_in(rows.withColumn("small", F.lit(True))).where(F.col("c") >= as_large)
+                   .select("p", "key", "node", "root", "away", (F.col("c") >= as_small).alias("small")), "differences")
+    unstage(rows)
+    kept = stage(met_in(enough).withColumn("r", F.row_number().over(own.orderBy("n", "key"))).where(F.col("r") <= F.col("c") - as_large + 1)
+                 .select("p", "key", "node", "root", "away", (F.col("small") & (F.col("r") <= F.col("c") - as_small + 1)).alias("small")), "rarest")
+    unstage(enough)
+    held = kept.groupBy("key").agg(F.first("p").alias("p"), F.max("small").alias("open"), F.min("root").alias("r0"), F.max("root").alias("r1"),
+                                   F.bit_xor(F.xxhash64("node", "small")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node", "small")).alias("y"))
+    alone = held.where("open AND r0 <> r1").groupBy("p", "x", "y").agg(F.min("key").alias("key")).select("key")
+    out = stage(kept.join(alone, "key").select("key", "node", (-F.col("away")).alias("w"), "away", "small"), "regions")
+    unstage(kept)
+    return out
 
 
 def _with_root(rows: DataFrame, labels: DataFrame, node: str, root: str) -> DataFrame:
@@ -254,7 +335,8 @@ def link_documents(documents: DataFrame, width: int = WIDTH, num: int = NUMERATO
         fewer = stage(enough.drop("n").join(alive, "key"), "regions")
         unstage(regions)
         regions = fewer
-    regions = regions.select("key", "node")
+    regions = rarest_regions(fewer)
+    unstage(fewer)
     # whole sets of the documents in regions, one document a set
     wanted = (members.join(regions.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
               .select("text_key").distinct())
@@ -262,7 +344,7 @@ def link_documents(documents: DataFrame, width: int = WIDTH, num: int = NUMERATO
     to_set = lambda t: (node_of(s := shingle_set(t, width)), s.view(np.int64))
     sets = stage(map_rows(texts.select("text"), to_set, "node binary, shingles array<long>", 64).dropDuplicates(["node"]), "sets")
     _, labels = join_regions(regions, sets, num, den)
-    unstage(fewer, sets)
+    unstage(sets)
     # smallest id by node, then by component
     nodes = members.groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))

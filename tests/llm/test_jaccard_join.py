@@ -73,6 +73,26 @@ def test_a_large_group_of_near_copies(spark):
     check(documents(spark, near_copies(4, groups=2, size=160, words=60, edits=2)))
 
 
+def test_copies_with_edits_of_their_own_are_not_paired(spark, monkeypatch):
+    """Unlinked copies of one text, some with near copies: few pairs are measured."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    for i in range(160):
+        t = list(base)
+        for at in rng.sample(range(150), 7):
+            t[at] = f"e{i}x{at}"
+        texts.append(" ".join(t))
+        if i % 8 == 0:
+            t[rng.randrange(150)] = f"n{i}"
+            texts.append(" ".join(t))
+    measured, plain = [], J.distances
+    monkeypatch.setattr(J, "distances", lambda pairs, sets: (measured.append(pairs.count()), plain(pairs, sets))[1])
+    want = check(documents(spark, texts))
+    n = len(texts)
+    assert len({c for _, c in want.values()}) > n // 2 and sum(measured) < n * n // 10
+
+
 def test_border_of_the_similarity(spark):
     words = [f"w{i}" for i in range(400)]
     texts = [" ".join(words[:n]) for n in (104, 84, 83, 85, 105, 130, 129, 131, 8, 9, 10, 5, 4, 3)]
