@@ -69,6 +69,8 @@ NUMERATOR, DENOMINATOR = 80, 100
 GROWTH = 1.6
 #: Growth of the number of pivots of a region, one at first, from round to round.
 PIVOTS = 4
+#: Bits of the bitmap of wanted texts, a power of two: 2 MiB.
+SLOTS = 1 << 24
 EMPTY = b"\0" * 16
 
 
@@ -199,7 +201,7 @@ def rarest_regions(regions: DataFrame) -> DataFrame:
     an order that all sets have in common, so linked sets keep the rarest key that
     they share.  Keys of the same nodes are reduced to one.  ``w`` is how often a
     node meets others."""
-    frequent = regions.groupBy("key").agg(F.count("*").alias("n"))
+    frequent = regions.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     ranked = (regions.join(frequent, "key").withColumn("w", F.sum("n").over(Window.partitionBy("node")))
               .withColumn("a", F.count("*").over(Window.partitionBy("node", "quota")))
               .withColumn("r", F.row_number().over(Window.partitionBy("node", "quota").orderBy("n", "key"))))
@@ -320,6 +322,17 @@ def _with_root(rows: DataFrame, labels: DataFrame, node: str, root: str) -> Data
     return rows.join(named, node, "left").withColumn(root, F.coalesce(root, node))
 
 
+def _maybe(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``text, text_key`` rows without most of those whose key is not wanted: a bitmap
+    of ``SLOTS`` bits, whatever the data, is broadcast, so they are not shuffled."""
+    slot = F.col("text_key").bitwiseAND(F.lit(SLOTS - 1))
+    bucket, at = F.shiftright(slot, 15), slot.bitwiseAND(F.lit((1 << 15) - 1))
+    bits = wanted.select(bucket.alias("bucket"), at.alias("at")).repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(at, 3).cast("int") + 1, 1)), 16, 10).cast("int")
+    met = texts.join(F.broadcast(bits), bucket == F.col("bucket"))
+    return met.where(byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0).select("text", "text_key")
+
+
 def link_documents(documents: DataFrame, width: int = WIDTH, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
     """``doc_id, n_shingles, component_id, node, root, text_key`` of every document;
     the root is a node that names the component."""
@@ -328,23 +341,20 @@ def link_documents(documents: DataFrame, width: int = WIDTH, num: int = NUMERATO
     rows = region_rows(documents, width, num, den)
     regions = rows.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").select("key", "node", "quota").distinct()
     regions = stage(regions, "regions")
-    # leaving sets make other keys lonely: a second pass; more would only save work
-    for _ in range(2):
-        enough = regions.withColumn("n", F.count("*").over(Window.partitionBy("node", "quota"))).where(F.col("n") >= F.expr("quota & 4294967295L"))
-        alive = enough.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-        fewer = stage(enough.drop("n").join(alive, "key"), "regions")
-        unstage(regions)
-        regions = fewer
-    regions = rarest_regions(fewer)
-    unstage(fewer)
+    # leaving sets make other keys lonely, which the choice of the rarest counts again
+    enough = stage(regions.withColumn("n", F.count("*").over(Window.partitionBy("node", "quota")))
+                   .where(F.col("n") >= F.expr("quota & 4294967295L")).drop("n"), "enough")
+    unstage(regions)
+    regions = rarest_regions(enough)
+    unstage(enough)
     # whole sets of the documents in regions, one document a set
-    wanted = (members.join(regions.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
-              .select("text_key").distinct())
-    texts = documents.select("text", F.xxhash64("text").alias("text_key")).join(wanted, "text_key", "left_semi")
+    wanted = stage(members.join(regions.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("text_key").alias("text_key"))
+                   .select("text_key").distinct(), "wanted")
+    texts = _maybe(documents.select("text", F.xxhash64("text").alias("text_key")), wanted).join(wanted, "text_key", "left_semi")
     to_set = lambda t: (node_of(s := shingle_set(t, width)), s.view(np.int64))
     sets = stage(map_rows(texts.select("text"), to_set, "node binary, shingles array<long>", 64).dropDuplicates(["node"]), "sets")
     _, labels = join_regions(regions, sets, num, den)
-    unstage(sets)
+    unstage(sets, wanted)
     # smallest id by node, then by component
     nodes = members.groupBy("node").agg(F.min("doc_id").alias("least")).join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
